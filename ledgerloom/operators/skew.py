@@ -1,0 +1,25 @@
+"""Left join against a lookup that is itself the result of an aggregation.
+
+AQE splits a skewed join only when both inputs come straight from an exchange.  An aggregated
+lookup does not: its rows already sit where the join wants them.  For those joins the key gets a
+salt.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def salted_left_join(
+    df: DataFrame, lookup: DataFrame, key: str, salts: int = 16
+) -> DataFrame:
+    """`df` left join `lookup` on `key`, the rows of one key spread over `salts` tasks.
+
+    The lookup has one row per key.  It is cut down to the keys that occur before it is repeated
+    once per salt.  The salt is a hash of the whole row, so a re-run task places rows alike.
+    """
+    occurring = lookup.join(df.select(key).distinct(), key, "left_semi")
+    repeated = occurring.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    return df.withColumn("_salt", salt).join(repeated, [key, "_salt"], "left").drop("_salt")
