@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(19,2)"
 CRYPTO = "decimal(38,9)"
-BTC_FORMAT = "999,999.999999999"
+BTC_WIDTH = 18
 
 
 def clean_money(amount: Column, to: str = MONEY) -> Column:
@@ -41,8 +41,13 @@ def money_or_zero(amount: Column) -> Column:
 
 
 def btc_text(amount: Column) -> Column:
-    """Crypto amount as fixed-width text, nine decimals."""
-    return F.to_char(amount.cast("decimal(15,9)"), F.lit(BTC_FORMAT))
+    """Crypto amount with thousands separators and nine decimals, right-aligned to the width
+    of the `999,999.999999999` picture and its sign.  Below one there is no leading zero.  A number
+    too large for the picture is shown in full instead of as `#` marks.
+    """
+    shown = F.format_number(amount, 9)
+    shown = F.when(F.abs(amount) < 1, F.regexp_replace(shown, "^(-?)0", "$1")).otherwise(shown)
+    return F.when(F.length(shown) < BTC_WIDTH, F.lpad(shown, BTC_WIDTH, " ")).otherwise(shown)
 
 
 def btc_text_or_zero(amount: Column) -> Column:
