@@ -223,17 +223,12 @@ def replace_keep_old(target: DataFrame, source: DataFrame, guard: str | None = N
     """M8: replace, but keep the old table when the source has no row.
 
     With `guard`, rows where that column is NULL do not count (a global aggregate over nothing).
-    The two tables meet in one plan: a one-row aggregate says whether the source has content, and
-    each side is kept or dropped by it, so no driver round trip decides.
+    Whether the source has content is a scalar subquery of the same plan, so no driver round trip
+    decides.
     """
     counted = F.count(F.lit(1) if guard is None else F.col(guard))
-    filled = source.agg((counted > 0).alias("_filled"))  # a global aggregate: exactly one row
-    tagged = target.withColumn("_from_source", F.lit(False)).unionByName(
-        source.select(*target.columns).withColumn("_from_source", F.lit(True))
-    )
-    return tagged.join(
-        F.broadcast(filled), F.col("_from_source") == F.col("_filled"), "left_semi"
-    ).drop("_from_source")
+    filled = source.agg(counted > 0).scalar()
+    return target.where(~filled).unionByName(source.select(*target.columns).where(filled))
 
 
 def replace_range(

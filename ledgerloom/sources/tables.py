@@ -7,7 +7,8 @@ half-written or an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +63,12 @@ def publish_if_filled(
     return True
 
 
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, also when another session wrote to it."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def append(df: DataFrame, table: str) -> None:
     """Add rows to an existing table."""
     columns = df.sparkSession.table(table).columns
@@ -81,12 +88,24 @@ def overwrite_years(
     batch = df.where(F.col(year_column).isin(*years)).select(*columns)
     seen = Observation()
     batch = batch.observe(seen, *[F.count_if(F.col(year_column) == y).alias(str(y)) for y in years])
-    batch.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        batch.write.insertInto(table, overwrite=True)
     for year in years:
         if not seen.get[str(year)]:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {int(year)})")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for one write; `insertInto` takes this one from the session only."""
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def _point(spark: SparkSession, table: str, location: str) -> None:
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")

@@ -7,14 +7,13 @@ restarted run inserts nothing twice.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators import maintenance as m
-
-PAGE_SCHEMA = "payload string"
+from ledgerloom.sources import landing, tables
 
 
 def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -30,20 +29,21 @@ def intake(
     spark: SparkSession,
     folder: str,
     checkpoint: str,
-    read_target: Callable[[], DataFrame],
+    table: str,
     rows_of: Callable[[DataFrame, DataFrame], DataFrame],
-    append: Callable[[DataFrame], None],
-    keys: list[str],
+    keys: Sequence[str],
 ) -> StreamingQuery:
-    """Start an available-now run over the new files of `folder`.
+    """Start an available-now run that adds the new records of `folder` to `table`.
 
     `rows_of(batch, every)` types the records of a micro-batch; `every` is the whole landing
-    folder, for lookups that must see all records (F13).
+    folder, for lookups that must see all records (F13).  The table is read by the session of
+    the micro-batch, which is the one that appends to it.
     """
 
     def load(batch: DataFrame, _: int) -> None:
-        every = batch.sparkSession.read.text(folder).withColumnRenamed("value", "payload")
-        append(m.new_rows(read_target(), rows_of(batch, every), keys))
+        session = batch.sparkSession
+        rows = rows_of(batch, landing.read_pages(session, folder))
+        tables.append(m.new_rows(tables.current(session, table), rows, keys), table)
 
     return (
         read_page_stream(spark, folder)
