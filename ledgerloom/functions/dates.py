@@ -7,17 +7,14 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats the lenient parser accepts, most specific first.
-LENIENT_FORMATS = (
-    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS][XXX]",
-    "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "MMM d, yyyy h:mm a",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
+# Shapes of time text beside the ISO ones, with the format that reads them.  A format is tried only
+# on text of its shape: a failed try costs an exception inside the parser.
+OTHER_SHAPES = (
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$", "M/d/yyyy HH:mm:ss"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2} [ap]m$", "MMM d, yyyy h:mm a"),
 )
-STRICT_FORMATS = LENIENT_FORMATS[:4]
 
 
 def day(moment: Column) -> Column:
@@ -49,15 +46,19 @@ def between_midnights(moment: Column, start: dt.date, end: dt.date) -> Column:
     return (moment >= F.lit(start)) & (moment <= F.lit(end))
 
 
+def _iso(text: Column) -> Column:
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}"), text.try_cast("timestamp"))
+
+
 def lenient_timestamp(text: Column) -> Column:
-    """First format that fits, NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in LENIENT_FORMATS])
+    """ISO text or one of the other shapes, NULL for anything else."""
+    others = [
+        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(how))) for shape, how in OTHER_SHAPES
+    ]
+    return F.coalesce(_iso(text), *others)
 
 
 def strict_timestamp(text: Column) -> Column:
     """Blank is NULL, unreadable text fails the job."""
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in STRICT_FORMATS])
     failed = F.raise_error(F.concat(F.lit("not a timestamp: "), text)).cast("timestamp")
-    return F.when(F.coalesce(text, F.lit("")) == "", F.lit(None).cast("timestamp")).otherwise(
-        F.coalesce(parsed, failed)
-    )
+    return F.when(F.coalesce(text, F.lit("")) != "", F.coalesce(lenient_timestamp(text), failed))

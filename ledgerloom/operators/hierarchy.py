@@ -34,19 +34,14 @@ def nearest_ancestor(
 
     # `best`: the nearest qualified node from here upward, this node included;
     # `ask`: the ancestor to ask next, NULL once the search is over
-    state = materialise(
-        edges.join(good, "node", "left").select(
-            "node",
-            F.when(F.col("good"), F.col("node")).alias("best"),
-            F.when(F.col("good").isNull(), F.col("parent")).alias("ask"),
-        ),
-        "ancestor",
+    first = edges.join(good, "node", "left").select(
+        "node",
+        F.when(F.col("good"), F.col("node")).alias("best"),
+        F.when(F.col("good").isNull(), F.col("parent")).alias("ask"),
     )
-    total, still_open = state.agg(F.count("*"), F.count("ask")).first()
-    rounds = math.ceil(math.log2(total + 1)) + 1 if total else 0
-    for _ in range(rounds):
-        if not still_open:
-            break
+    state, seen = materialise(first, "ancestor", total=F.count("*"), open=F.count("ask"))
+    rounds = math.ceil(math.log2(seen["total"] + 1)) + 1
+    while seen["open"] and rounds:
         asked = state.select(
             F.col("node").alias("ask"), F.col("best").alias("their_best"), F.col("ask").alias("their_ask")
         )
@@ -55,8 +50,9 @@ def nearest_ancestor(
             .join(asked, "ask", "left")
             .select("node", F.col("their_best").alias("best"), F.col("their_ask").alias("ask"))
         )
-        state = materialise(state.where(F.col("ask").isNull()).unionByName(moved), "ancestor")
-        still_open = state.agg(F.count("ask")).first()[0]
+        after = state.where(F.col("ask").isNull()).unionByName(moved)
+        state, seen = materialise(after, "ancestor", open=F.count("ask"))
+        rounds -= 1
 
     # what a node's parent knows is the nearest proper ancestor of the node
     above = state.select(F.col("node").alias("parent"), "best")

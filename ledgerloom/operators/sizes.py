@@ -1,0 +1,14 @@
+"""Size check behind which a job may count on a broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark itself would broadcast `df`: its estimated size is within the session's limit.
+
+    The estimate is the optimizer's, from file sizes and column widths; nothing is run.
+    """
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit

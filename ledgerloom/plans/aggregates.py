@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fixed
 from ledgerloom.functions import dates
 from ledgerloom.functions.labels import bucket_of
-from ledgerloom.functions.money import money_sum
+from ledgerloom.functions.money import money, money_sum
 from ledgerloom.operators import maintenance as m
+from ledgerloom.operators.sizes import fits_broadcast
 from ledgerloom.plans.payments import payment_types
 
 BUCKET_KEY = ("nombre", "fecha")
@@ -39,16 +40,22 @@ def plan_buckets(
 ) -> DataFrame:
     """Sales per name bucket and day.
 
-    Sales are summed per product and day before they meet the catalogue, so the join sees one
-    row per product and day, however often a product sells.
+    A catalogue small enough to broadcast is joined first, which leaves one small aggregation.  A
+    larger one meets the sales after they are summed per product and day, so that the join sees
+    one row per product and day, however often a product sells.
     """
-    sold = fact_ventas.groupBy("id_producto", dates.day(F.col("fecha_compra")).alias("fecha")).agg(
-        F.count("*").alias("n"), money_sum(F.col("precio")).alias("valor")
-    )
+    named = bucket_of(F.col("producto"), patterns, other).alias("nombre")
     names = catalogue.select("id_producto", F.col("nombre").alias("producto"))
+    sales = fact_ventas.select(
+        "id_producto", dates.day(F.col("fecha_compra")).alias("fecha"), money(F.col("precio")).alias("valor")
+    ).withColumn("n", F.lit(1))
+    if not fits_broadcast(names):
+        sales = sales.groupBy("id_producto", "fecha").agg(
+            F.sum("n").alias("n"), money_sum(F.col("valor")).alias("valor")
+        )
     return (
-        sold.join(names, "id_producto", "left")
-        .groupBy(bucket_of(F.col("producto"), patterns, other).alias("nombre"), "fecha")
+        sales.join(names, "id_producto", "left")
+        .groupBy(named, "fecha")
         .agg(F.sum("n").alias("cantidad"), F.sum("valor").alias("valor_total"))
         .select("nombre", "cantidad", "valor_total", "fecha")
     )

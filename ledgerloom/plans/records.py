@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fixed
 from ledgerloom.functions import dates, jsonfields, labels
 from ledgerloom.operators import maintenance as m
-from ledgerloom.operators.skew import salted_left_join
+from ledgerloom.session import materialise
 from ledgerloom.sources import landing
 
 PURCHASE_WATCH = (
@@ -57,11 +57,18 @@ def purchases_source(pages: DataFrame, known: DataFrame | None = None) -> DataFr
     """Purchase records, the complemented purchase translated from record id to number.
 
     The translation looks at all records of `known` (default: the same pages), not only at new
-    ones; of several records with one id the one with the largest number counts.  Records that
-    complement nothing, i.e. most of them, go around the lookup join instead of sharing the NULL
-    key; the others are salted, as one purchase may be complemented very often.
+    ones; of several records with one id the one with the largest number counts.  The lookup is
+    written once: the pages are then parsed twice in all, and the join has two plain inputs, so
+    AQE can split a purchase complemented very often, and the many records that complement none.
     """
     rows = landing.records(pages, landing.PURCHASE_RECORD)
+    every = landing.records(pages if known is None else known, "_id string, id_compra string")
+    numbers, _ = materialise(
+        every.where((F.col("_id") != "") & (F.col("id_compra") != ""))
+        .groupBy(F.col("_id").alias("referido"))
+        .agg(F.max(jsonfields.number_after_prefix(F.col("id_compra"))).alias("complemento_de")),
+        "record-numbers",
+    )
     typed = rows.select(
         jsonfields.number_after_prefix(F.col("id_compra")).alias("id_compra"),
         "address",
@@ -74,18 +81,7 @@ def purchases_source(pages: DataFrame, known: DataFrame | None = None) -> DataFr
         jsonfields.amount(F.col("USD")).alias("usd"),
         "wallet",
     )
-    every = rows if known is None else landing.records(known, landing.PURCHASE_RECORD)
-    numbers = (
-        every.where((F.col("_id") != "") & (F.col("id_compra") != ""))
-        .groupBy(F.col("_id").alias("referido"))
-        .agg(F.max(jsonfields.number_after_prefix(F.col("id_compra"))).alias("complemento_de"))
-    )
-    columns = ("id_compra", *PURCHASE_WATCH)
-    alone = typed.where(F.col("referido").isNull()).withColumn(
-        "complemento_de", F.lit(None).cast("bigint")
-    )
-    linked = salted_left_join(typed.where(F.col("referido").isNotNull()), numbers, "referido")
-    return alone.select(*columns).unionByName(linked.select(*columns))
+    return typed.join(numbers, "referido", "left").select("id_compra", *PURCHASE_WATCH)
 
 
 def json_purchases_new(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Reproducible dates need UTC; strict casts need ANSI; skewed joins are split at run time by AQE.
 SQL_SETTINGS = {
@@ -53,13 +53,16 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as a table in the shared folder and read it back.
+def materialise(df: DataFrame, label: str, **counts: Column) -> tuple[DataFrame, dict]:
+    """Write `df` as a table in the shared folder and read it back, with `counts` of its rows.
 
-    This cuts the lineage with files that outlive any executor, and gives the following joins
-    true sizes to plan with.  The column list is narrow wherever this is used.
+    This cuts the lineage with files that outlive any executor, gives the following joins true
+    sizes to plan with, and leaves them a plain exchange that AQE can split.  The aggregates named
+    in `counts` are observed during the write.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, *[c.alias(name) for name, c in counts.items()]) if counts else df
+    observed.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get if counts else {}

@@ -7,7 +7,6 @@ import random
 import pytest
 
 from ledgerloom.operators.hierarchy import nearest_ancestor
-from ledgerloom.operators.skew import salted_left_join
 from ledgerloom.plans import dimensions
 from ledgerloom.session import shared_folder
 
@@ -112,13 +111,6 @@ def test_leaders(frame, values):
     ]
 
 
-def test_salted_join_equals_left_join(frame, values):
-    left = frame("k string, v long", *[("hot", i) for i in range(50)], ("a", 1), ("none", 2))
-    lookup = frame("k string, w long", ("hot", 7), ("a", 8), ("unused", 9))
-    plain = left.join(lookup, "k", "left")
-    assert values(salted_left_join(left, lookup, "k").select(plain.columns)) == values(plain)
-
-
 def test_shared_folder_needs_a_setting_on_a_cluster(monkeypatch):
     class Context:
         master = "spark://somewhere:7077"

@@ -358,3 +358,15 @@ def test_payout_update_skips_missing_targets(frame, values):
     assert values(records.json_payouts_changed(new, old), "pago_tx", "asset") == [(1, "x")]
     changed = pages(frame, envelope({"id_pago": "pa1", "amount": "1.01", "Asset": "X"}))
     assert values(records.json_payouts_changed(changed, old), "amount", "asset") == [(D("1.01"), "X")]
+
+
+def test_plan_buckets_agree_on_both_sides_of_the_size_check(spark, frame, values):
+    ventas = frame("id_producto long, fecha_compra timestamp_ntz, precio decimal(19,2)",
+                   *[(i % 4, at(2025, 1, 1 + i % 3, 3), D(i)) for i in range(40)], (9, at(2025, 1, 1), None))
+    catalogue = frame("id_producto long, nombre string", (0, "select"), (1, "pa"), (2, None))
+    small = values(aggregates.plan_buckets(ventas, catalogue))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert values(aggregates.plan_buckets(ventas, catalogue)) == small
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
