@@ -395,16 +395,23 @@ def needs(name: str) -> list[str]:
 
 
 class Tables:
-    """Test tables and stand-ins of one folder as DataFrames: `tables("compras")`."""
+    """Test tables and stand-ins of one folder as DataFrames: `tables("compras")`.
+
+    Each is built once, so a query that reads a table twice shares its scan and exchanges.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self.built: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        if name in BASE:
-            return read_folder(self.spark, self.folder, name)
-        return self.spark.sql(STANDINS[name], **{n: self(n) for n in needs(name)})
+        if name not in self.built:
+            if name in BASE:
+                self.built[name] = read_folder(self.spark, self.folder, name)
+            else:
+                self.built[name] = self.spark.sql(STANDINS[name], **{n: self(n) for n in needs(name)})
+        return self.built[name]
 
 
 def with_standins(names: list[str], body: str) -> str:

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fixed
@@ -139,8 +139,8 @@ def repurchase_monthly(compras: DataFrame, since: dt.date) -> DataFrame:
 
     The first purchase is the first since `since` (Q20) and purchases without a partner count as
     one partner, as in a window over the partner.  Numbering every purchase is not needed: each
-    partner has exactly one first purchase, in the earliest month, so two aggregations do, and
-    a partner with very many purchases never becomes one window.
+    partner has exactly one first purchase, in the earliest month.  So the window runs over one row
+    per partner and month, and a partner with very many purchases is a few rows in it.
     """
     sales = compras.where(
         (F.col("estatus") == fixed.PAID_PURCHASE)
@@ -150,19 +150,17 @@ def repurchase_monthly(compras: DataFrame, since: dt.date) -> DataFrame:
     by_partner = sales.groupBy("socio", dates.month(F.col("fecha_pago")).alias("mes")).agg(
         F.count("*").alias("n")
     )
-    by_month = by_partner.groupBy("mes").agg(F.sum("n").alias("total_compras"))
-    firsts = (
-        by_partner.groupBy("socio")
-        .agg(F.min("mes").alias("mes"))
+    earliest = F.min("mes").over(Window.partitionBy("socio"))
+    months = (
+        by_partner.withColumn("primera", (F.col("mes") == earliest).cast("bigint"))
         .groupBy("mes")
-        .agg(F.count("*").alias("primeras"))
+        .agg(F.sum("n").alias("total_compras"), F.sum("primera").alias("primeras_compras"))
     )
-    first = F.coalesce("primeras", F.lit(0))
-    again = F.col("total_compras") - first
-    return by_month.join(firsts, "mes", "left").select(
+    again = F.col("total_compras") - F.col("primeras_compras")
+    return months.select(
         "mes",
         "total_compras",
-        first.alias("primeras_compras"),
+        "primeras_compras",
         again.alias("recompras"),
         percent(again, F.col("total_compras")).alias("pct_recompra"),
     )
