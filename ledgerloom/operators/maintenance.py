@@ -13,6 +13,7 @@ Scale notes, valid for every operator here:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -114,50 +115,98 @@ def insert_or_ignore(
 # --- updates -----------------------------------------------------------------------------
 
 
-def diff_update(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    watch: Sequence[str],
-    assign: Sequence[str] | None = None,
-    comparable: Comparable = compare.exact,
-    only_changed: bool = False,
-) -> DataFrame:
-    """M4: where a watched column differs, take the `assign` columns from the source.
+@dataclass(frozen=True)
+class Update:
+    """How a target follows its source: M4, or M5 with the tolerant `comparable`.
 
-    `comparable` normalises both sides before the test (identity, NULL boolean as False, or the
-    tolerant form).  Target rows without a match stay as they are, source rows without a match
-    are ignored.  `only_changed` returns just the rewritten rows, for sinks that can merge.
+    Where a watched column differs between rows of one key, the `assign` columns (by default the
+    watched ones) are taken from the source.  `comparable` normalises both sides before the test.
+    Target rows without a match stay as they are, source rows without a match are ignored.  Source
+    keys must be unique.
     """
-    assign = list(assign or watch)
-    incoming = source.select(
-        *keys,
-        *[F.col(c).alias(f"_new_{c}") for c in dict.fromkeys([*watch, *assign])],
-        F.lit(True).alias("_hit"),
-    )
-    keyed, unkeyed = _split_null_keys(target, keys)
-    incoming, _ = _split_null_keys(incoming, keys)
-    joined = keyed.join(
-        require_unique(incoming, keys), list(keys), "inner" if only_changed else "left"
-    )
 
-    kinds = {f.name: f.dataType for f in target.schema}
-    pairs = [
-        (comparable(F.col(c), kinds[c]), comparable(F.col(f"_new_{c}").cast(kinds[c]), kinds[c]))
-        for c in watch
-    ]
-    changed = F.coalesce(F.col("_hit"), F.lit(False)) & compare.differs(pairs)
-    if only_changed:
-        joined = joined.where(changed)
-    result = joined.select(
+    keys: tuple[str, ...]
+    watch: tuple[str, ...]
+    assign: tuple[str, ...] = ()
+    comparable: Comparable = compare.exact
+
+    @property
+    def assigned(self) -> tuple[str, ...]:
+        return self.assign or self.watch
+
+    def state(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """The new target, in one join."""
+        keyed, unkeyed = _split_null_keys(target, self.keys)
+        joined = keyed.join(self._incoming(source), list(self.keys), "left")
+        changed = F.coalesce(F.col("_hit"), F.lit(False)) & self._differs(target)
+        return _with_rest(_assign(joined, target, changed, self.assigned), unkeyed)
+
+    def changes(self, target: DataFrame, source: DataFrame) -> DataFrame:
+        """Keys and new values of the rows that change.
+
+        The join reads only keys and watched columns of the target.  Together with `apply`, on a
+        stored result, this rewrites a wide target without shuffling it when little changed.
+        """
+        narrow = _split_null_keys(target.select(*self.keys, *self.watch), self.keys)[0]
+        joined = narrow.join(self._incoming(source), list(self.keys))
+        kinds = _kinds(target)
+        return joined.where(self._differs(target)).select(
+            *self.keys, *[F.col(f"_new_{c}").cast(kinds[c]).alias(c) for c in self.assigned]
+        )
+
+    def apply(self, target: DataFrame, changes: DataFrame) -> DataFrame:
+        """The new target, from what `changes` found."""
+        found = changes.select(
+            *self.keys, *[F.col(c).alias(f"_new_{c}") for c in self.assigned], F.lit(True).alias("_hit")
+        )
+        keyed, unkeyed = _split_null_keys(target, self.keys)
+        joined = keyed.join(found, list(self.keys), "left")
+        return _with_rest(_assign(joined, target, F.col("_hit"), self.assigned), unkeyed)
+
+    def _incoming(self, source: DataFrame) -> DataFrame:
+        columns = dict.fromkeys([*self.watch, *self.assigned])
+        rows = source.select(
+            *self.keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit")
+        )
+        return require_unique(_split_null_keys(rows, self.keys)[0], self.keys)
+
+    def _differs(self, target: DataFrame) -> Column:
+        kinds = _kinds(target)
+
+        def both(column: str) -> tuple[Column, Column]:
+            kind = kinds[column]
+            new = F.col(f"_new_{column}").cast(kind)
+            return self.comparable(F.col(column), kind), self.comparable(new, kind)
+
+        return compare.differs([both(c) for c in self.watch])
+
+
+def _kinds(df: DataFrame) -> dict[str, T.DataType]:
+    return {f.name: f.dataType for f in df.schema}
+
+
+def _assign(joined: DataFrame, target: DataFrame, when: Column, assigned: Sequence[str]) -> DataFrame:
+    kinds = _kinds(target)
+    return joined.select(
         *[
-            F.when(changed, F.col(f"_new_{c}").cast(kinds[c])).otherwise(F.col(c)).alias(c)
-            if c in assign
+            F.when(when, F.col(f"_new_{c}").cast(kinds[c])).otherwise(F.col(c)).alias(c)
+            if c in assigned
             else F.col(c)
             for c in target.columns
         ]
     )
-    return result if only_changed else _with_rest(result, unkeyed)
+
+
+def diff_update(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    watch: Sequence[str],
+    assign: Sequence[str] = (),
+    comparable: Comparable = compare.exact,
+) -> DataFrame:
+    """M4: the new target, see `Update`."""
+    return Update(tuple(keys), tuple(watch), tuple(assign), comparable).state(target, source)
 
 
 def diff_update_tolerant(
@@ -165,11 +214,10 @@ def diff_update_tolerant(
     source: DataFrame,
     keys: Sequence[str],
     watch: Sequence[str],
-    assign: Sequence[str] | None = None,
-    only_changed: bool = False,
+    assign: Sequence[str] = (),
 ) -> DataFrame:
     """M5: as M4, blind to sub-cent, letter-case, outer-blank and sub-second differences."""
-    return diff_update(target, source, keys, watch, assign, compare.tolerant, only_changed)
+    return diff_update(target, source, keys, watch, assign, compare.tolerant)
 
 
 def upsert(
@@ -186,7 +234,7 @@ def upsert(
     (NULL by default) on insert.
     """
     untouched = F.lit(None) if on_insert is None else on_insert
-    kinds = {f.name: f.dataType for f in target.schema}
+    kinds = _kinds(target)
     if touch:
         source = source.withColumn(touch, untouched.cast(kinds[touch]))
     values = [c for c in target.columns if c not in keys]

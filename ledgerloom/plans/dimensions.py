@@ -16,9 +16,12 @@ PARTNER_WATCH = (
     "fecha_vigencia_membresia", "saldo_organizacion", "saldo_personal",
     "socios_directos", "socios_directos_plan", "id_rango_actual",
 )
-PARTNER_ASSIGN = ("estatus_membresia_funcion", "estatus", *PARTNER_WATCH)
-PROSPECT_WATCH = ("id_socio", "tipo", "id_socio_padre")
-LEADER_WATCH = ("id_platinum", "nombre_platinum", "region")
+# the two status columns follow but do not trigger (Q2)
+PARTNER_UPDATE = m.Update(
+    ("id_socio",), PARTNER_WATCH, ("estatus_membresia_funcion", "estatus", *PARTNER_WATCH)
+)
+PROSPECT_UPDATE = m.Update(("id_prospecto",), ("id_socio", "tipo", "id_socio_padre"))
+LEADER_UPDATE = m.Update(("id_socio",), ("id_platinum", "nombre_platinum", "region"))
 
 
 def membership_state(code: Column) -> Column:
@@ -64,9 +67,8 @@ def partners_new(
     return m.new_rows(dim_socios, partners_source(socios, ranks, info, countries), ["id_socio"])
 
 
-def partners_changed(socios: DataFrame, ranks: DataFrame, dim_socios: DataFrame) -> DataFrame:
-    """The two status columns follow but do not trigger (Q2)."""
-    source = socios.join(ranks, "socio", "left").select(
+def partners_update_source(socios: DataFrame, ranks: DataFrame) -> DataFrame:
+    return socios.join(ranks, "socio", "left").select(
         F.col("socio").alias("id_socio"),
         membership_state(F.col("estatus_membresia")).alias("estatus_membresia_funcion"),
         "estatus",
@@ -77,7 +79,11 @@ def partners_changed(socios: DataFrame, ranks: DataFrame, dim_socios: DataFrame)
         F.col("directos").alias("socios_directos"),
         F.col("directos_plan").alias("socios_directos_plan"),
     )
-    return m.diff_update(dim_socios, source, ["id_socio"], PARTNER_WATCH, PARTNER_ASSIGN)
+
+
+def partners_changed(socios: DataFrame, ranks: DataFrame, dim_socios: DataFrame) -> DataFrame:
+    """D2."""
+    return PARTNER_UPDATE.state(dim_socios, partners_update_source(socios, ranks))
 
 
 def prospects_source(prospects: DataFrame, info: DataFrame, countries: DataFrame) -> DataFrame:
@@ -110,15 +116,19 @@ def prospects_new(
     return m.new_rows(dim_prospectos, prospects_source(prospects, info, countries), ["id_prospecto"])
 
 
-def prospects_changed(prospects: DataFrame, info: DataFrame, dim_prospectos: DataFrame) -> DataFrame:
-    """Prospects without info are inserted by D3 but never updated (Q28)."""
-    source = prospects.join(info.select("prospecto"), "prospecto", "left_semi").select(
+def prospects_update_source(prospects: DataFrame, info: DataFrame) -> DataFrame:
+    """Prospects without info are inserted by D3 but never updated (Q28)."""
+    return prospects.join(info.select("prospecto"), "prospecto", "left_semi").select(
         F.col("prospecto").alias("id_prospecto"),
         F.col("nuevo_socio").alias("id_socio"),
         "tipo",
         F.col("padre").alias("id_socio_padre"),
     )
-    return m.diff_update(dim_prospectos, source, ["id_prospecto"], PROSPECT_WATCH)
+
+
+def prospects_changed(prospects: DataFrame, info: DataFrame, dim_prospectos: DataFrame) -> DataFrame:
+    """D4."""
+    return PROSPECT_UPDATE.state(dim_prospectos, prospects_update_source(prospects, info))
 
 
 def qualified_partners(
@@ -162,10 +172,10 @@ def leaders_source(
 
 def leaders_new(source: DataFrame, dim_primerplatinum: DataFrame) -> DataFrame:
     """D5; `source` is `leaders_source`, built once for D5 and D6."""
-    order = [F.col(c).asc_nulls_last() for c in LEADER_WATCH]
+    order = [F.col(c).asc_nulls_last() for c in LEADER_UPDATE.watch]
     return m.new_rows_first(dim_primerplatinum, source, ["id_socio"], order)
 
 
 def leaders_changed(source: DataFrame, dim_primerplatinum: DataFrame) -> DataFrame:
     """D6."""
-    return m.diff_update(dim_primerplatinum, source, ["id_socio"], LEADER_WATCH)
+    return LEADER_UPDATE.state(dim_primerplatinum, source)

@@ -11,11 +11,16 @@ from ledgerloom.functions.labels import coin
 from ledgerloom.operators import maintenance as m
 
 WITHDRAWAL_WATCH = ("fecha_pago", "fecha_cancelacion", "fecha_pago_estimada")
-WITHDRAWAL_ASSIGN = ("estatus", "fecha_solicitud", *WITHDRAWAL_WATCH)
+# a change of status alone does not trigger (Q3)
+WITHDRAWAL_UPDATE = m.Update(
+    ("id_retiro",), WITHDRAWAL_WATCH, ("estatus", "fecha_solicitud", *WITHDRAWAL_WATCH)
+)
 
 BONUS_DATES = ("fecha_solicitud", "fecha_pago_estimada", "fecha_pagado", "fecha_cancelacion")
 BONUS_WATCH = ("estatus", *BONUS_DATES)
 BONUS_ASSIGN = (*BONUS_WATCH, *[f"fk_{d}" for d in BONUS_DATES], "defi")
+MASTERBONUS_UPDATE = m.Update(("id_masterbonus",), BONUS_WATCH, BONUS_ASSIGN)
+BONUS_UPDATE = m.Update(("id_retiro",), BONUS_WATCH, BONUS_ASSIGN)
 
 
 def withdrawals_source(pagos: DataFrame, excluded_partner: int | None = None) -> DataFrame:
@@ -47,10 +52,8 @@ def withdrawals_new(
 
 
 def withdrawals_changed(pagos: DataFrame, fact_retiros: DataFrame) -> DataFrame:
-    """a change of status alone does not trigger (Q3)."""
-    return m.diff_update(
-        fact_retiros, withdrawals_source(pagos), ["id_retiro"], WITHDRAWAL_WATCH, WITHDRAWAL_ASSIGN
-    )
+    """F2."""
+    return WITHDRAWAL_UPDATE.state(fact_retiros, withdrawals_source(pagos))
 
 
 def _bonus_rows(pagos: DataFrame, id_name: str) -> DataFrame:
@@ -75,7 +78,7 @@ def _bonus_rows(pagos: DataFrame, id_name: str) -> DataFrame:
     )
 
 
-def _with_dates_as_days(target: DataFrame) -> DataFrame:
+def with_dates_as_days(target: DataFrame) -> DataFrame:
     """Both sides compare whole days, whether the target keeps dates or timestamps (Q13)."""
     return target.withColumns({d: day(F.col(d)) for d in BONUS_DATES})
 
@@ -91,13 +94,7 @@ def masterbonus_new(pagos: DataFrame, fact_masterbonus: DataFrame) -> DataFrame:
 
 def masterbonus_changed(pagos: DataFrame, fact_masterbonus: DataFrame) -> DataFrame:
     """F5."""
-    return m.diff_update(
-        _with_dates_as_days(fact_masterbonus),
-        masterbonus_source(pagos),
-        ["id_masterbonus"],
-        BONUS_WATCH,
-        BONUS_ASSIGN,
-    )
+    return MASTERBONUS_UPDATE.state(with_dates_as_days(fact_masterbonus), masterbonus_source(pagos))
 
 
 def payment_types(enum: DataFrame) -> DataFrame:
@@ -120,10 +117,5 @@ def bonuses_new(pagos: DataFrame, enum: DataFrame, fact_bonos_comisiones: DataFr
 
 def bonuses_changed(pagos: DataFrame, enum: DataFrame, fact_bonos_comisiones: DataFrame) -> DataFrame:
     """F11."""
-    return m.diff_update(
-        _with_dates_as_days(fact_bonos_comisiones),
-        bonuses_source(pagos, enum),
-        ["id_retiro"],
-        BONUS_WATCH,
-        BONUS_ASSIGN,
-    )
+    source = bonuses_source(pagos, enum)
+    return BONUS_UPDATE.state(with_dates_as_days(fact_bonos_comisiones), source)

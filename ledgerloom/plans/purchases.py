@@ -17,7 +17,7 @@ PURCHASE_WATCH = (
     "pago_insuficiente", "pago_excedido", "complemento",
     "id_complemento", "monto_complementario", "estatus",
 )
-FLAGS = PURCHASE_WATCH[:3]
+PURCHASE_UPDATE = m.Update(("id_compra",), PURCHASE_WATCH, comparable=compare.null_as_false)
 
 
 def _fact_rows(
@@ -114,10 +114,10 @@ def memberships(
     )
 
 
-def _changed(compras: DataFrame, fact: DataFrame, item_type: int) -> DataFrame:
+def purchases_update_source(compras: DataFrame, item_type: int) -> DataFrame:
     """All purchases of the item type are compared, paid or not; missing flags count as False
     and are written as False.  The columns the update does not look at are never read."""
-    source = compras.where(F.col("tipo_item") == item_type).select(
+    return compras.where(F.col("tipo_item") == item_type).select(
         F.col("compra").alias("id_compra"),
         F.coalesce("fue_insuficiente", F.lit(False)).alias("pago_insuficiente"),
         F.coalesce("es_excedido", F.lit(False)).alias("pago_excedido"),
@@ -126,19 +126,18 @@ def _changed(compras: DataFrame, fact: DataFrame, item_type: int) -> DataFrame:
         "monto_complementario",
         purchase_status(F.col("estatus")).alias("estatus"),
     )
-    return m.diff_update(
-        fact, source, ["id_compra"], PURCHASE_WATCH, comparable=compare.null_as_false
-    )
 
 
 def annuities_changed(compras: DataFrame, fact_anualidades: DataFrame) -> DataFrame:
     """F7."""
-    return _changed(compras, fact_anualidades, fixed.ANNUITY_ITEM)
+    source = purchases_update_source(compras, fixed.ANNUITY_ITEM)
+    return PURCHASE_UPDATE.state(fact_anualidades, source)
 
 
 def memberships_changed(compras: DataFrame, fact_membresias: DataFrame) -> DataFrame:
     """F9."""
-    return _changed(compras, fact_membresias, fixed.MEMBERSHIP_ITEM)
+    source = purchases_update_source(compras, fixed.MEMBERSHIP_ITEM)
+    return PURCHASE_UPDATE.state(fact_membresias, source)
 
 
 def purchase_labels(

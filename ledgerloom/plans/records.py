@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fixed
-from ledgerloom.functions import dates, jsonfields, labels
+from ledgerloom.functions import compare, dates, jsonfields, labels
 from ledgerloom.operators import maintenance as m
 from ledgerloom.session import materialise
 from ledgerloom.sources import landing
@@ -24,6 +24,8 @@ PURCHASE_WATCH = (
 PAYOUT_WATCH = (
     "amount", "asset", "coin", "cotizacion", "estatus", "id_tx", "id_wallet", "amount_crypto",
 )
+RECORD_UPDATE = m.Update(("id_compra",), PURCHASE_WATCH, comparable=compare.tolerant)
+PAYOUT_UPDATE = m.Update(("pago_tx",), PAYOUT_WATCH, comparable=compare.tolerant)
 
 
 def wallet_balances(pages: DataFrame, buys: Sequence[str], pays: Sequence[str]) -> DataFrame:
@@ -95,9 +97,7 @@ def json_purchases_changed(
     pages: DataFrame, fact_kft_compras_planes: DataFrame, known: DataFrame | None = None
 ) -> DataFrame:
     """the tolerant update, numeric ids and translated complements on both sides (Q10)."""
-    return m.diff_update_tolerant(
-        fact_kft_compras_planes, purchases_source(pages, known), ["id_compra"], PURCHASE_WATCH
-    )
+    return RECORD_UPDATE.state(fact_kft_compras_planes, purchases_source(pages, known))
 
 
 def payouts_source(pages: DataFrame) -> DataFrame:
@@ -124,9 +124,9 @@ def json_payouts_new(pages: DataFrame, fact_kft_pagos_planes: DataFrame) -> Data
     return m.new_rows(fact_kft_pagos_planes, payouts_source(pages), ["pago_tx"])
 
 
-def json_payouts_changed(pages: DataFrame, fact_kft_pagos_planes: DataFrame) -> DataFrame:
-    """F16: the tolerant update keyed by the id without its marker, letters of any case (Q11)."""
-    source = landing.records(pages, landing.PAYOUT_RECORD).select(
+def payouts_update_source(pages: DataFrame) -> DataFrame:
+    """Records keyed by the id without its marker, letters of any case (Q11)."""
+    return landing.records(pages, landing.PAYOUT_RECORD).select(
         jsonfields.number_without(F.col("id_pago"), fixed.PAYOUT_PREFIX).alias("pago_tx"),
         jsonfields.amount(F.col("amount")).alias("amount"),
         F.col("Asset").alias("asset"),
@@ -137,4 +137,8 @@ def json_payouts_changed(pages: DataFrame, fact_kft_pagos_planes: DataFrame) ->
         "id_wallet",
         jsonfields.amount(F.col("amount_cripto"), "decimal(38,9)").alias("amount_crypto"),
     )
-    return m.diff_update_tolerant(fact_kft_pagos_planes, source, ["pago_tx"], PAYOUT_WATCH)
+
+
+def json_payouts_changed(pages: DataFrame, fact_kft_pagos_planes: DataFrame) -> DataFrame:
+    """F16."""
+    return PAYOUT_UPDATE.state(fact_kft_pagos_planes, payouts_update_source(pages))

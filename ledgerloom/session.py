@@ -21,7 +21,12 @@ SQL_SETTINGS = {
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **extra: str) -> SparkSession:
     """A session for scripts and tests; on a cluster `spark-submit` supplies master and sizes."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (
+        SparkSession.builder.appName(app)
+        .config("spark.ui.enabled", "false")
+        # no Python call site per column: jobs build hundreds of them
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
     if master:
         builder = builder.master(master)
     for key, value in {**SQL_SETTINGS, **extra}.items():

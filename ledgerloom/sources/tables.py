@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The Parquet table `name` of a folder."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_folder(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """The Parquet table `name` of a folder; a given schema saves the look into its files."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_jdbc(

@@ -114,8 +114,10 @@ def test_diff_update_watch_and_assign(frame, values):
     ]
     again = m.diff_update(result, source, ["k"], ["w"], ["w", "s"])
     assert values(again) == values(result)
-    changed = m.diff_update(target, source, ["k"], ["w"], ["w", "s"], only_changed=True)
-    assert values(changed, "k") == [(2,), (4,), (5,)]
+    update = m.Update(("k",), ("w",), ("w", "s"))
+    changes = update.changes(target, source)
+    assert values(changes) == [(2, "new", "S"), (4, "new", "S"), (5, None, "S")]
+    assert values(update.apply(target, changes)) == values(result)
 
 
 def test_diff_update_refuses_duplicate_source_keys(frame):
@@ -155,11 +157,10 @@ def test_tolerant_update(frame, values):
         (6, Decimal("1"), "x", None),
         (7, Decimal("1"), "x", at),
     )
-    changed = m.diff_update_tolerant(target, source, ["k"], ["n", "s", "t"], only_changed=True)
-    assert values(changed, "k") == [(2,), (4,), (5,)]
+    update = m.Update(("k",), ("n", "s", "t"), comparable=compare.tolerant)
+    assert values(update.changes(target, source), "k") == [(2,), (4,), (5,)]
     result = m.diff_update_tolerant(target, source, ["k"], ["n", "s", "t"])
-    again = m.diff_update_tolerant(result, source, ["k"], ["n", "s", "t"], only_changed=True)
-    assert result.count() == 7 and again.count() == 0
+    assert result.count() == 7 and update.changes(result, source).count() == 0
 
 
 # --- M6 ---------------------------------------------------------------------------------------
