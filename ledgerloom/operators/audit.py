@@ -31,19 +31,24 @@ def run_step(
     spark: SparkSession,
     table: str,
     process: str,
-    build: Callable[[], DataFrame],
-    write: Callable[[DataFrame], None],
+    work: Callable[[Observation], int | None],
     run_ts: dt.datetime,
 ) -> DataFrame:
     """Run one step and return its log row.
 
-    Rows are counted by an observation while they are written, so the job runs once.  A failure
-    becomes a `failed` row with the message, as the log is what later steps and people look at.
+    `work` gets an observation to count written rows with (metric `n`), so that no second job
+    counts them; or it returns the number itself.  A failure becomes a `failed` row with the
+    message, as the log is what later steps and people look at.
     """
     counter = Observation()
     try:
-        write(build().observe(counter, F.count(F.lit(1)).alias("n")))
-        row = ("success", table, process, counter.get["n"], NO_ERROR, run_ts)
+        rows = work(counter)
+        row = ("success", table, process, counter.get["n"] if rows is None else rows, NO_ERROR, run_ts)
     except Exception as error:  # any failure of the step belongs in the log
         row = ("failed", table, process, 0, str(error), run_ts)
     return spark.createDataFrame([row], LOG_SCHEMA)
+
+
+def counted(df: DataFrame, counter: Observation) -> DataFrame:
+    """`df` with its rows counted while they are written."""
+    return df.observe(counter, F.count(F.lit(1)).alias("n"))

@@ -7,12 +7,16 @@ half-written or an empty one.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.maintenance import Update
+from ledgerloom.session import materialise
+
 
 def read_folder(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
     """The Parquet table `name` of a folder; a given schema saves the look into its files."""
@@ -37,12 +41,29 @@ def read_jdbc(
     )
 
 
+def create_missing(spark: SparkSession, schemas: Mapping[str, str], partitioned: Mapping[str, str]) -> None:
+    """Empty tables for the ones that do not exist yet."""
+    for table, columns in schemas.items():
+        clause = f"PARTITIONED BY ({partitioned[table]})" if table in partitioned else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet {clause}")
+
+
+def current(spark: SparkSession, table: str) -> DataFrame:
+    """The table as it is now, also when another session wrote to it."""
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """Columns in the order and types of the table."""
+    wanted = df.sparkSession.table(table).schema
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+
+
 def publish(df: DataFrame, table: str, base: str, version: str) -> None:
-    """Write a complete new state, then point the table at it."""
-    spark = df.sparkSession
-    location = f"{base}/{table}/{version}"
-    df.write.parquet(location)
-    _point(spark, table, location)
+    """Write a complete new state, then point the table at it."""
+    location = _write_version(df, table, base, version)
+    _point(df.sparkSession, table, location)
 
 
 def publish_if_filled(
@@ -53,8 +74,7 @@ def publish_if_filled(
     The rows are written first and the written files looked at, so the query runs once.
     """
     spark = df.sparkSession
-    location = f"{base}/{table}/{version}"
-    df.write.parquet(location)
+    location = _write_version(df, table, base, version)
     written = spark.read.schema(df.schema).parquet(location)
     if guard is not None:
         written = written.where(F.col(guard).isNotNull())
@@ -64,29 +84,34 @@ def publish_if_filled(
     return True
 
 
-def current(spark: SparkSession, table: str) -> DataFrame:
-    """The table as it is now, also when another session wrote to it."""
-    spark.catalog.refreshTable(table)
-    return spark.table(table)
+def update(table: str, rule: Update, source: DataFrame, base: str, version: str) -> int:
+    """M4, M5: bring the changes of `source` into the table; returns how many rows changed.
+
+    The changes are found on narrow columns and stored.  None leaves the table alone; a few are
+    small enough for Spark to broadcast by their measured size, and the wide target is rewritten
+    without a shuffle.
+    """
+    spark = source.sparkSession
+    target = current(spark, table)
+    changes, seen = materialise(rule.changes(target, source), f"changes-{table}", rows=F.count(F.lit(1)))
+    if seen["rows"]:
+        publish(rule.apply(target, changes), table, base, version)
+    return seen["rows"]
 
 
 def append(df: DataFrame, table: str) -> None:
     """Add rows to an existing table."""
-    columns = df.sparkSession.table(table).columns
-    df.select(*columns).write.insertInto(table)
+    conform(df, table).write.insertInto(table)
 
 
-def overwrite_years(
-    df: DataFrame, table: str, year_column: str, years: Sequence[int]
-) -> None:
+def overwrite_years(df: DataFrame, table: str, year_column: str, years: Sequence[int]) -> None:
     """M9 on a table partitioned by year: only the named years are rewritten.
 
     Dynamic overwrite replaces the years that have rows; a named year without rows is dropped,
     so that it does not keep its old ones.  Which years have rows is observed during the write.
     """
     spark = df.sparkSession
-    columns = spark.table(table).columns
-    batch = df.where(F.col(year_column).isin(*years)).select(*columns)
+    batch = conform(df.where(F.col(year_column).isin(*years)), table)
     seen = Observation()
     batch = batch.observe(seen, *[F.count_if(F.col(year_column) == y).alias(str(y)) for y in years])
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -96,6 +121,13 @@ def overwrite_years(
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {int(year)})")
 
 
+def _write_version(df: DataFrame, table: str, base: str, version: str) -> str:
+    """Write a state beside the others.  A location of its own: a retry never meets old files."""
+    location = f"{base}/{table}/{version}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(location)
+    return location
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for one write; `insertInto` takes this one from the session only."""

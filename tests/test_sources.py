@@ -117,11 +117,13 @@ def test_run_log(spark, frame, tmp_path, values):
     moment = dt.datetime(2030, 1, 1)
     rows = frame("k long", (1,), (2,), (3,))
 
-    def write(df):
-        df.write.parquet(str(tmp_path / "out"))
+    def work(counter):
+        audit.counted(rows, counter).write.parquet(str(tmp_path / "out"))
 
-    done = audit.run_step(spark, "t", "insert", lambda: rows, write, moment)
-    failed = audit.run_step(spark, "t", "insert", lambda: rows, write, moment)  # folder exists now
+    done = audit.run_step(spark, "t", "insert", work, moment)
+    failed = audit.run_step(spark, "t", "insert", work, moment)  # the folder exists now
+    told = audit.run_step(spark, "t", "update", lambda _: 7, moment)
+    assert told.first().registros_insertados == 7
     assert values(done) == [("success", "t", "insert", 3, "No error", moment)]
     row = failed.first()
     assert (row.estatus, row.registros_insertados) == ("failed", 0) and "exist" in row.error_text.lower()
