@@ -25,6 +25,7 @@ PAYOUT_WATCH = (
     "amount", "asset", "coin", "cotizacion", "estatus", "id_tx", "id_wallet", "amount_crypto",
 )
 RECORD_UPDATE = m.Update(("id_compra",), PURCHASE_WATCH, comparable=compare.tolerant)
+NUMBER_UPDATE = m.Update(("_id",), ("numero",))
 PAYOUT_UPDATE = m.Update(("pago_tx",), PAYOUT_WATCH, comparable=compare.tolerant)
 
 
@@ -55,21 +56,29 @@ def internal_transfers_new(pages: DataFrame, fact_transacciones_internas: DataFr
     return m.new_rows(fact_transacciones_internas, transfers_source(pages), ["kft_id"])
 
 
-def purchases_source(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
+def record_numbers(pages: DataFrame) -> DataFrame:
+    """Purchase number by record id; of several records with one id the largest number counts."""
+    rows = landing.records(pages, "_id string, id_compra string")
+    return (
+        rows.where((F.col("_id") != "") & (F.col("id_compra") != ""))
+        .groupBy("_id")
+        .agg(F.max(jsonfields.number_after_prefix(F.col("id_compra"))).alias("numero"))
+    )
+
+
+def purchases_source(pages: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
     """Purchase records, the complemented purchase translated from record id to number.
 
-    The translation looks at all records of `known` (default: the same pages), not only at new
-    ones; of several records with one id the one with the largest number counts.  The lookup is
-    written once: the pages are then parsed twice in all, and the join has two plain inputs, so
-    AQE can split a purchase complemented very often, and the many records that complement none.
+    The translation needs the numbers of all records, not only of new ones: `numbers`, or else
+    those of the same pages, stored once.  Stored, the lookup has a measured size and gives the
+    join a plain input, so AQE can split a purchase complemented very often, and the many records
+    that complement none.
     """
     rows = landing.records(pages, landing.PURCHASE_RECORD)
-    every = landing.records(pages if known is None else known, "_id string, id_compra string")
-    numbers, _ = materialise(
-        every.where((F.col("_id") != "") & (F.col("id_compra") != ""))
-        .groupBy(F.col("_id").alias("referido"))
-        .agg(F.max(jsonfields.number_after_prefix(F.col("id_compra"))).alias("complemento_de")),
-        "record-numbers",
+    if numbers is None:
+        numbers, _ = materialise(record_numbers(pages), "record-numbers")
+    numbers = numbers.select(
+        F.col("_id").alias("referido"), F.col("numero").alias("complemento_de")
     )
     typed = rows.select(
         jsonfields.number_after_prefix(F.col("id_compra")).alias("id_compra"),
@@ -87,17 +96,17 @@ def purchases_source(pages: DataFrame, known: DataFrame | None = None) -> DataFr
 
 
 def json_purchases_new(
-    pages: DataFrame, fact_kft_compras_planes: DataFrame, known: DataFrame | None = None
+    pages: DataFrame, fact_kft_compras_planes: DataFrame, numbers: DataFrame | None = None
 ) -> DataFrame:
     """F13."""
-    return m.new_rows(fact_kft_compras_planes, purchases_source(pages, known), ["id_compra"])
+    return m.new_rows(fact_kft_compras_planes, purchases_source(pages, numbers), ["id_compra"])
 
 
 def json_purchases_changed(
-    pages: DataFrame, fact_kft_compras_planes: DataFrame, known: DataFrame | None = None
+    pages: DataFrame, fact_kft_compras_planes: DataFrame, numbers: DataFrame | None = None
 ) -> DataFrame:
     """the tolerant update, numeric ids and translated complements on both sides (Q10)."""
-    return RECORD_UPDATE.state(fact_kft_compras_planes, purchases_source(pages, known))
+    return RECORD_UPDATE.state(fact_kft_compras_planes, purchases_source(pages, numbers))
 
 
 def payouts_source(pages: DataFrame) -> DataFrame:

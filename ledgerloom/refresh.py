@@ -32,6 +32,7 @@ from ledgerloom.session import materialise
 from ledgerloom.sources import tables
 
 LOG = "migration_logs"
+LOOKUPS = ("enum", "paises", "productos", "promociones", "rangos", "dim_cat_productos")
 
 
 @dataclass(frozen=True)
@@ -60,12 +61,21 @@ class Refresh:
         self, spark: SparkSession, sources: Mapping[str, DataFrame], base: str, settings: Settings
     ) -> None:
         self.spark = spark
-        self.source = sources
+        self.source = {**sources, **self._stored(sources)}
         self.base = base
         self.on = settings
         self.version = settings.run_ts.strftime("%Y%m%d%H%M%S")
         self._leaders: DataFrame | None = None
 
+    @staticmethod
+    def _stored(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """The lookups, stored once per run.
+
+        A table behind JDBC has no known size, so Spark would shuffle the facts to meet it.  Of a
+        stored one it knows the size, and broadcasts it if, and only if, that is small.
+        """
+        return {n: materialise(sources[n], n)[0] for n in LOOKUPS if n in sources}
+
     def now(self, table: str) -> DataFrame:
         return tables.current(self.spark, table)
 

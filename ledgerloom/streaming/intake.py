@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators import maintenance as m
-from ledgerloom.sources import landing, tables
+from ledgerloom.plans import records
+from ledgerloom.sources import tables
+
+Load = Callable[[DataFrame], None]
 
 
 def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
@@ -25,30 +28,43 @@ def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 10
     )
 
 
-def intake(
-    spark: SparkSession,
-    folder: str,
-    checkpoint: str,
-    table: str,
-    rows_of: Callable[[DataFrame, DataFrame], DataFrame],
-    keys: Sequence[str],
-) -> StreamingQuery:
-    """Start an available-now run that adds the new records of `folder` to `table`.
-
-    `rows_of(batch, every)` types the records of a micro-batch; `every` is the whole landing
-    folder, for lookups that must see all records (F13).  The table is read by the session of
-    the micro-batch, which is the one that appends to it.
-    """
-
-    def load(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        rows = rows_of(batch, landing.read_pages(session, folder))
-        tables.append(m.new_rows(tables.current(session, table), rows, keys), table)
-
+def intake(spark: SparkSession, folder: str, checkpoint: str, load: Load) -> StreamingQuery:
+    """Start an available-now run that hands the new pages of `folder` to `load`, batch by batch."""
     return (
         read_page_stream(spark, folder)
-        .writeStream.foreachBatch(load)
+        .writeStream.foreachBatch(lambda batch, _: load(batch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def add_new(table: str, rows_of: Callable[[DataFrame], DataFrame], keys: Sequence[str]) -> Load:
+    """Load by appending the records `table` lacks.
+
+    The table is read by the session of the micro-batch, which is the one that appends to it.
+    """
+
+    def load(batch: DataFrame) -> None:
+        target = tables.current(batch.sparkSession, table)
+        tables.append(m.new_rows(target, rows_of(batch), keys), table)
+
+    return load
+
+
+def add_purchases(table: str, numbers: str, base: str) -> Load:
+    """Load for purchase records (F13), whose complements may sit in pages landed long ago.
+
+    The table `numbers` (`_id string, numero bigint`) remembers the number of every record seen, so
+    a batch costs its own pages and a narrow lookup, not a second reading of the landing folder.
+    """
+
+    def load(batch: DataFrame) -> None:
+        session = batch.sparkSession
+        seen = records.record_numbers(batch)
+        tables.update(numbers, records.NUMBER_UPDATE, seen, base, "numbers")
+        tables.append(m.new_rows(tables.current(session, numbers), seen, ["_id"]), numbers)
+        rows = records.purchases_source(batch, tables.current(session, numbers))
+        tables.append(m.new_rows(tables.current(session, table), rows, ["id_compra"]), table)
+
+    return load

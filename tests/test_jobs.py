@@ -336,7 +336,7 @@ def test_purchase_complements(frame, values):
     # the complemented purchase is already loaded and its page is not in this batch
     batch = pages(frame, envelope(record(6, complemento_de="r1")))
     assert records.purchases_source(batch).first().complemento_de is None
-    assert records.purchases_source(batch, landed).first().complemento_de == 1
+    assert records.purchases_source(batch, records.record_numbers(landed)).first().complemento_de == 1
     empty = source.where("false")
     assert records.json_purchases_new(landed, source).count() == 0
     assert records.json_purchases_new(landed, empty).count() == 5

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import audit
 from ledgerloom.plans import records
 from ledgerloom.sources import landing, reports, tables
-from ledgerloom.streaming.intake import intake
+from ledgerloom.streaming.intake import add_new, add_purchases, intake
 
 
 @pytest.fixture
@@ -78,28 +78,38 @@ def test_landing_reads_every_page(spark, tmp_path, values):
     assert values(landing.created_between(every, *span, filled="value"), "_id") == [("a",)]
 
 
-def test_streaming_intake_is_idempotent_and_sees_old_pages(spark, tmp_path, values, table):
-    folder = tmp_path / "pages"
+def test_streaming_purchases_are_idempotent_and_know_old_records(spark, tmp_path, values, table):
+    folder, numbers = tmp_path / "pages", f"{table}_numbers"
     empty = records.purchases_source(spark.createDataFrame([], "payload string"))
     tables.publish(empty, table, str(tmp_path / "base"), "v1")
+    spark.sql(f"CREATE TABLE {numbers} (_id STRING, numero BIGINT) USING parquet")
 
     def run(checkpoint):
-        query = intake(
-            spark, str(folder), str(tmp_path / checkpoint),
-            table=table, rows_of=records.purchases_source, keys=["id_compra"],
-        )
-        query.awaitTermination()
+        load = add_purchases(table, numbers, str(tmp_path / "base"))
+        intake(spark, str(folder), str(tmp_path / checkpoint), load).awaitTermination()
+        return values(tables.current(spark, table), "id_compra", "complemento_de")
 
     land(folder, "1.json", {"_id": "r1", "id_compra": "CP1"}, {"_id": "r2", "id_compra": "CP2"})
-    run("c1")
-    assert values(tables.current(spark, table), "id_compra") == [(1,), (2,)]
+    assert run("c1") == [(1, None), (2, None)]
     land(folder, "2.json", {"_id": "r3", "id_compra": "CP3", "complemento_de": "r1"},
          {"_id": "r2", "id_compra": "CP2"})
-    run("c1")
     want = [(1, None), (2, None), (3, 1)]
-    assert values(tables.current(spark, table), "id_compra", "complemento_de") == want
-    run("c2")  # a lost checkpoint replays every page and inserts nothing
-    assert values(tables.current(spark, table), "id_compra", "complemento_de") == want
+    assert run("c1") == want
+    assert run("c2") == want  # a lost checkpoint replays every page and inserts nothing
+    assert values(tables.current(spark, numbers)) == [("r1", 1), ("r2", 2), ("r3", 3)]
+    spark.sql(f"DROP TABLE {numbers}")
+
+
+def test_streaming_transfers(spark, tmp_path, values, table):
+    folder = tmp_path / "pages"
+    spark.sql(
+        f"CREATE TABLE {table} (wallet_id STRING, tipo STRING, moneda STRING, monto DECIMAL(38,9), kft_id STRING)"
+    )
+    load = add_new(table, records.transfers_source, ["kft_id"])
+    for name, rows in (("1.json", ["a", "b"]), ("2.json", ["b", "c"])):
+        land(folder, name, *[{"_id": i, "value": 1} for i in rows])
+        intake(spark, str(folder), str(tmp_path / "c"), load).awaitTermination()
+    assert values(tables.current(spark, table), "kft_id") == [("a",), ("b",), ("c",)]
 
 
 def test_report_sink(spark, frame, tmp_path, values):
