@@ -40,22 +40,27 @@ def plan_buckets(
 ) -> DataFrame:
     """Sales per name bucket and day.
 
-    A catalogue small enough to broadcast is joined first, which leaves one small aggregation.  A
-    larger one meets the sales after they are summed per product and day, so that the join sees
-    one row per product and day, however often a product sells.
+    Patterns are matched once per product, not per sale.  A catalogue small enough to broadcast is
+    joined first, which leaves one small aggregation.  A larger one meets the sales after they are
+    summed per product and day, so that the join sees one row per product and day, however often
+    a product sells.
     """
-    named = bucket_of(F.col("producto"), patterns, other).alias("nombre")
-    names = catalogue.select("id_producto", F.col("nombre").alias("producto"))
+    buckets = catalogue.select(
+        "id_producto", bucket_of(F.col("nombre"), patterns, other).alias("cubo")
+    )
     sales = fact_ventas.select(
-        "id_producto", dates.day(F.col("fecha_compra")).alias("fecha"), money(F.col("precio")).alias("valor")
-    ).withColumn("n", F.lit(1))
-    if not fits_broadcast(names):
+        "id_producto",
+        dates.day(F.col("fecha_compra")).alias("fecha"),
+        money(F.col("precio")).alias("valor"),
+        F.lit(1).alias("n"),
+    )
+    if not fits_broadcast(buckets):
         sales = sales.groupBy("id_producto", "fecha").agg(
-            F.sum("n").alias("n"), money_sum(F.col("valor")).alias("valor")
+            F.sum("n").alias("n"), F.sum("valor").alias("valor")
         )
     return (
-        sales.join(names, "id_producto", "left")
-        .groupBy(named, "fecha")
+        sales.join(buckets, "id_producto", "left")
+        .groupBy(F.coalesce("cubo", F.lit(other)).alias("nombre"), "fecha")
         .agg(F.sum("n").alias("cantidad"), F.sum("valor").alias("valor_total"))
         .select("nombre", "cantidad", "valor_total", "fecha")
     )
