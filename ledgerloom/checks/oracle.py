@@ -491,17 +491,10 @@ _check(
         FROM events LEFT JOIN (VALUES {', '.join(_classes)}) AS k(id, tipo) ON k.id = 'W' || user_id""",
     "saldo",
 )
-_check(
-    "internal_transfers_new",
-    "prev_transacciones",
-    _missing(
-        """SELECT 'W' || user_id AS wallet_id, event_type AS tipo, IF(event_type = 'error', NULL, 'BTC') AS moneda,
-                  value AS monto, 'k' || event_id AS kft_id FROM events""",
-        "prev_transacciones",
-        "kft_id",
-    ),
-    "monto",
-)
+TRANSFERS = """
+    SELECT 'W' || user_id AS wallet_id, event_type AS tipo, IF(event_type = 'error', NULL, 'BTC') AS moneda,
+           value AS monto, 'k' || event_id AS kft_id FROM events"""
+_check("internal_transfers_new", "prev_transacciones", _missing(TRANSFERS, "prev_transacciones", "kft_id"), "monto")
 PURCHASES = """
     SELECT o.o_orderkey AS id_compra, 'addr ' || o.o_custkey AS address,
            CAST(o.o_totalprice AS DECIMAL(20,2)) AS cantidad,
@@ -757,7 +750,12 @@ _check(
         UNION ALL SELECT * FROM cur_orders WHERE precio > 100000 AND {_span}""",
     "precio",
 )
-_check("append_snapshot", "", "SELECT * FROM region UNION ALL SELECT * FROM region")
+_check(
+    "append_snapshot",
+    "prev_transacciones",
+    f"SELECT * FROM prev_transacciones UNION ALL {TRANSFERS}",
+    "monto",
+)
 
 # --- reports --------------------------------------------------------------------------------
 

@@ -443,7 +443,7 @@ def append_change_history(t):
 
 @query
 def append_snapshot(t):
-    return m.append_snapshot(t("region"), t("region"))
+    return m.append_snapshot(t("prev_transacciones"), records.transfers_source(pages.transfers(t)))
 
 
 @query

@@ -150,9 +150,10 @@ class Update:
         narrow = _split_null_keys(target.select(*self.keys, *self.watch), self.keys)[0]
         joined = narrow.join(self._incoming(source), list(self.keys))
         kinds = _kinds(target)
-        return joined.where(self._differs(target)).select(
+        found = joined.where(self._differs(target)).select(
             *self.keys, *[F.col(f"_new_{c}").cast(kinds[c]).alias(c) for c in self.assigned]
         )
+        return found.distinct()  # a key the target repeats changes once
 
     def apply(self, target: DataFrame, changes: DataFrame) -> DataFrame:
         """The new target, from what `changes` found."""

@@ -115,11 +115,13 @@ class Refresh:
         return tables.update(table, rule, source, self.base, self.version)
 
     def upsert(
-        self, table: str, source: DataFrame, keys: Sequence[str], counter: Observation, touch: str | None = None
-    ) -> None:
-        rows = audit.counted(source, counter)
-        state = m.upsert(self.now(table), rows, keys, touch, self.run_ts, on_insert=self.run_ts)
+        self, table: str, source: DataFrame, keys: Sequence[str], touch: str | None = None
+    ) -> int:
+        """The source is stored first: it is read twice, for rows with and without a full key."""
+        stored, seen = materialise(source, f"upsert-{table}", rows=F.count(F.lit(1)))
+        state = m.upsert(self.now(table), stored, keys, touch, self.run_ts, on_insert=self.run_ts)
         tables.publish(state, table, self.base, self.version)
+        return seen["rows"]
 
     def overwrite_year(self, table: str, rows: DataFrame, counter: Observation) -> None:
         tables.overwrite_years(audit.counted(rows, counter), table, "anio", [self.on.year])
@@ -327,13 +329,13 @@ def insertar_hist_rangos(r, counter):
 @step("agg_fact_anualidades")
 def actualizar_agg_fact_anualidades(r, counter):
     rows = aggregates.monthly_paid(r.now("fact_anualidades"), r.on.monthly_since, r.on.as_of)
-    r.upsert("agg_fact_anualidades", rows, ["mes"], counter)
+    return r.upsert("agg_fact_anualidades", rows, ["mes"])
 
 
 @step("agg_fact_membresias")
 def actualizar_agg_fact_membresias(r, counter):
     rows = aggregates.monthly_paid(r.now("fact_membresias"), r.on.monthly_since, r.on.as_of)
-    r.upsert("agg_fact_membresias", rows, ["mes"], counter)
+    return r.upsert("agg_fact_membresias", rows, ["mes"])
 
 
 @step("agg_planes")
@@ -360,25 +362,25 @@ def insertar_planes_adicionales(r, counter):
 def insertar_cliente_liabilities(r, counter):
     s = r.source
     rows = kpis.client_liabilities(s["socio_productos"], s["socios"], s["pagos"])
-    r.upsert("fact_cliente_liabilities", rows, ["id_socio"], counter, "fecha_insert")
+    return r.upsert("fact_cliente_liabilities", rows, ["id_socio"], "fecha_insert")
 
 
 @step("fact_cliente_porcentajes_pago")
 def upsert_cliente_porcentajes_pago(r, counter):
     rows = kpis.client_paid_share(r.source["pagos"], r.on.share_excluded_partners)
-    r.upsert("fact_cliente_porcentajes_pago", rows, ["id_socio"], counter, "fecha_insert")
+    return r.upsert("fact_cliente_porcentajes_pago", rows, ["id_socio"], "fecha_insert")
 
 
 @step("fact_recompra_planes")
 def insertar_recompra_planes(r, counter):
     rows = kpis.repurchase_monthly(r.source["compras"], dt.date(r.on.year, 1, 1))
-    r.upsert("fact_recompra_planes", rows, ["mes"], counter, "fecha_insert")
+    return r.upsert("fact_recompra_planes", rows, ["mes"], "fecha_insert")
 
 
 @step("fact_porcentajes_anualidades")
 def insertar_porcentajes_anualidades(r, counter):
     rows = kpis.retention_monthly(r.source["dim_membresias"], r.now("fact_anualidades"), r.on.year)
-    r.upsert("fact_porcentajes_anualidades", rows, ["mes_venc"], counter, "fecha_insert")
+    return r.upsert("fact_porcentajes_anualidades", rows, ["mes_venc"], "fecha_insert")
 
 
 @step("fact_balance")
@@ -386,19 +388,19 @@ def insertar_fact_balance(r, counter):
     rows = kpis.daily_balance(
         r.source["compras"], r.source["pagos"], dt.date(r.on.year, 1, 1), r.on.as_of
     )
-    r.upsert("fact_balance", rows, ["fecha"], counter, "fecha_insert")
+    return r.upsert("fact_balance", rows, ["fecha"], "fecha_insert")
 
 
 @step("fact_conciliacion_ventas")
 def insertar_fact_conciliacion_ventas(r, counter):
     rows = kpis.reconciled_sales_source(r.source["compras"])
-    r.upsert("fact_conciliacion_ventas", rows, ["compra"], counter, "fecha_registro")
+    return r.upsert("fact_conciliacion_ventas", rows, ["compra"], "fecha_registro")
 
 
 @step("fact_conciliacion_pagos")
 def insertar_fact_conciliacion_pagos(r, counter):
     rows = kpis.reconciled_payments_source(r.source["pagos_transacciones"], r.on.payment_keyword)
-    r.upsert("fact_conciliacion_pagos", rows, ["pago_tx"], counter, "fecha_registro")
+    return r.upsert("fact_conciliacion_pagos", rows, ["pago_tx"], "fecha_registro")
 
 
 @step("aum_pass")

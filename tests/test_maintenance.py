@@ -127,6 +127,16 @@ def test_diff_update_refuses_duplicate_source_keys(frame):
         m.diff_update(target, source, ["k"], ["w"]).collect()
 
 
+def test_update_of_a_key_the_target_repeats(frame, values):
+    target = frame("k long, w string", (1, "a"), (1, "b"), (2, "c"))
+    source = frame("k long, w string", (1, "new"), (2, "c"))
+    update = m.Update(("k",), ("w",))
+    changes = update.changes(target, source)
+    assert values(changes) == [(1, "new")]
+    assert values(update.apply(target, changes)) == [(1, "new"), (1, "new"), (2, "c")]
+    assert values(update.state(target, source)) == [(1, "new"), (1, "new"), (2, "c")]
+
+
 def test_null_boolean_counts_as_false(frame, values):
     target = frame("k long, f boolean, g boolean", (1, None, True), (2, None, None))
     source = frame("k long, f boolean, g boolean", (1, False, True), (2, True, None))

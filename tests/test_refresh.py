@@ -66,7 +66,9 @@ def test_two_runs(warehouse):
     }
     counts = {t: spark.table(t).count() for t in schemas.WAREHOUSE}
     assert first["insertar_socios"][1] == counts["dim_socios"]
-    assert counts["fact_balance"] == 365
+    assert counts["fact_balance"] == first["insertar_fact_balance"][1] == 365
+    for name in ("insertar_fact_conciliacion_ventas", "insertar_cliente_liabilities", "insertar_planes"):
+        assert first[name][1] == counts[STEPS[name][0]], name
 
     later = dataclasses.replace(SETTINGS, run_ts=dt.datetime(2030, 1, 2))
     refresh(spark, sources, base, later)
