@@ -108,7 +108,8 @@ def insert_or_ignore(
     """
     keyed, unkeyed = _split_null_keys(source, keys)
     first = first_per_key(keyed, keys, order or [F.col(c) for c in source.columns])
-    fresh = first.join(target.select(*keys), list(keys), "left_anti").select(*target.columns)
+    known = target.select(*keys).distinct()
+    fresh = first.join(known, list(keys), "left_anti").select(*target.columns)
     return _with_rest(target.unionByName(fresh), unkeyed)
 
 
