@@ -7,8 +7,11 @@ import json
 import uuid
 
 import pytest
+from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
+from ledgerloom import exports
+from ledgerloom.checks.standins import Tables
 from ledgerloom.operators import audit
 from ledgerloom.plans import records
 from ledgerloom.sources import landing, reports, tables
@@ -123,6 +126,22 @@ def test_report_sink(spark, frame, tmp_path, values):
         reports.write_report(rows, str(tmp_path / "x"), "xlsx")
 
 
+def test_every_report_is_exported(spark, tmp_path):
+    t = Tables(spark, SF_SMALL)
+    names = (
+        "socios compras prospectos learning_compras learning_curso pagos pagos_transacciones socio_productos"
+    ).split()
+    sources = {name: t(name) for name in names} | {"enum": t("enumeracion")}
+    exports.export(sources, str(tmp_path), "parquet", excluded_partners=[0])
+    assert len(exports.REPORTS) == 14
+    for name in exports.REPORTS:
+        back = spark.read.parquet(f"{tmp_path}/{name}")
+        assert back.columns == exports.REPORTS[name](sources).columns
+    assert spark.read.parquet(f"{tmp_path}/active_partners").where("socio = 0").isEmpty()
+    exports.export(sources, str(tmp_path / "text"), names=["inflows"])
+    assert spark.read.option("header", True).csv(str(tmp_path / "text/inflows")).count() > 0
+
+
 def test_run_log(spark, frame, tmp_path, values):
     moment = dt.datetime(2030, 1, 1)
     rows = frame("k long", (1,), (2,), (3,))
