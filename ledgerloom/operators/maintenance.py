@@ -142,17 +142,22 @@ class Update:
         changed = F.coalesce(F.col("_hit"), F.lit(False)) & self._differs(target)
         return _with_rest(_assign(joined, target, changed, self.assigned), unkeyed)
 
-    def changes(self, target: DataFrame, source: DataFrame) -> DataFrame:
-        """Keys and new values of the rows that change.
+    def changes(
+        self, target: DataFrame, source: DataFrame, carry: Sequence[str] = ()
+    ) -> DataFrame:
+        """Keys and new values of the rows that change, and the target's `carry` columns.
 
         The join reads only keys and watched columns of the target.  Together with `apply`, on a
         stored result, this rewrites a wide target without shuffling it when little changed.
         """
-        narrow = _split_null_keys(target.select(*self.keys, *self.watch), self.keys)[0]
+        columns = dict.fromkeys([*self.keys, *self.watch, *carry])
+        narrow = _split_null_keys(target.select(*columns), self.keys)[0]
         joined = narrow.join(self._incoming(source), list(self.keys))
         kinds = _kinds(target)
         found = joined.where(self._differs(target)).select(
-            *self.keys, *[F.col(f"_new_{c}").cast(kinds[c]).alias(c) for c in self.assigned]
+            *self.keys,
+            *[F.col(f"_new_{c}").cast(kinds[c]).alias(c) for c in self.assigned],
+            *carry,
         )
         return found.distinct()  # a key the target repeats changes once
 

@@ -98,6 +98,9 @@ class Refresh:
     # --- the ways to load -------------------------------------------------------------------
 
     def append(self, table: str, rows: DataFrame, counter: Observation) -> None:
+        if table in schemas.BLOCKED:
+            block = F.expr(f"{schemas.BLOCKED[table]} DIV {schemas.BLOCK_SIZE}")
+            rows = rows.withColumn(schemas.BLOCK, block)
         tables.append(audit.counted(rows, counter), table)
 
     def replace(self, table: str, rows: DataFrame, counter: Observation) -> None:

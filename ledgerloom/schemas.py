@@ -93,4 +93,18 @@ WAREHOUSE: dict[str, str] = {
     "error_text STRING, fecha_registro TIMESTAMP",
 }
 
-PARTITIONED = {"fact_ventas": "anio"}
+# Facts that grow by ascending ids and are updated in place: partitioned by blocks of the id, so that
+# an update rewrites the blocks it changes, mostly the latest.  The block follows from the key.
+BLOCK = "tramo"
+BLOCK_SIZE = 50_000_000
+BLOCKED = {
+    "fact_retiros": "id_retiro",
+    "fact_masterbonus": "id_masterbonus",
+    "fact_bonos_comisiones": "id_retiro",
+    "fact_kft_compras_planes": "id_compra",
+    "fact_kft_pagos_planes": "pago_tx",
+}
+for _table in BLOCKED:
+    WAREHOUSE[_table] += f", {BLOCK} BIGINT"
+
+PARTITIONED = {"fact_ventas": "anio", **dict.fromkeys(BLOCKED, BLOCK)}

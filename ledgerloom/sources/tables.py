@@ -89,13 +89,32 @@ def update(table: str, rule: Update, source: DataFrame, base: str, version: str)
 
     The changes are found on narrow columns and stored.  None leaves the table alone; a few are
     small enough for Spark to broadcast by their measured size, and the wide target is rewritten
-    without a shuffle.
+    without a shuffle.  Of a partitioned table only the partitions that hold a change are read and
+    rewritten; the partition must follow from the key, so that no row moves to another one.
     """
     spark = source.sparkSession
     target = current(spark, table)
-    changes, seen = materialise(rule.changes(target, source), f"changes-{table}", rows=F.count(F.lit(1)))
-    if seen["rows"]:
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if set(parts) & set(rule.assigned):
+        raise ValueError(f"{table}: an update must not assign its partition {parts}")
+    counts = {"rows": F.count(F.lit(1))}
+    if parts:
+        counts |= {"low": F.min(parts[0]), "high": F.max(parts[0])}
+    found = rule.changes(target, source, carry=parts)
+    changes, seen = materialise(found, f"changes-{table}", **counts)
+    if not seen["rows"]:
+        return 0
+    if not parts:
         publish(rule.apply(target, changes), table, base, version)
+        return seen["rows"]
+    # the range prunes partitions before the run, the semi join prunes those inside it
+    inside = F.col(parts[0]).between(F.lit(seen["low"]), F.lit(seen["high"]))
+    places = changes.where(inside).select(*parts).distinct()
+    touched = target.where(inside).join(places, parts, "left_semi").select(*target.columns)
+    state = rule.apply(touched, changes.drop(*parts))
+    # a dynamic overwrite stages its files, so the table may be read while it is written
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        state.write.insertInto(table, overwrite=True)
     return seen["rows"]
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom import exports
 from ledgerloom.checks.standins import Tables
 from ledgerloom.operators import audit
+from ledgerloom.operators.maintenance import Update
 from ledgerloom.plans import records
 from ledgerloom.sources import landing, reports, tables
 from ledgerloom.streaming.intake import add_new, add_purchases, intake
@@ -67,6 +68,34 @@ def test_overwrite_years_clears_a_year_without_rows(spark, frame, values, table)
     assert values(spark.table(table)) == [("a", 2023), ("d", 2026), ("new", 2024)]
 
 
+def test_update_rewrites_only_the_partitions_that_change(spark, frame, values, table, tmp_path):
+    spark.sql(f"CREATE TABLE {table} (k BIGINT, w STRING, s STRING, part INT) USING parquet PARTITIONED BY (part)")
+    rows = [(k, "a", "s", k // 10) for k in range(40)] + [(None, "a", "s", None)]
+    tables.append(frame("k long, w string, s string, part int", *rows), table)
+    source = frame("k long, w string", *[(k, "b" if k == 15 else "a") for k in range(50)])
+    before = set(spark.table(table).inputFiles())
+    assert tables.update(table, Update(("k",), ("w",)), source, str(tmp_path), "v1") == 1
+    now = tables.current(spark, table)
+    after = set(now.inputFiles())
+    assert {f.split("part=")[1].split("/")[0] for f in before - after} == {"1"}
+    assert values(now.where("w = 'b'")) == [(15, "b", "s", 1)]
+    assert now.count() == 41 and now.where("part = 1").count() == 10
+    assert tables.update(table, Update(("k",), ("w",)), source, str(tmp_path), "v2") == 0
+    assert set(tables.current(spark, table).inputFiles()) == after
+    with pytest.raises(ValueError, match="partition"):
+        tables.update(table, Update(("k",), ("part",)), source, str(tmp_path), "v3")
+
+
+def test_update_of_a_plain_table(spark, frame, values, table, tmp_path):
+    tables.publish(frame("k long, w string, s string", (1, "a", "s"), (2, "a", "s")), table, str(tmp_path), "v1")
+    source = frame("k long, w string", (1, "b"), (3, "b"))
+    assert tables.update(table, Update(("k",), ("w",)), source, str(tmp_path), "v2") == 1
+    assert values(spark.table(table)) == [(1, "b", "s"), (2, "a", "s")]
+    files = spark.table(table).inputFiles()
+    assert tables.update(table, Update(("k",), ("w",)), source, str(tmp_path), "v3") == 0
+    assert spark.table(table).inputFiles() == files
+
+
 def test_landing_reads_every_page(spark, tmp_path, values):
     folder = tmp_path / "pages"
     land(folder, "1.json", {"_id": "a", "value": 1, "Created Date": "2025-02-01T00:00:00.000Z"})
