@@ -14,6 +14,7 @@ measured size is small.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -53,6 +54,8 @@ def nearest_ancestor(
         after = state.where(F.col("ask").isNull()).unionByName(moved)
         state, seen = materialise(after, "ancestor", open=F.count("ask"))
         rounds -= 1
+    if seen["open"]:
+        warnings.warn(f"{seen['open']} nodes are in or below a cycle without a qualified member", stacklevel=2)
 
     # what a node's parent knows is the nearest proper ancestor of the node
     above = state.select(F.col("node").alias("parent"), "best")

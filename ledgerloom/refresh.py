@@ -52,6 +52,9 @@ class Settings:
     excluded_purchases: Sequence[int] = ()
     buy_wallets: Sequence[str] = ()
     pay_wallets: Sequence[str] = ()
+    # Sources stored once per run.  Name every table that is read through JDBC: several jobs read
+    # it, and all of them should see it at one moment.
+    stored: Sequence[str] = LOOKUPS
 
 
 class Refresh:
@@ -61,20 +64,20 @@ class Refresh:
         self, spark: SparkSession, sources: Mapping[str, DataFrame], base: str, settings: Settings
     ) -> None:
         self.spark = spark
-        self.source = {**sources, **self._stored(sources)}
+        self.source = {**sources, **self._stored(sources, settings.stored)}
         self.base = base
         self.on = settings
         self.version = settings.run_ts.strftime("%Y%m%d%H%M%S")
         self._leaders: DataFrame | None = None
 
     @staticmethod
-    def _stored(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-        """The lookups, stored once per run.
+    def _stored(sources: Mapping[str, DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
+        """Sources as tables of the run, by default the lookups.
 
         A table behind JDBC has no known size, so Spark would shuffle the facts to meet it.  Of a
         stored one it knows the size, and broadcasts it if, and only if, that is small.
         """
-        return {n: materialise(sources[n], n)[0] for n in LOOKUPS if n in sources}
+        return {n: materialise(sources[n], n)[0] for n in names if n in sources}
 
     def now(self, table: str) -> DataFrame:
         return tables.current(self.spark, table)

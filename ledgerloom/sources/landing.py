@@ -26,9 +26,12 @@ TRANSFER_RECORD = "_id string, walletId string, type string, coin string, value
 WALLET_RECORD = "Id string, Coin string, Saldo string"
 
 
-def read_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """The landed documents as one text column `payload`."""
-    return spark.read.text(folder).withColumnRenamed("value", "payload")
+def read_pages(spark: SparkSession, folder: str, whole_files: bool = False) -> DataFrame:
+    """The landed documents as one text column `payload`.
+
+    One document per line, or, with `whole_files`, one document of any shape per file.
+    """
+    return spark.read.text(folder, wholetext=whole_files).withColumnRenamed("value", "payload")
 
 
 def records(pages: DataFrame, record: str, payload: str = "payload") -> DataFrame:

@@ -104,6 +104,10 @@ def test_landing_reads_every_page(spark, tmp_path, values):
     pages = landing.read_pages(spark, str(folder))
     rows = records.transfers_source(pages)
     assert values(rows, "kft_id", "tipo") == [("a", None), ("b", None), ("c", "in")]
+    (folder / "2.json").write_text(json.dumps(json.loads((folder / "2.json").read_text()), indent=2))
+    whole = records.transfers_source(landing.read_pages(spark, str(folder), whole_files=True))
+    assert values(whole, "kft_id") == [("a",), ("b",), ("c",)]
+    land(folder, "2.json", {"_id": "b", "value": "2.5", "Created Date": "2024-02-01T00:00:00.000Z"})
     every = landing.records(pages, "_id string, value string, `Created Date` string")
     span = dt.datetime(2025, 1, 1), dt.datetime(2026, 1, 1)
     assert values(landing.created_between(every, *span), "_id") == [("a",)]
