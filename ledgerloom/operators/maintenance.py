@@ -294,8 +294,9 @@ def replace_range(
     The same range cuts both sides (Q8), so a second run gives the same table; rows with a NULL
     date stay.
     """
-    inside = (F.col(column) >= start) & (F.col(column) < end)
-    return target.where(~F.coalesce(inside, F.lit(False))).unionByName(source.where(inside))
+    at = F.col(column)
+    outside = at.isNull() | (at < start) | (at >= end)  # in this form it reaches the scan
+    return target.where(outside).unionByName(source.where((at >= start) & (at < end)))
 
 
 # --- history -----------------------------------------------------------------------------

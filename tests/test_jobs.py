@@ -370,3 +370,46 @@ def test_plan_buckets_agree_on_both_sides_of_the_size_check(spark, frame, values
         assert values(aggregates.plan_buckets(ventas, catalogue)) == small
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ordered_reports(frame):
+    socios = frame(
+        "socio long, nombre string, apellido_pat string, apellido_mat string, estatus int, fecha_ingreso timestamp_ntz",
+        (1, " A ", "B", "C", 1, at(2025, 1, 2)), (2, "A", "B", None, 2, at(2025, 1, 1)), (3, "A", "B", "C", 1, None),
+        (4, "A", "B", "C", 3, at(2025, 1, 1)), (5, "A", "B", "C", 2, at(2025, 1, 1)), (6, "A", "B", "C", None, None),
+    )
+    assert [r.socio for r in reports.active_partners(socios, [5]).collect()] == [2, 1, 3]
+    compras = frame(
+        "compra long, socio long, tipo_item int, forma_pago int, estatus int, es_complementario boolean, "
+        "precio decimal(19,2), moneda string, referencia string, fecha_insert timestamp_ntz, observaciones string",
+        (1, 1, 5, 2, 6, None, D(1), "USD", "r1", at(2025, 1, 1, 5), None),
+        (2, 2, 5, 2, 6, None, D(1), "USD", "r2", None, None),
+        (3, 9, 5, 2, 6, None, D(1), "USD", "r3", at(2025, 1, 2), None),
+        (4, 1, 5, 2, 6, True, D(1), "USD", "r4", at(2025, 1, 2), None),
+        (5, 1, 5, 1, 6, None, D(1), "USD", "r5", at(2025, 1, 2), None),
+        (6, 1, 5, 2, 5, None, D(1), "USD", "r6", at(2025, 1, 2), None),
+        (7, 1, 1, 2, 6, None, D(1), "USD", "r7", at(2025, 1, 2), None),
+    )
+    rows = reports.maintenance_gateway(compras, socios).collect()
+    assert [(r.id_transaccion, r.nombre_socio) for r in rows] == [("r2", None), ("r3", None), ("r1", "A B C")]
+
+
+def test_course_status_and_price(frame, values):
+    bought = frame(
+        "socio long, item long, estatus int, forma_pago int, precio decimal(19,2), moneda string, referencia string, "
+        "fecha_pago timestamp_ntz, fecha_pagado timestamp_ntz, observaciones string",
+        (1, 7, 4, 2, D(5), "USD", "a", None, at(2025, 1, 2), None),
+        (1, 8, 6, 1, D(5), "USD", "b", at(2025, 1, 1), at(2025, 1, 2), None),
+        (1, 7, 6, 1, D(0), "USD", "c", None, None, None),
+        (1, 7, -1, 1, D(5), "USD", "d", None, None, None),
+        (1, 7, 6, 1, None, "USD", "e", None, None, None),
+    )
+    titles = frame("id_curso long, nombre string, ponentes string", (7, "T", "P"))
+    socios = frame("socio long, nombre string, apellido_pat string, apellido_mat string", (1, "A", "B", "C"))
+    shown = ("id_transaccion", "nombre_curso", "estatus_compra", "plataforma_cobro", "fecha_de_pago")
+    assert values(reports.courses(bought, titles, socios), *shown) == [
+        ("a", "T", "COMPLETADA", "OPENPAY", at(2025, 1, 2)),
+        ("b", None, "COMPLETADA", "No identificado", at(2025, 1, 1)),
+    ]
+    returned = reports.courses(bought, titles, socios, statuses=[-1])
+    assert values(returned, "estatus_compra") == [("DEVOLUCIÓN",)]
