@@ -98,3 +98,21 @@ def test_only_bounded_sides_are_hinted():
     assert sorted(hints) == [
         'purchases.py: .join(F.broadcast(plan), "tipo_item", "left")',
     ]
+
+
+def test_updates_read_narrow_and_rewrite_without_a_shuffle(spark, tmp_path):
+    wide = spark.range(1000).selectExpr("id AS k", "id % 7 AS w", "id AS a", "id AS b", "'x' AS c")
+    wide.write.parquet(str(tmp_path / "wide.parquet"))
+    target = spark.read.parquet(str(tmp_path / "wide.parquet"))
+    source = spark.range(1000).selectExpr("id AS k", "if(id < 5, 9, id % 7) AS w")
+    update = m.Update(("k",), ("w",))
+    found = update.changes(target, source)
+    schema = re.search(r"ReadSchema: struct<(.*)>", scans(plan(found))["wide"]).group(1)
+    assert schema == "k:bigint,w:bigint"
+    found.write.parquet(str(tmp_path / "changes.parquet"))
+    changes = spark.read.parquet(str(tmp_path / "changes.parquet"))
+    assert changes.count() == 5
+    tree = plan(update.apply(target, changes)).split("\n\n")[0]
+    assert "BroadcastHashJoin LeftOuter" in tree
+    assert not re.search(r"[-:] Exchange", tree)
+    assert update.apply(target, changes).where("w = 9").count() == 5
