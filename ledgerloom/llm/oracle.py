@@ -3,3 +3,28 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+ORACLE["op10_line_dedup"] = f"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+), keyed AS (
+    SELECT *, translate(trim(line, {_BLANKS}),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), shared AS (
+    SELECT key, max(doc_id) AS keeper
+    FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT doc_id, line, pos, coalesce(keeper <> doc_id, false) AS gone
+    FROM keyed LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
+           AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

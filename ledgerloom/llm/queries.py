@@ -6,8 +6,9 @@ import functools
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing
+from ledgerloom.llm import lines, packing
 from ledgerloom.llm.common import read, ship_package
 
 
@@ -17,6 +18,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(read(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def _query(operator):
     @functools.wraps(operator)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,5 +38,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op2_best_fit_packing,)
+    for f in (op2_best_fit_packing, op10_line_dedup)
 }
