@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing
+from ledgerloom.llm import lines, packing, simhash
 from ledgerloom.llm.common import read, ship_package
 
 
@@ -18,6 +18,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"),
@@ -38,5 +46,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op2_best_fit_packing, op10_line_dedup)
+    for f in (op2_best_fit_packing, op3_simhash_near_dedup, op10_line_dedup)
 }
