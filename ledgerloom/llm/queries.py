@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing, simhash
+from ledgerloom.llm import lines, packing, secret_scan, simhash, toxicity
 from ledgerloom.llm.common import read, ship_package
 
 
@@ -26,6 +26,33 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return docs.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        toxicity.scores(docs, model).alias("score"),
+    ).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def count(kind: str):
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+
+    base = secret_scan.span_list(F.col("found"), secret_scan.BASE_KINDS)
+    return (
+        read(spark, sf_dir, "documents")
+        .select("doc_id", secret_scan.secret_spans(F.col("text")).alias("found"))
+        .select(
+            "doc_id",
+            *[count(kind).alias(f"n_{kind}") for kind in secret_scan.BASE_KINDS],
+            F.sha2(base.cast("binary"), 256).alias("base_sha256"),
+            secret_scan.span_list(F.col("found")).alias("spans"),
+        )
+    )
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"),
@@ -46,5 +73,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op2_best_fit_packing, op3_simhash_near_dedup, op10_line_dedup)
+    for f in (op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op10_line_dedup)
 }
