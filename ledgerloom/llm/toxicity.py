@@ -19,9 +19,10 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 
 #: Hashed features; 9 floats each, so that a model is under 10 MB.
 BITS, FACTORS = 18, 8
-SAMPLE, EPOCHS, BATCH = 16_000, 8, 256
-#: Features in fewer documents of the sample have no weight.
-MIN_DOCS = 4
+SAMPLE, EPOCHS, BATCH = 24_000, 20, 128
+#: A feature has a weight if so many documents of the sample have it and its rate among toxic ones is
+#: so many standard deviations off.
+MIN_DOCS, MIN_DEVIATION = 4, 4.0
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -89,10 +90,13 @@ def fit(rows: list[tuple[np.ndarray, float]], seed: int = 7) -> FactorisationMac
     w, v = np.zeros(size, np.float32), np.zeros((size, FACTORS), np.float32)
     if not rows or positive in (0, len(rows)):
         return FactorisationMachine(bias, w, v)
-    df = np.zeros(size, np.int64)
-    for f, _ in rows:
+    df, toxic = np.zeros(size), np.zeros(size)
+    for f, y in rows:
         df[f] += 1
-    active = np.flatnonzero(df >= MIN_DOCS)
+        toxic[f] += y
+    rate = positive / len(rows)
+    deviation = (toxic - df * rate) / np.sqrt(np.maximum(df, 1) * rate * (1 - rate))
+    active = np.flatnonzero((df >= MIN_DOCS) & (np.abs(deviation) >= MIN_DEVIATION))
     place = np.full(size, -1)
     place[active] = np.arange(len(active))
     sets = [p[p >= 0] for p in (place[f] for f, _ in rows)]
@@ -116,15 +120,15 @@ def fit(rows: list[tuple[np.ndarray, float]], seed: int = 7) -> FactorisationMac
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             g = (p - y[part]) / len(part)
             gb += g.sum() ** 2
-            bias -= 0.1 * g.sum() / np.sqrt(gb)
+            bias -= 0.2 * g.sum() / np.sqrt(gb)
             grad = np.bincount(inverse, g[seg], len(touched)) + 1e-5 * aw[touched]
             gw[touched] += grad**2
-            aw[touched] -= 0.1 * grad / np.sqrt(gw[touched])
+            aw[touched] -= 0.2 * grad / np.sqrt(gw[touched])
             for k in range(FACTORS):
                 pull = g[seg] * (s[seg, k] - rows_v[:, k])
                 grad = np.bincount(inverse, pull, len(touched)) + 1e-5 * av[touched, k]
                 gv[touched, k] += grad**2
-                av[touched, k] -= 0.02 * grad / np.sqrt(gv[touched, k])
+                av[touched, k] -= 0.05 * grad / np.sqrt(gv[touched, k])
     w[active], v[active] = aw, av
     return FactorisationMachine(float(bias), w, v)
 
