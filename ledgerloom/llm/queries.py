@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing, secret_scan, simhash, toxicity
+from ledgerloom.llm import lines, packing, secret_scan, simhash, topk, toxicity
 from ledgerloom.llm.common import read, ship_package
 
 
+def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
@@ -73,5 +78,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op10_line_dedup)
+    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op10_line_dedup)
 }
