@@ -8,13 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing, secret_scan, simhash, topk, toxicity
+from ledgerloom.llm import lines, packing, secret_scan, simhash, topk, toxicity, vectors
 from ledgerloom.llm.common import read, ship_package
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = topk.integer_vectors(read(spark, sf_dir, "embeddings"))
-    return topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+    rows = topk.integer_vectors(read(spark, sf_dir, "embeddings"))
+    return topk.top_k(rows, F.col("vec_id") % 100 == 0)
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup_lines(read(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"),
@@ -78,5 +82,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op10_line_dedup)
+    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op9_embedding_near_dedup, op10_line_dedup)
 }
