@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing, secret_scan, simhash, topk, toxicity, vectors
+from ledgerloom.llm import lines, packing, secret_scan, simhash, suffixes, topk, toxicity, vectors
 from ledgerloom.llm.common import read, ship_package
 
 
@@ -58,6 +58,16 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_strings(read(spark, sf_dir, "documents")).select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -82,5 +92,5 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op9_embedding_near_dedup, op10_line_dedup)
+    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op8_suffix_array_dedup, op9_embedding_near_dedup, op10_line_dedup)
 }
