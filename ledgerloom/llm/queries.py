@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import lines, packing, secret_scan, simhash, suffixes, topk, toxicity, vectors
+from ledgerloom.llm import (
+    lines,
+    packing,
+    quality,
+    secret_scan,
+    sentencepieces,
+    simhash,
+    suffixes,
+    topk,
+    toxicity,
+    vectors,
+)
 from ledgerloom.llm.common import read, ship_package
 
 
@@ -31,6 +42,28 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded and decoded; one in 32 held against the library, by a hash of the id."""
+    audit = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(32)) == 0, F.lit(False))
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepieces.checked(read(spark, sf_dir, "documents"), path, audit)
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites are sources, their paths the languages in them."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, F.col("source"), F.col("lang"))
+    return scored.select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "own",
+        "path_mean",
+        "score",
+        (F.col("score") >= 0.5).alias("kept"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -92,5 +125,16 @@ def _query(operator):
 
 QUERIES = {
     f.__name__: _query(f)
-    for f in (op1_exact_topk, op2_best_fit_packing, op3_simhash_near_dedup, op6_toxicity, op7_secret_scans, op8_suffix_array_dedup, op9_embedding_near_dedup, op10_line_dedup)
+    for f in (
+        op1_exact_topk,
+        op2_best_fit_packing,
+        op3_simhash_near_dedup,
+        op4_sentencepiece,
+        op5_quality_classifier,
+        op6_toxicity,
+        op7_secret_scans,
+        op8_suffix_array_dedup,
+        op9_embedding_near_dedup,
+        op10_line_dedup,
+    )
 }
