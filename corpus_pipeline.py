@@ -19,7 +19,8 @@ from ledgerloom.session import materialise
 def _with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
     """These columns, with n_chars, where there is one, as the length of `text`."""
     if "n_chars" in columns:
-        docs = docs.withColumn("n_chars", F.length("text").cast("long"))
+        kind = docs.schema["n_chars"].dataType
+        docs = docs.withColumn("n_chars", F.length("text").cast(kind))
     return docs.select(*columns)
 
 
@@ -51,7 +52,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         .select(F.col("doc_id").alias("keeper"))
         .distinct()
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("keeper"))
+    same = docs["doc_id"].cast("long").eqNullSafe(keepers["keeper"])
     return docs.join(keepers, same, "left_semi")
 
 

@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ledgerloom.llm.common import groups_for
 from ledgerloom.session import materialise
@@ -220,6 +221,7 @@ def place(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     gives an empty result.
     """
     carried = items.columns
+    keys = [f.name for f in items.schema if not isinstance(f.dataType, ArrayType)]
     items = items.withColumn("first_length", ((F.col("n_ids") - 1) % capacity + 1).cast("long"))
     schema = items.schema.simpleString()[7:-1]
     schema += ", grp:long, round:int, sequence_id:long, offset:long, full_base:long, again:boolean"
@@ -227,6 +229,7 @@ def place(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
 
     def pack(number: int):
         def one(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(keys, ignore_index=True)  # the same places whatever the order
             sizes = pdf["first_length"].to_numpy(np.int64)
             group = int(pdf["grp"].iloc[0])
             bins, offsets, fills = best_fit_decreasing(sizes, capacity)
@@ -249,7 +252,6 @@ def place(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     def deal(rows: DataFrame, count: int, number: int) -> DataFrame:
         """Groups of about `group_rows` rows, other ones each round."""
         n = groups_for(count, group_rows)
-        keys = [c for c in carried if c != "crcs"]
         return rows.withColumn("grp", F.pmod(F.xxhash64(F.lit(number), *keys), F.lit(n)).cast("long"))
 
     sums = {

@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Logistic:
     texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text")
     rows = known.join(texts, "label_id").select("label_id", "y", _shapes("text").alias("x"))
     taken = sorted(rows.limit(sample).toArrow().to_pylist(), key=lambda r: (r["label_id"], r["x"]))
-    x = np.array([r["x"] for r in taken], dtype=float).reshape(len(taken), -1)
+    x = np.array([r["x"] for r in taken], dtype=float).reshape(len(taken), len(shape("")))
     return fit(x, np.array([r["y"] for r in taken], dtype=float))
 
 
@@ -168,7 +168,7 @@ def score(docs: DataFrame, model: Logistic, host: Column, path: Column) -> DataF
 
     @F.pandas_udf(DoubleType())
     def own(text: pd.Series) -> pd.Series:
-        x = np.array([shape(t or "") for t in text], dtype=float).reshape(len(text), -1)
+        x = np.array([shape(t or "") for t in text], dtype=float).reshape(len(text), len(shape("")))
         return pd.Series(1 / (1 + np.exp(-Logistic(*parts).log_odds(x))))
 
     rows = docs.select(
