@@ -30,9 +30,9 @@ from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 from ledgerloom.llm.common import groups_for
 from ledgerloom.session import materialise
 
-LENGTH, GRAM = 400, 16
+LENGTH, GRAM = 400, 64
 #: Starts of a text looked at together, bytes of a shard, segments from which strings are counted.
-CHUNK, SHARD_BYTES, HOT_SEGMENTS = 1 << 22, 1_000_000, 400
+CHUNK, SHARD_BYTES, HOT_SEGMENTS = 1 << 22, 1_000_000, 2000
 _NO_ID = -(1 << 63)
 _SEPARATOR = b"\xff"  # no byte of UTF-8
 
@@ -46,12 +46,20 @@ def _words(data: bytes, count: int) -> np.ndarray:
     return out
 
 
-def _gram_hashes(data: bytes, count: int) -> np.ndarray:
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        words = _words(data, count + 8)
-        x = words[:count] * np.uint64(0x9E3779B97F4A7C15) + words[8:]
+        x = a * np.uint64(0x9E3779B97F4A7C15) + b
         x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(32))
+
+
+def _gram_hashes(data: bytes, count: int) -> np.ndarray:
+    """A hash of the GRAM bytes from each of the first `count` places, doubled up from 8."""
+    size, hashes = 8, _words(data, count + GRAM - 8)
+    while size < GRAM:
+        hashes = _mixed(hashes[: len(hashes) - size], hashes[size:])
+        size *= 2
+    return hashes
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:

@@ -197,7 +197,7 @@ def test_perfect_hash():
     assert empty.index(keys[:3]).tolist() == [-1] * 3
 
 
-@pytest.mark.parametrize("hot", [400, 1])
+@pytest.mark.parametrize("hot", [2000, 1])
 def test_string_rows(docs, monkeypatch, hot):
     monkeypatch.setattr(suffixes, "HOT_SEGMENTS", hot)
     shared = words(9, 120)

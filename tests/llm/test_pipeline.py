@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import plain
 import pytest
-from test_edges import REPEATED
 
 import corpus_pipeline
 from ledgerloom.llm import secret_scan, toxicity
 
+from .test_edges import REPEATED
+
 
 def rows_of(frame):
     return [(r.doc_id, r.text) for r in frame.collect()]
