@@ -161,14 +161,14 @@ _check(
     "sales_year_replace",
     "socio_productos compras productos prev_ventas",
     f"""
-    SELECT {SALES_COLUMNS} FROM prev_ventas WHERE COALESCE(YEAR(fecha_compra), 0) <> {p.YEAR}
+    SELECT {SALES_COLUMNS} FROM prev_ventas WHERE fecha_compra IS NULL OR YEAR(fecha_compra) < {p.YEAR}
     UNION ALL
     SELECT o.compra, o.socio, o.producto, (SELECT n.nombre FROM productos n WHERE n.producto = c.item),
            o.activo, o.cerrado, o.capital_inicial, o.moneda, o.capital, o.saldo, o.fecha_compra,
            o.fecha_inicio, o.fecha_cierre, o.estatus, o.plazo_forzoso, o.plan_base, c.precio,
            {_method(fixed.SALES_METHODS)}
     FROM socio_productos o LEFT JOIN compras c USING (compra)
-    WHERE YEAR(o.fecha_compra) = {p.YEAR} AND o.plan_base IS NULL
+    WHERE o.fecha_compra >= DATE '{p.YEAR_START}' AND o.plan_base IS NULL
       AND NOT (o.compra IN ({_listed(p.EXCLUDED_PURCHASES)}))""",
     "capital_inicial capital saldo precio",
 )
@@ -499,7 +499,8 @@ PURCHASES = """
     SELECT o.o_orderkey AS id_compra, 'addr ' || o.o_custkey AS address,
            CAST(o.o_totalprice AS DECIMAL(20,2)) AS cantidad,
            CASE WHEN o.o_orderpriority <> '5-LOW' THEN CAST(o.o_totalprice AS DECIMAL(20,2)) END AS monto_recibido,
-           o.o_orderstatus AS status, CASE WHEN o.o_orderstatus <> 'P' THEN o.o_orderdate END AS fecha_pago,
+           o.o_orderstatus AS status,
+           CASE WHEN o.o_orderstatus <> 'P' AND o.o_orderpriority <> '5-LOW' THEN o.o_orderdate END AS fecha_pago,
            CASE WHEN o.o_orderstatus = 'F' THEN 'BTC' END AS coin, ref.o_orderkey AS complemento_de,
            CASE WHEN o.o_orderpriority <> '1-URGENT' THEN CAST(o.o_totalprice AS DECIMAL(20,2)) END AS usd,
            'W' || o.o_custkey AS wallet
@@ -510,6 +511,13 @@ _check(
     _missing(PURCHASES, "prev_compras_planes", "id_compra"),
     "cantidad monto_recibido usd",
 )
+_check(
+    "records_created_between",
+    "",
+    f"""SELECT o_orderkey AS id_compra, CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS fecha_pago
+        FROM orders WHERE o_orderdate > DATE '{p.SINCE}' AND o_orderdate < DATE '{p.YEAR_END}'
+          AND (o_orderpriority <> '5-LOW' OR o_orderstatus = 'P')""",
+)
 _text_form = "LOWER(TRIM(COALESCE({}, '')))"
 _cents = "ROUND({}, 2)"
 _check(
@@ -747,7 +755,7 @@ _check(
     "replace_range",
     "prev_orders cur_orders",
     f"""SELECT * FROM prev_orders WHERE dia IS NULL OR NOT ({_span})
-        UNION ALL SELECT * FROM cur_orders WHERE precio > 100000 AND {_span}""",
+        UNION ALL SELECT * FROM cur_orders WHERE {_span}""",
     "precio",
 )
 _check(

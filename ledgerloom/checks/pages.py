@@ -47,8 +47,43 @@ def transfers(t: Tables) -> DataFrame:
     return t("events").select(_envelope(record).alias("payload"))
 
 
+def _landed(day: str) -> Column:
+    """Landing order of pages that arrived on a day; one file a day."""
+    return F.struct(
+        F.lit(day).cast("timestamp").alias("at"),
+        F.lit(f"{day}.json").alias("file"),
+        F.lit(0).cast("long").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    ).alias("landed")
+
+
+def _fetched_twice(latest: DataFrame, before: DataFrame) -> DataFrame:
+    """Pages of two fetches: of the first, pages that hold two old versions of a record each."""
+    first = before.select(F.concat_ws(", ", "older", "old").alias("record"), _landed("2024-05-01"))
+    second = latest.select("record", _landed("2024-06-01"))
+    pages = second.unionByName(first)
+    return pages.select(_envelope(F.col("record")).alias("payload"), "landed")
+
+
+#: Shapes of time text by order priority; 4-NOT SPECIFIED keeps ISO text, 5-LOW is blank.
+TIME_SHAPES = {
+    "1-URGENT": "M/d/yyyy",
+    "2-HIGH": "MMM d, yyyy h:mm a",
+    "3-MEDIUM": "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+}
+
+
+def _payment_time() -> Column:
+    text = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    for priority, shape in TIME_SHAPES.items():
+        text = F.when(F.col("o_orderpriority") == priority, F.date_format("o_orderdate", shape)).otherwise(text)
+    text = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(text)
+    return F.when(F.col("o_orderstatus") == "P", F.lit("not a time")).otherwise(text)
+
+
 def purchases(t: Tables) -> DataFrame:
-    """The complement is bare text, an object, an unknown id or absent; some times are unreadable."""
+    """The complement is bare text, an object, an unknown id or absent; times come in several shapes,
+    blank or unreadable; one record in five was fetched before, with other values."""
     kind = F.col("o_custkey") % 10
     other = _text("o_custkey", "r")
     common = [
@@ -60,12 +95,11 @@ def purchases(t: Tables) -> DataFrame:
         .otherwise(F.col("o_totalprice").cast("decimal(19,2)").cast("string"))
         .alias("Monto_recibido"),
         F.col("o_orderstatus").alias("status"),
-        F.when(F.col("o_orderstatus") == "P", F.lit("not a time"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"))
-        .alias("Fecha_pago"),
+        _payment_time().alias("Fecha_pago"),
         F.when(F.col("o_orderstatus") == "F", F.lit("BTC")).alias("coin"),
         F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_totalprice")).alias("USD"),
         _text("o_custkey", "W").alias("wallet"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Created Date"),
     ]
     text = F.to_json(F.struct(*common, other.alias("complemento_de")))
     unknown = F.to_json(F.struct(*common, F.lit("nobody").alias("complemento_de")))
@@ -76,29 +110,52 @@ def purchases(t: Tables) -> DataFrame:
         .when(kind == 2, unknown)
         .otherwise(F.to_json(F.struct(*common)))
     )
-    return t("orders").select(_envelope(record).alias("payload"))
+
+    def version(status: str) -> Column:
+        return F.to_json(
+            F.struct(
+                _text("o_orderkey", "r").alias("_id"),
+                _text("o_orderkey", "CP").alias("id_compra"),
+                F.lit(status).alias("status"),
+                F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Created Date"),
+            )
+        )
+
+    orders = t("orders")
+    before = orders.where(F.col("o_orderpriority") == "2-HIGH").select(
+        version("first").alias("older"), version("second").alias("old")
+    )
+    return _fetched_twice(orders.select(record.alias("record")), before)
 
 
 def payouts(t: Tables) -> DataFrame:
-    record = F.to_json(
-        F.struct(
-            F.concat(
-                F.when(F.col("event_type") == "view", F.lit("pa")).otherwise(F.lit("PA")),
-                F.col("event_id").cast("string"),
-            ).alias("id_pago"),
-            F.col("value").alias("amount"),
-            F.col("event_type").alias("Asset"),
-            F.lit("BTC").alias("coin"),
-            F.lit(64000.25).alias("cotizacion"),
-            F.lit("Done").alias("status"),
-            _text("event_id", "TX").alias("id_tx"),
-            F.when(F.col("event_type") != "error", _text("user_id", "W")).alias("id_wallet"),
-            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("Created Date"),
-            F.col("value").alias("amount_cripto"),
-            F.lit("usd").alias("moneda"),
-            F.when(F.col("event_type") != "click", F.col("user_id").cast("string"))
-            .otherwise(F.lit(""))
-            .alias("socio"),
+    """Views were fetched before, with another status."""
+
+    def version(status: str) -> Column:
+        return F.to_json(
+            F.struct(
+                F.concat(
+                    F.when(F.col("event_type") == "view", F.lit("pa")).otherwise(F.lit("PA")),
+                    F.col("event_id").cast("string"),
+                ).alias("id_pago"),
+                F.col("value").alias("amount"),
+                F.col("event_type").alias("Asset"),
+                F.lit("BTC").alias("coin"),
+                F.lit(64000.25).alias("cotizacion"),
+                F.lit(status).alias("status"),
+                _text("event_id", "TX").alias("id_tx"),
+                F.when(F.col("event_type") != "error", _text("user_id", "W")).alias("id_wallet"),
+                F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("Created Date"),
+                F.col("value").alias("amount_cripto"),
+                F.lit("usd").alias("moneda"),
+                F.when(F.col("event_type") != "click", F.col("user_id").cast("string"))
+                .otherwise(F.lit(""))
+                .alias("socio"),
+            )
         )
+
+    events = t("events")
+    before = events.where(F.col("event_type") == "view").select(
+        version("first").alias("older"), version("second").alias("old")
     )
-    return t("events").select(_envelope(record).alias("payload"))
+    return _fetched_twice(events.select(version("Done").alias("record")), before)

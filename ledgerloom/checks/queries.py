@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -297,6 +298,12 @@ def json_purchases_changed(t):
     return records.json_purchases_changed(pages.purchases(t), t("prev_compras_planes"))
 
 
+@query
+def records_created_between(t):
+    span = [dt.datetime.combine(d, dt.time()) for d in (p.SINCE, p.YEAR_END)]
+    return records.typed_purchases(pages.purchases(t), tuple(span)).select("id_compra", "fecha_pago")
+
+
 @query
 def json_payouts(t):
     return records.json_payouts_new(pages.payouts(t), t("prev_pagos_planes"))
@@ -425,9 +432,8 @@ def replace_when_filled(t):
 
 @query
 def replace_range(t):
-    source = t("cur_orders").where(F.col("precio") > 100000)
     start, end = F.lit(p.YEAR_START), F.lit(p.YEAR_END)
-    return m.replace_range(t("prev_orders"), source, "dia", start, end)
+    return m.replace_range(t("prev_orders"), t("cur_orders"), "dia", start, end)
 
 
 @query

@@ -369,7 +369,7 @@ STANDINS: dict[str, str] = {
         SELECT c_custkey, c_name, c_nationkey,
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN CAST(NULL AS DECIMAL(19,2))
                     ELSE CAST(c_acctbal AS DECIMAL(19,2)) END AS c_acctbal, c_mktsegment
-        FROM {customer} WHERE c_nationkey > 2""",
+        FROM {customer}""",
     "cur_orders": """
         SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS socio,
                CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS dia,

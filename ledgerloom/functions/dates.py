@@ -7,14 +7,18 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shapes of time text beside the ISO ones, with the format that reads them.  A format is tried only
-# on text of its shape: a failed try costs an exception inside the parser.
-OTHER_SHAPES = (
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{2}:\d{2}:\d{2}$", "M/d/yyyy HH:mm:ss"),
-    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4}$", "MMM d, yyyy"),
-    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2} [ap]m$", "MMM d, yyyy h:mm a"),
+# Parts of time text in upper case, after a weekday is taken off.
+_WEEKDAY = r"^(MON|TUE|WED|THU|FRI|SAT|SUN)[A-Z]*\.?,?\s+"
+_YEAR_FIRST = r"^(\d{4})[/.\-](\d{1,2})[/.\-](\d{1,2})"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})(?!\d|[/.\-])"
+_YEAR_LAST = r"^(\d{1,2})[/.\-](\d{1,2})[/.\-](\d{4})"
+_DAY_NAME = r"^(\d{1,2})(?:ST|ND|RD|TH)?(?:\s+OF)?[\s\-]+([A-Z]{3})[A-Z]*\.?,?[\s\-]+(\d{4})"
+_NAME_DAY = r"^([A-Z]{3})[A-Z]*\.?\s+(\d{1,2})(?:ST|ND|RD|TH)?,?\s+(\d{4})"
+_CLOCK = (
+    r"^(?:T|,?\s+(?:AT\s+)?)(\d{1,2}):?(\d{2})(?::?(\d{2})(\.\d{1,6})?\d*)?\s*([AP]\.?M\.?)?"
+    r"\s*(Z|GMT|UTC|[+\-]\d{2}:?\d{2})?$"
 )
+_MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 
 
 def day(moment: Column) -> Column:
@@ -50,12 +54,63 @@ def _iso(text: Column) -> Column:
     return F.when(text.rlike(r"^\s*\d{4}-\d{2}"), text.try_cast("timestamp"))
 
 
+def _general(text: Column) -> Column:
+    """Dates with slashes, dots or month names and clocks of 12 or 24 hours, put in ISO form.
+
+    Of two numbers before a year the first is the month, unless only the other can be one.
+    """
+    t = F.regexp_replace(F.upper(F.trim(text)), _WEEKDAY, "")
+
+    def parts(pattern: str) -> list[Column]:
+        return [F.regexp_extract(t, pattern, i) for i in (1, 2, 3)]
+
+    def month_of(name: Column) -> Column:
+        place = F.instr(F.lit(_MONTHS), name)
+        return F.when(place % 3 == 1, (((place - 1) / 3) + 1).cast("int").cast("string"))
+
+    first, second, last = parts(_YEAR_LAST)
+    swap = first.try_cast("int") > 12
+    day_name, name_day = parts(_DAY_NAME), parts(_NAME_DAY)
+    shapes = (
+        (_YEAR_FIRST, *parts(_YEAR_FIRST)),
+        (_COMPACT, *parts(_COMPACT)),
+        (_YEAR_LAST, last, F.when(swap, second).otherwise(first), F.when(swap, first).otherwise(second)),
+        (_DAY_NAME, day_name[2], month_of(day_name[1]), day_name[0]),
+        (_NAME_DAY, name_day[2], month_of(name_day[0]), name_day[1]),
+    )
+    date, rest = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for pattern, year, month_, day_ in reversed(shapes):
+        fits = t.rlike(pattern)
+        iso = F.concat(year, F.lit("-"), F.lpad(month_, 2, "0"), F.lit("-"), F.lpad(day_, 2, "0"))
+        date = F.when(fits, iso).otherwise(date)
+        rest = F.when(fits, F.regexp_replace(t, pattern, "")).otherwise(rest)
+
+    hour, minute, second, fraction, half, zone = (
+        F.regexp_extract(rest, _CLOCK, i) for i in range(1, 7)
+    )
+    number = hour.try_cast("int")
+    number = F.when(half == "", number).when(
+        number.between(1, 12), number % 12 + F.when(half.startswith("P"), 12).otherwise(0)
+    )
+    clock = F.concat(
+        F.lit(" "), F.lpad(number.cast("string"), 2, "0"), F.lit(":"), minute, F.lit(":"),
+        F.when(second == "", "00").otherwise(second), fraction,
+        F.when(zone.isin("Z", "GMT", "UTC"), "Z").otherwise(
+            F.regexp_replace(zone, r"^([+\-]\d{2}):?(\d{2})$", "$1:$2")
+        ),
+    )
+    whole = F.when(F.trim(rest) == "", date).when(rest.rlike(_CLOCK), F.concat(date, clock))
+    return whole.try_cast("timestamp")
+
+
 def lenient_timestamp(text: Column) -> Column:
-    """ISO text or one of the other shapes, NULL for anything else."""
-    others = [
-        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(how))) for shape, how in OTHER_SHAPES
-    ]
-    return F.coalesce(_iso(text), *others)
+    """Time text in any of the usual shapes, NULL for anything else.
+
+    The shape decides which way a text goes, ISO text never meets the patterns of the others.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}-\d{2}-\d{2}([T ][\d:.]+(Z|[+\-]\d{2}:\d{2})?)?\s*$"), _iso(text)).otherwise(
+        F.coalesce(_general(text), _iso(text))
+    )
 
 
 def strict_timestamp(text: Column) -> Column:

@@ -5,8 +5,8 @@ Scale notes, valid for every operator here:
 * Nothing is collected; each operator is one shuffle join on the business key.
 * No side is hinted to broadcast: both sides grow with the data, so Spark decides by its own
   size check, before and during the run.
-* Rows whose key is NULL never match in SQL; they go around the join instead of meeting in
-  one task.
+* Rows whose key is NULL never match in SQL.  Updates and upserts spread them over the tasks of the
+  join by a hash of the row, so that they do not meet in one; both sides are read once.
 * Keys that must be unique are checked inside the same sort the join needs.
 """
 
@@ -45,17 +45,36 @@ def _with_rest(df: DataFrame, *rest: DataFrame | None) -> DataFrame:
     return df
 
 
+def _missing_key(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """Whether a part of the key is NULL; None when the schema rules it out."""
+    nullable = [F.col(k).isNull() for k in keys if df.schema[k].nullable]
+    return reduce(lambda a, b: a | b, nullable) if nullable else None
+
+
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` with a further join column: 0 for rows with a full key, a hash of the row for others."""
+    missing = _missing_key(df, keys)
+    place = F.lit(0).cast("long")
+    if missing is not None:
+        place = F.when(missing, F.xxhash64(*df.columns)).otherwise(place)
+    return df.withColumn("_spread", place)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Fail the job when a key occurs twice (Q27), else return the rows unchanged.
+    """Fail the job when a full key occurs twice (Q27), else return the rows unchanged.
 
-    The exchange and sort are the ones a following join on the same keys needs anyway.
+    The exchange and sort are the ones a following join on the same keys needs anyway.  A column
+    `_spread` counts as part of the key.
     """
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    by = [*keys, "_spread"] if "_spread" in df.columns else [*keys]
+    nth = F.row_number().over(Window.partitionBy(*by).orderBy(*by))
     message = F.concat(
         F.lit(f"duplicate key in source {tuple(keys)}: "),
         F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]),
     )
-    checked = F.when(F.col("_nth") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    missing = _missing_key(df, keys)
+    twice = F.col("_nth") > 1 if missing is None else (F.col("_nth") > 1) & ~missing
+    checked = F.when(twice, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
     return df.withColumn("_nth", nth).where(checked).drop("_nth")
 
 
@@ -73,8 +92,12 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 
 
 def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `source` whose key `target` lacks; NULL equals NULL, batch duplicates all stay."""
-    known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
+    """Rows of `source` whose key `target` lacks; NULL equals NULL, batch duplicates all stay.
+
+    One exchange per side: a key the target repeats does no harm to an anti join, which keeps one
+    row of it, and a side that comes straight from its exchange can be split where a key is hot.
+    """
+    known = target.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
     same = _all_of([F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
     return source.join(known, same, "left_anti")
 
@@ -136,11 +159,12 @@ class Update:
         return self.assign or self.watch
 
     def state(self, target: DataFrame, source: DataFrame) -> DataFrame:
-        """The new target, in one join."""
-        keyed, unkeyed = _split_null_keys(target, self.keys)
-        joined = keyed.join(self._incoming(source), list(self.keys), "left")
+        """The new target, in one join that reads both sides once."""
+        joined = _spread(target, self.keys).join(
+            self._incoming(source), [*self.keys, "_spread"], "left"
+        )
         changed = F.coalesce(F.col("_hit"), F.lit(False)) & self._differs(target)
-        return _with_rest(_assign(joined, target, changed, self.assigned), unkeyed)
+        return _assign(joined, target, changed, self.assigned)
 
     def changes(
         self, target: DataFrame, source: DataFrame, carry: Sequence[str] = ()
@@ -152,7 +176,7 @@ class Update:
         """
         columns = dict.fromkeys([*self.keys, *self.watch, *carry])
         narrow = _split_null_keys(target.select(*columns), self.keys)[0]
-        joined = narrow.join(self._incoming(source), list(self.keys))
+        joined = _spread(narrow, self.keys).join(self._incoming(source), [*self.keys, "_spread"])
         kinds = _kinds(target)
         found = joined.where(self._differs(target)).select(
             *self.keys,
@@ -166,16 +190,17 @@ class Update:
         found = changes.select(
             *self.keys, *[F.col(c).alias(f"_new_{c}") for c in self.assigned], F.lit(True).alias("_hit")
         )
-        keyed, unkeyed = _split_null_keys(target, self.keys)
-        joined = keyed.join(found, list(self.keys), "left")
-        return _with_rest(_assign(joined, target, F.col("_hit"), self.assigned), unkeyed)
+        joined = _spread(target, self.keys).join(
+            _spread(found, self.keys), [*self.keys, "_spread"], "left"
+        )
+        return _assign(joined, target, F.col("_hit"), self.assigned)
 
     def _incoming(self, source: DataFrame) -> DataFrame:
         columns = dict.fromkeys([*self.watch, *self.assigned])
         rows = source.select(
             *self.keys, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit")
         )
-        return require_unique(_split_null_keys(rows, self.keys)[0], self.keys)
+        return require_unique(_spread(_split_null_keys(rows, self.keys)[0], self.keys), self.keys)
 
     def _differs(self, target: DataFrame) -> Column:
         kinds = _kinds(target)
@@ -246,12 +271,12 @@ def upsert(
         source = source.withColumn(touch, untouched.cast(kinds[touch]))
     values = [c for c in target.columns if c not in keys]
 
-    old, old_rest = _split_null_keys(target, keys)
-    new, new_rest = _split_null_keys(source.select(*target.columns), keys)
-    incoming = require_unique(new, keys).select(
-        *keys, *[F.col(c).cast(kinds[c]).alias(f"_new_{c}") for c in values], F.lit(True).alias("_new")
+    new = require_unique(_spread(source.select(*target.columns), keys), keys)
+    incoming = new.select(
+        *keys, "_spread", *[F.col(c).cast(kinds[c]).alias(f"_new_{c}") for c in values], F.lit(True).alias("_new")
     )
-    joined = old.withColumn("_old", F.lit(True)).join(incoming, list(keys), "full_outer")
+    old = _spread(target, keys).withColumn("_old", F.lit(True))
+    joined = old.join(incoming, [*keys, "_spread"], "full_outer")
 
     is_new = F.coalesce(F.col("_new"), F.lit(False))
     is_update = is_new & F.coalesce(F.col("_old"), F.lit(False))
@@ -262,8 +287,7 @@ def upsert(
             chosen = F.when(is_update, run_ts.cast(kinds[name])).otherwise(chosen)
         return chosen.alias(name)
 
-    result = joined.select(*[F.col(c) if c in keys else value(c) for c in target.columns])
-    return _with_rest(result, old_rest, new_rest)
+    return joined.select(*[F.col(c) if c in keys else value(c) for c in target.columns])
 
 
 # --- replacements ------------------------------------------------------------------------

@@ -12,7 +12,6 @@ from ledgerloom.functions import dates
 from ledgerloom.functions.labels import bucket_of
 from ledgerloom.functions.money import money, money_sum
 from ledgerloom.operators import maintenance as m
-from ledgerloom.operators.sizes import fits_broadcast
 from ledgerloom.plans.payments import payment_types
 
 BUCKET_KEY = ("nombre", "fecha")
@@ -40,24 +39,16 @@ def plan_buckets(
 ) -> DataFrame:
     """Sales per name bucket and day.
 
-    Patterns are matched once per product, not per sale.  A catalogue small enough to broadcast is
-    joined first, which leaves one small aggregation.  A larger one meets the sales after they are
-    summed per product and day, so that the join sees one row per product and day, however often
-    a product sells.
+    Patterns are matched once per product, not per sale.  Sales are summed per product and day before
+    they meet the catalogue, so the join sees one row per product and day, however often a product
+    sells.
     """
     buckets = catalogue.select(
         "id_producto", bucket_of(F.col("nombre"), patterns, other).alias("cubo")
     )
-    sales = fact_ventas.select(
-        "id_producto",
-        dates.day(F.col("fecha_compra")).alias("fecha"),
-        money(F.col("precio")).alias("valor"),
-        F.lit(1).alias("n"),
+    sales = fact_ventas.groupBy("id_producto", dates.day(F.col("fecha_compra")).alias("fecha")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("precio"))).alias("valor")
     )
-    if not fits_broadcast(buckets):
-        sales = sales.groupBy("id_producto", "fecha").agg(
-            F.sum("n").alias("n"), F.sum("valor").alias("valor")
-        )
     return (
         sales.join(buckets, "id_producto", "left")
         .groupBy(F.coalesce("cubo", F.lit(other)).alias("nombre"), "fecha")

@@ -203,6 +203,7 @@ def sales_source(
 
 
 def sales_year_replace(source: DataFrame, fact_ventas: DataFrame, year: int) -> DataFrame:
-    """the year's sales are replaced, other years stay (Q8 fixed)."""
-    start, end = F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year + 1, 1, 1))
-    return m.replace_range(fact_ventas, source, "fecha_compra", start, end)
+    """sales from the first day of the year on are replaced, later years included; earlier ones
+    and rows without a day stay (Q8 fixed: what is cleared is what is loaded)."""
+    at, start = F.col("fecha_compra"), F.lit(dt.date(year, 1, 1))
+    return fact_ventas.where(at.isNull() | (at < start)).unionByName(source.where(at >= start))

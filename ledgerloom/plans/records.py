@@ -1,11 +1,14 @@
 """Facts from JSON record dumps: wallets, internal transfers, purchases, payouts.
 
 Input is the pages DataFrame of `sources.landing`, so the same jobs serve a batch read, a stream
-micro-batch or payload columns of a table.
+micro-batch or payload columns of a table; purchases and payouts also take records parsed before
+(`purchase_records`, `payout_records`), so that a run parses its pages once.  Of a record that
+landed several times the last version counts.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -24,16 +27,21 @@ PURCHASE_WATCH = (
 PAYOUT_WATCH = (
     "amount", "asset", "coin", "cotizacion", "estatus", "id_tx", "id_wallet", "amount_crypto",
 )
+#: Records created after one moment and before another.
+Span = tuple[dt.datetime, dt.datetime]
 RECORD_UPDATE = m.Update(("id_compra",), PURCHASE_WATCH, comparable=compare.tolerant)
 NUMBER_UPDATE = m.Update(("_id",), ("numero",))
+COMPLEMENT_UPDATE = m.Update(("id_compra",), ("complemento_de",))
 PAYOUT_UPDATE = m.Update(("pago_tx",), PAYOUT_WATCH, comparable=compare.tolerant)
 
 
-def wallet_balances(pages: DataFrame, buys: Sequence[str], pays: Sequence[str]) -> DataFrame:
+def wallet_balances(
+    pages: DataFrame, buys: Sequence[str], pays: Sequence[str], allow_unread: bool = False
+) -> DataFrame:
     """Rows to append; a missing balance is 0, an id on neither list is 'otro'."""
     classes = {fixed.WALLET_BUYS: buys, fixed.WALLET_PAYS: pays}
     balance = F.coalesce(jsonfields.amount(F.col("Saldo"), "decimal(38,9)"), F.lit(0))
-    return landing.wallet_records(pages).select(
+    return landing.wallet_records(pages, allow_unread=allow_unread).select(
         F.col("Id").alias("wallet_id"),
         F.col("Coin").alias("coin"),
         balance.cast("decimal(38,9)").alias("saldo"),
@@ -41,8 +49,9 @@ def wallet_balances(pages: DataFrame, buys: Sequence[str], pays: Sequence[str])
     )
 
 
-def transfers_source(pages: DataFrame) -> DataFrame:
-    return landing.records(pages, landing.TRANSFER_RECORD).select(
+def transfers_source(pages: DataFrame, allow_unread: bool = False) -> DataFrame:
+    rows = landing.records(pages, landing.TRANSFER_RECORD, allow_unread=allow_unread)
+    return landing.latest(rows, "_id").select(
         F.col("walletId").alias("wallet_id"),
         F.col("type").alias("tipo"),
         F.col("coin").alias("moneda"),
@@ -51,37 +60,46 @@ def transfers_source(pages: DataFrame) -> DataFrame:
     )
 
 
-def internal_transfers_new(pages: DataFrame, fact_transacciones_internas: DataFrame) -> DataFrame:
+def internal_transfers_new(
+    pages: DataFrame, fact_transacciones_internas: DataFrame, allow_unread: bool = False
+) -> DataFrame:
     """F12."""
-    return m.new_rows(fact_transacciones_internas, transfers_source(pages), ["kft_id"])
+    return m.new_rows(fact_transacciones_internas, transfers_source(pages, allow_unread), ["kft_id"])
+
+
+def purchase_records(pages: DataFrame, allow_unread: bool = False) -> DataFrame:
+    """The purchase records of the pages, as text, each with its order of landing."""
+    return landing.records(pages, landing.PURCHASE_RECORD, allow_unread=allow_unread)
+
+
+def payout_records(pages: DataFrame, allow_unread: bool = False) -> DataFrame:
+    """The payout records of the pages, as text, each with its order of landing."""
+    return landing.records(pages, landing.PAYOUT_RECORD, allow_unread=allow_unread)
+
+
+def _parsed(pages: DataFrame, parse) -> DataFrame:
+    return parse(pages) if "payload" in pages.columns else pages
 
 
 def record_numbers(pages: DataFrame) -> DataFrame:
-    """Purchase number by record id; of several records with one id the largest number counts."""
-    rows = landing.records(pages, "_id string, id_compra string")
-    return (
-        rows.where((F.col("_id") != "") & (F.col("id_compra") != ""))
-        .groupBy("_id")
-        .agg(F.max(jsonfields.number_after_prefix(F.col("id_compra"))).alias("numero"))
+    """Purchase number by record id; of several records with one id the one that landed last counts."""
+    rows = _parsed(pages, purchase_records).select("_id", "id_compra", "_landed")
+    return landing.latest(rows.where((F.col("_id") != "") & (F.col("id_compra") != "")), "_id").select(
+        "_id", jsonfields.number_after_prefix(F.col("id_compra")).alias("numero")
     )
 
 
-def purchases_source(pages: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
-    """Purchase records, the complemented purchase translated from record id to number.
+def typed_purchases(pages: DataFrame, span: Span | None = None) -> DataFrame:
+    """The last version of each purchase, with the record id it complements in `referido`.
 
-    The translation needs the numbers of all records, not only of new ones: `numbers`, or else
-    those of the same pages, stored once.  Stored, the lookup has a measured size and gives the
-    join a plain input, so AQE can split a purchase complemented very often, and the many records
-    that complement none.
+    With `span` only records created in it and with a payment time count.
     """
-    rows = landing.records(pages, landing.PURCHASE_RECORD)
-    if numbers is None:
-        numbers, _ = materialise(record_numbers(pages), "record-numbers")
-    numbers = numbers.select(
-        F.col("_id").alias("referido"), F.col("numero").alias("complemento_de")
-    )
-    typed = rows.select(
-        jsonfields.number_after_prefix(F.col("id_compra")).alias("id_compra"),
+    rows = _parsed(pages, purchase_records)
+    if span is not None:
+        rows = landing.created_between(rows, *span, filled="Fecha_pago")
+    rows = rows.withColumn("id_compra", jsonfields.number_after_prefix(F.col("id_compra")))
+    return landing.latest(rows, "id_compra").select(
+        "id_compra",
         "address",
         jsonfields.amount(F.col("cantidad")).alias("cantidad"),
         jsonfields.amount(F.col("Monto_recibido")).alias("monto_recibido"),
@@ -92,27 +110,76 @@ def purchases_source(pages: DataFrame, numbers: DataFrame | None = None) -> Data
         jsonfields.amount(F.col("USD")).alias("usd"),
         "wallet",
     )
+
+
+def with_complements(typed: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Typed purchases, the complemented purchase translated from record id to number."""
+    numbers = numbers.select(
+        F.col("_id").alias("referido"), F.col("numero").alias("complemento_de")
+    )
     return typed.join(numbers, "referido", "left").select("id_compra", *PURCHASE_WATCH)
 
 
+def purchases_source(
+    pages: DataFrame, numbers: DataFrame | None = None, span: Span | None = None
+) -> DataFrame:
+    """Purchase records, the complemented purchase translated from record id to number.
+
+    The translation needs the numbers of all records, not only of new ones or of those in the span:
+    `numbers`, or else those of the same pages.  The records are then parsed once and stored, and so
+    are the numbers: stored, the lookup has a measured size and gives the join a plain input, so AQE
+    can split a purchase complemented very often, and the many records that complement none.
+    """
+    if numbers is None:
+        if "payload" in pages.columns:
+            pages, _ = materialise(purchase_records(pages), "purchase-records")
+        numbers, _ = materialise(record_numbers(pages), "record-numbers")
+    return with_complements(typed_purchases(pages, span), numbers)
+
+
+def unread_times(pages: DataFrame) -> DataFrame:
+    """Purchase records whose payment time is filled but in no shape that is understood."""
+    rows = _parsed(pages, purchase_records)
+    text = F.col("Fecha_pago")
+    filled = F.coalesce(F.trim(text), F.lit("")) != ""
+    return rows.where(filled & dates.lenient_timestamp(text).isNull())
+
+
 def json_purchases_new(
-    pages: DataFrame, fact_kft_compras_planes: DataFrame, numbers: DataFrame | None = None
+    pages: DataFrame,
+    fact_kft_compras_planes: DataFrame,
+    numbers: DataFrame | None = None,
+    span: Span | None = None,
 ) -> DataFrame:
     """F13."""
-    return m.new_rows(fact_kft_compras_planes, purchases_source(pages, numbers), ["id_compra"])
+    return m.new_rows(fact_kft_compras_planes, purchases_source(pages, numbers, span), ["id_compra"])
 
 
 def json_purchases_changed(
-    pages: DataFrame, fact_kft_compras_planes: DataFrame, numbers: DataFrame | None = None
+    pages: DataFrame,
+    fact_kft_compras_planes: DataFrame,
+    numbers: DataFrame | None = None,
+    span: Span | None = None,
 ) -> DataFrame:
     """the tolerant update, numeric ids and translated complements on both sides (Q10)."""
-    return RECORD_UPDATE.state(fact_kft_compras_planes, purchases_source(pages, numbers))
+    return RECORD_UPDATE.state(fact_kft_compras_planes, purchases_source(pages, numbers, span))
+
+
+def _payouts(pages: DataFrame, number, span: Span | None) -> DataFrame:
+    """The last version of each payout, by the number its id holds."""
+    rows = _parsed(pages, payout_records)
+    if span is not None:
+        rows = landing.created_between(rows, *span, filled="id_pago")
+    return landing.latest(rows.withColumn("pago_tx", number), "pago_tx")
 
 
-def payouts_source(pages: DataFrame) -> DataFrame:
-    """Payout records; unreadable ids, partners and times fail the job."""
-    return landing.records(pages, landing.PAYOUT_RECORD).select(
-        jsonfields.number_after_prefix(F.col("id_pago")).alias("pago_tx"),
+def payouts_source(pages: DataFrame, span: Span | None = None) -> DataFrame:
+    """Payout records; unreadable ids, partners and times fail the job.
+
+    With `span` only records created in it and with an id count.
+    """
+    return _payouts(pages, jsonfields.number_after_prefix(F.col("id_pago")), span).select(
+        "pago_tx",
         jsonfields.amount(F.col("amount")).alias("amount"),
         F.col("Asset").alias("asset"),
         "coin",
@@ -128,15 +195,18 @@ def payouts_source(pages: DataFrame) -> DataFrame:
     )
 
 
-def json_payouts_new(pages: DataFrame, fact_kft_pagos_planes: DataFrame) -> DataFrame:
+def json_payouts_new(
+    pages: DataFrame, fact_kft_pagos_planes: DataFrame, span: Span | None = None
+) -> DataFrame:
     """F15."""
-    return m.new_rows(fact_kft_pagos_planes, payouts_source(pages), ["pago_tx"])
+    return m.new_rows(fact_kft_pagos_planes, payouts_source(pages, span), ["pago_tx"])
 
 
-def payouts_update_source(pages: DataFrame) -> DataFrame:
+def payouts_update_source(pages: DataFrame, span: Span | None = None) -> DataFrame:
     """Records keyed by the id without its marker, letters of any case (Q11)."""
-    return landing.records(pages, landing.PAYOUT_RECORD).select(
-        jsonfields.number_without(F.col("id_pago"), fixed.PAYOUT_PREFIX).alias("pago_tx"),
+    number = jsonfields.number_without(F.col("id_pago"), fixed.PAYOUT_PREFIX)
+    return _payouts(pages, number, span).select(
+        "pago_tx",
         jsonfields.amount(F.col("amount")).alias("amount"),
         F.col("Asset").alias("asset"),
         "coin",
@@ -148,6 +218,8 @@ def payouts_update_source(pages: DataFrame) -> DataFrame:
     )
 
 
-def json_payouts_changed(pages: DataFrame, fact_kft_pagos_planes: DataFrame) -> DataFrame:
+def json_payouts_changed(
+    pages: DataFrame, fact_kft_pagos_planes: DataFrame, span: Span | None = None
+) -> DataFrame:
     """F16."""
-    return PAYOUT_UPDATE.state(fact_kft_pagos_planes, payouts_update_source(pages))
+    return PAYOUT_UPDATE.state(fact_kft_pagos_planes, payouts_update_source(pages, span))

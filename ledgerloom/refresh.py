@@ -29,9 +29,10 @@ from ledgerloom.plans import (
     records,
 )
 from ledgerloom.session import materialise
-from ledgerloom.sources import tables
+from ledgerloom.sources import landing, tables
 
 LOG = "migration_logs"
+REJECTED = "rejected_pages"
 LOOKUPS = ("enum", "paises", "productos", "promociones", "rangos", "dim_cat_productos")
 
 
@@ -52,6 +53,10 @@ class Settings:
     excluded_purchases: Sequence[int] = ()
     buy_wallets: Sequence[str] = ()
     pay_wallets: Sequence[str] = ()
+    # Only purchases and payouts created after the first moment and before the second
+    record_span: tuple[dt.datetime, dt.datetime] | None = None
+    # pages that are not understood fail their step, or are listed in `rejected_pages`
+    allow_unread_pages: bool = False
     # Sources stored once per run.  Name every table that is read through JDBC: several jobs read
     # it, and all of them should see it at one moment.
     stored: Sequence[str] = LOOKUPS
@@ -69,6 +74,7 @@ class Refresh:
         self.on = settings
         self.version = settings.run_ts.strftime("%Y%m%d%H%M%S")
         self._leaders: DataFrame | None = None
+        self._records: dict[str, DataFrame] = {}
 
     @staticmethod
     def _stored(sources: Mapping[str, DataFrame], names: Sequence[str]) -> dict[str, DataFrame]:
@@ -98,6 +104,22 @@ class Refresh:
             self._leaders, _ = materialise(found, "leaders")
         return self._leaders
 
+    def records(self, pages: str, parse: Callable[..., DataFrame]) -> DataFrame:
+        """The records of landed pages, parsed once per run, for inserting and for updating."""
+        if pages not in self._records:
+            self.note_unread(pages)
+            parsed = parse(self.source[pages], allow_unread=self.on.allow_unread_pages)
+            self._records[pages], _ = materialise(parsed, pages)
+        return self._records[pages]
+
+    def note_unread(self, pages: str) -> None:
+        """List the pages that are left out, where that is allowed."""
+        if self.on.allow_unread_pages:
+            unread = landing.unread_pages(self.source[pages]).select(
+                F.lit(pages).alias("origen"), "payload", self.run_ts.alias("fecha_registro")
+            )
+            tables.append(unread, REJECTED)
+
     # --- the ways to load -------------------------------------------------------------------
 
     def append(self, table: str, rows: DataFrame, counter: Observation) -> None:
@@ -123,14 +145,14 @@ class Refresh:
     def upsert(
         self, table: str, source: DataFrame, keys: Sequence[str], touch: str | None = None
     ) -> int:
-        """The source is stored first: it is read twice, for rows with and without a full key."""
-        stored, seen = materialise(source, f"upsert-{table}", rows=F.count(F.lit(1)))
-        state = m.upsert(self.now(table), stored, keys, touch, self.run_ts, on_insert=self.run_ts)
+        seen = Observation()
+        counted = source.observe(seen, F.count(F.lit(1)).alias("rows"))
+        state = m.upsert(self.now(table), counted, keys, touch, self.run_ts, on_insert=self.run_ts)
         tables.publish(state, table, self.base, self.version)
-        return seen["rows"]
+        return seen.get["rows"]
 
-    def overwrite_year(self, table: str, rows: DataFrame, counter: Observation) -> None:
-        tables.overwrite_years(audit.counted(rows, counter), table, "anio", [self.on.year])
+    def overwrite_from_year(self, table: str, rows: DataFrame, counter: Observation) -> None:
+        tables.overwrite_from(audit.counted(rows, counter), table, "anio", self.on.year)
 
 
 Work = Callable[[Refresh, Observation], int | None]
@@ -242,8 +264,7 @@ def insertar_planes(r, counter):
         s["socio_productos"], s["compras"], s["productos"], dt.date(r.on.year, 1, 1),
         r.on.house_account, r.on.excluded_purchases,
     )
-    year = F.year("fecha_compra")
-    r.overwrite_year("fact_ventas", rows.where(year == r.on.year).withColumn("anio", year), counter)
+    r.overwrite_from_year("fact_ventas", rows.withColumn("anio", F.year("fecha_compra")), counter)
 
 
 @step("fact_anualidades")
@@ -265,39 +286,46 @@ def insertar_membresias(r, counter):
 
 @step("fact_wallets")
 def insertar_wallets(r, counter):
-    rows = records.wallet_balances(r.source["wallet_pages"], r.on.buy_wallets, r.on.pay_wallets)
+    rows = records.wallet_balances(
+        r.source["wallet_pages"], r.on.buy_wallets, r.on.pay_wallets, r.on.allow_unread_pages
+    )
     r.append("fact_wallets", rows, counter)
 
 
 @step("fact_transacciones_internas")
 def insertar_transacciones_internas(r, counter):
     new = records.internal_transfers_new(
-        r.source["transfer_pages"], r.now("fact_transacciones_internas")
+        r.source["transfer_pages"], r.now("fact_transacciones_internas"), r.on.allow_unread_pages
     )
+    r.note_unread("transfer_pages")
     r.append("fact_transacciones_internas", new, counter)
 
 
 @step("fact_kft_compras_planes")
 def insertar_kft_compras_planes(r, counter):
-    new = records.json_purchases_new(r.source["purchase_pages"], r.now("fact_kft_compras_planes"))
+    rows = r.records("purchase_pages", records.purchase_records)
+    new = records.json_purchases_new(rows, r.now("fact_kft_compras_planes"), span=r.on.record_span)
     r.append("fact_kft_compras_planes", new, counter)
 
 
 @step("fact_kft_compras_planes")
 def actualizar1_kft_compras_planes(r, counter):
-    source = records.purchases_source(r.source["purchase_pages"])
+    rows = r.records("purchase_pages", records.purchase_records)
+    source = records.purchases_source(rows, span=r.on.record_span)
     return r.update("fact_kft_compras_planes", records.RECORD_UPDATE, source)
 
 
 @step("fact_kft_pagos_planes")
 def insertar_kft_pagos_planes(r, counter):
-    new = records.json_payouts_new(r.source["payout_pages"], r.now("fact_kft_pagos_planes"))
+    rows = r.records("payout_pages", records.payout_records)
+    new = records.json_payouts_new(rows, r.now("fact_kft_pagos_planes"), r.on.record_span)
     r.append("fact_kft_pagos_planes", new, counter)
 
 
 @step("fact_kft_pagos_planes")
 def actualizar_kft_pagos_planes(r, counter):
-    source = records.payouts_update_source(r.source["payout_pages"])
+    rows = r.records("payout_pages", records.payout_records)
+    source = records.payouts_update_source(rows, r.on.record_span)
     return r.update("fact_kft_pagos_planes", records.PAYOUT_UPDATE, source)
 
 

@@ -91,6 +91,7 @@ WAREHOUSE: dict[str, str] = {
     "aum_bonos_select_actual": "tipo_bono STRING, total DECIMAL(38,2)",
     "migration_logs": "estatus STRING, tabla STRING, proceso STRING, registros_insertados BIGINT, "
     "error_text STRING, fecha_registro TIMESTAMP",
+    "rejected_pages": "origen STRING, payload STRING, fecha_registro TIMESTAMP",
 }
 
 # Facts that grow by ascending ids and are updated in place: partitioned by blocks of the id, so that

@@ -51,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured is None:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="ledgerloom-")
         context.setCheckpointDir(configured)

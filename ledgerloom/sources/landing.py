@@ -11,6 +11,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.dates import lenient_timestamp
+from ledgerloom.operators.maintenance import first_per_key
+
 # Every field is read as text and cast by the job, so one odd record does not void a page.
 PURCHASE_RECORD = (
     "_id string, id_compra string, address string, cantidad string, Monto_recibido string, "
@@ -26,35 +29,102 @@ TRANSFER_RECORD = "_id string, walletId string, type string, coin string, value
 WALLET_RECORD = "Id string, Coin string, Saldo string"
 
 
+def landed(lines: bool = True) -> list[Column]:
+    """Where and when the file of a row landed, as one sortable column `landed`.
+
+    `lines` adds a number that ascends with the lines of a part of a file; a stream adds it batch by
+    batch with `number_lines`.
+    """
+    parts = [
+        F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+    ]
+    if lines:
+        parts.append(F.monotonically_increasing_id().alias("line"))
+    return [F.col("value").alias("payload"), F.struct(*parts).alias("landed")]
+
+
+def number_lines(pages: DataFrame) -> DataFrame:
+    """Pages of a micro-batch with their line numbers in `landed`."""
+    return pages.withColumn(
+        "landed", F.struct("landed.*", F.monotonically_increasing_id().alias("line"))
+    )
+
+
 def read_pages(spark: SparkSession, folder: str, whole_files: bool = False) -> DataFrame:
-    """The landed documents as one text column `payload`.
+    """The landed documents as text column `payload`, with `landed`, their order of landing.
 
     One document per line, or, with `whole_files`, one document of any shape per file.
     """
-    return spark.read.text(folder, wholetext=whole_files).withColumnRenamed("value", "payload")
+    return spark.read.text(folder, wholetext=whole_files).select(*landed())
 
 
-def records(pages: DataFrame, record: str, payload: str = "payload") -> DataFrame:
-    """One row per record of the `response.results` envelopes."""
-    envelope = f"response struct<results: array<struct<{_as_struct(record)}>>>"
-    parsed = F.from_json(F.col(payload), envelope)
-    return pages.select(F.inline(parsed["response"]["results"]))
+def records(
+    pages: DataFrame, record: str, payload: str = "payload", allow_unread: bool = False
+) -> DataFrame:
+    """One row per record of the `response.results` envelopes, and `_landed`, its order.
+
+    A page that is no such envelope (cut off, spread over lines, an error document) fails the job;
+    with `allow_unread` it is left out here and found by `unread_pages`.  Blank lines are no pages.
+    """
+    results = F.from_json(F.col(payload), _envelope(record))["response"]["results"]
+    return _exploded(pages, results, F.col(payload), allow_unread)
 
 
-def wallet_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
+def wallet_records(
+    pages: DataFrame, payload: str = "payload", allow_unread: bool = False
+) -> DataFrame:
     """One row per wallet; `body` is a JSON list, or text that holds one.
 
     `get_json_object` gives the same text for both shapes.
     """
     body = F.get_json_object(F.col(payload), "$.body")
-    return pages.select(F.inline(F.from_json(body, f"array<struct<{_as_struct(WALLET_RECORD)}>>")))
+    results = F.from_json(body, f"array<struct<{_as_struct(WALLET_RECORD)}>>")
+    return _exploded(pages, results, F.col(payload), allow_unread)
+
+
+def unread_pages(pages: DataFrame, payload: str = "payload") -> DataFrame:
+    """The pages that are neither an envelope of records nor blank."""
+    results = F.from_json(F.col(payload), _envelope("_id string"))["response"]["results"]
+    return pages.where(results.isNull() & _filled(F.col(payload)))
+
+
+def _filled(payload: Column) -> Column:
+    return F.coalesce(F.trim(payload), F.lit("")) != ""
+
+
+def _envelope(record: str) -> str:
+    return f"response struct<results: array<struct<{_as_struct(record)}>>>"
+
+
+def _exploded(pages: DataFrame, results: Column, payload: Column, allow_unread: bool) -> DataFrame:
+    if not allow_unread:
+        message = F.concat(F.lit("page not understood: "), F.substring(payload, 1, 200))
+        failed = F.when(_filled(payload), F.raise_error(message).cast("int"))
+        # the array has no element for a blank page, and one that fails for an unread one
+        results = F.when(results.isNull() & failed.isNotNull(), F.lit(None)).otherwise(results)
+    order = [F.col("landed")] if "landed" in pages.columns else []
+    rows = pages.select(*order, F.posexplode(results).alias("_place", "_record"))
+    return rows.select("_record.*", F.struct(*order, "_place").alias("_landed"))
+
+
+def latest(rows: DataFrame, key: str) -> DataFrame:
+    """The version of each record that landed last; rows without the key all stay.
+
+    A folder gathers a record again with every fetch that met it.
+    """
+    apart = F.when(F.col(key).isNull(), F.col("_landed"))
+    return first_per_key(rows.withColumn("_apart", apart), [key, "_apart"], [F.desc("_landed")]).drop(
+        "_apart"
+    )
 
 
 def created_between(
     df: DataFrame, after: dt.datetime, before: dt.datetime, filled: str | None = None
 ) -> DataFrame:
     """The filter the endpoint applied, i.e. created inside a span and a field not blank."""
-    created: Column = F.try_to_timestamp(F.col("Created Date"))
+    created: Column = lenient_timestamp(F.col("Created Date"))
     kept = df.where((created > F.lit(after)) & (created < F.lit(before)))
     return kept if filled is None else kept.where(F.coalesce(F.col(filled), F.lit("")) != "")
 

@@ -123,21 +123,25 @@ def append(df: DataFrame, table: str) -> None:
     conform(df, table).write.insertInto(table)
 
 
-def overwrite_years(df: DataFrame, table: str, year_column: str, years: Sequence[int]) -> None:
-    """M9 on a table partitioned by year: only the named years are rewritten.
+def overwrite_from(df: DataFrame, table: str, year_column: str, first: int) -> None:
+    """M9 on a table partitioned by year: the years from `first` on are replaced, others kept.
 
-    Dynamic overwrite replaces the years that have rows; a named year without rows is dropped,
-    so that it does not keep its old ones.  Which years have rows is observed during the write.
+    Dynamic overwrite replaces the years that have rows; a year the table has and the batch lacks
+    is dropped, so that it does not keep its old rows.  Which years have rows is observed during the
+    write, for the years the table lists.
     """
     spark = df.sparkSession
-    batch = conform(df.where(F.col(year_column).isin(*years)), table)
+    listed = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    years = [int(y) for y in listed if y.lstrip("-").isdigit() and int(y) >= first]
     seen = Observation()
-    batch = batch.observe(seen, *[F.count_if(F.col(year_column) == y).alias(str(y)) for y in years])
+    counts = [F.count_if(F.col(year_column) == y).alias(str(y)) for y in years]
+    batch = conform(df.where(F.col(year_column) >= first), table)
+    batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         batch.write.insertInto(table, overwrite=True)
     for year in years:
         if not seen.get[str(year)]:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {int(year)})")
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {year})")
 
 
 def _write_version(df: DataFrame, table: str, base: str, version: str) -> str:

@@ -10,29 +10,30 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.operators import maintenance as m
 from ledgerloom.plans import records
-from ledgerloom.sources import tables
+from ledgerloom.session import materialise
+from ledgerloom.sources import landing, tables
 
 Load = Callable[[DataFrame], None]
 
 
 def read_page_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
-    """Landed pages as a stream with the one column `payload`."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch)
-        .text(folder)
-        .withColumnRenamed("value", "payload")
-    )
+    """Landed pages as a stream with `payload` and where they landed."""
+    pages = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
+    return pages.select(*landing.landed(lines=False))
 
 
-def intake(spark: SparkSession, folder: str, checkpoint: str, load: Load) -> StreamingQuery:
+def intake(
+    spark: SparkSession, folder: str, checkpoint: str, load: Load, files_per_batch: int = 1000
+) -> StreamingQuery:
     """Start an available-now run that hands the new pages of `folder` to `load`, batch by batch."""
     return (
-        read_page_stream(spark, folder)
-        .writeStream.foreachBatch(lambda batch, _: load(batch))
+        read_page_stream(spark, folder, files_per_batch)
+        .writeStream.foreachBatch(lambda batch, _: load(landing.number_lines(batch)))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -52,19 +53,34 @@ def add_new(table: str, rows_of: Callable[[DataFrame], DataFrame], keys: Sequenc
     return load
 
 
-def add_purchases(table: str, numbers: str, base: str) -> Load:
-    """Load for purchase records (F13), whose complements may sit in pages landed long ago.
+def add_purchases(table: str, numbers: str, waiting: str, base: str) -> Load:
+    """Load for purchase records (F13), whose complements may sit in pages landed long ago or later.
 
-    The table `numbers` (`_id string, numero bigint`) remembers the number of every record seen, so
-    a batch costs its own pages and a narrow lookup, not a second reading of the landing folder.
+    The table `numbers` (`_id string, numero bigint`) remembers the number of every record seen, and
+    `waiting` (`id_compra bigint, referido string`) the facts whose complement has no number yet.  A
+    batch costs its own pages and narrow lookups, not a second reading of the landing folder: new
+    numbers meet the facts that wait for them, which are then updated.
     """
 
     def load(batch: DataFrame) -> None:
         session = batch.sparkSession
-        seen = records.record_numbers(batch)
+        parsed, _ = materialise(records.purchase_records(batch), "batch-records")
+        seen, _ = materialise(records.record_numbers(parsed), "batch-numbers")
         tables.update(numbers, records.NUMBER_UPDATE, seen, base, "numbers")
         tables.append(m.new_rows(tables.current(session, numbers), seen, ["_id"]), numbers)
-        rows = records.purchases_source(batch, tables.current(session, numbers))
+        known = tables.current(session, numbers)
+        typed, _ = materialise(records.typed_purchases(parsed), "batch-purchases")
+        open_ = typed.where(F.coalesce("referido", F.lit("")) != "").select("id_compra", "referido")
+        open_ = open_.join(known.select(F.col("_id").alias("referido")), "referido", "left_anti")
+        keys = ["id_compra", "referido"]
+        tables.append(m.new_rows(tables.current(session, waiting), open_, keys), waiting)
+        rows = records.with_complements(typed, known)
         tables.append(m.new_rows(tables.current(session, table), rows, ["id_compra"]), table)
+        found = tables.current(session, waiting).join(
+            seen.select(F.col("_id").alias("referido"), F.col("numero").alias("complemento_de")), "referido"
+        )
+        tables.update(
+            table, records.COMPLEMENT_UPDATE, found.select("id_compra", "complemento_de"), base, "complement"
+        )
 
     return load

@@ -67,6 +67,35 @@ def test_lenient_and_strict_times(frame):
     want = [noon, noon, dt.datetime(2025, 3, 4), None, None]
     assert one(df, dates.lenient_timestamp(F.col("t"))) == want
     assert one(df, dates.strict_timestamp(F.col("t"))) == want
+    five = dt.datetime(2025, 3, 5)
+    shapes = {
+        "25/03/2025": dt.datetime(2025, 3, 25),
+        "03/25/2025 3:04 PM": dt.datetime(2025, 3, 25, 15, 4),
+        "3/5/2025": five,
+        "2025/03/05": five,
+        "20250305": five,
+        "20250305T101112": dt.datetime(2025, 3, 5, 10, 11, 12),
+        "5 March 2025": five,
+        "5th of March, 2025": five,
+        "March 5, 2025": five,
+        "Mar 5, 2025 3:04 PM": dt.datetime(2025, 3, 5, 15, 4),
+        "mar 5, 2025 12:04 am": dt.datetime(2025, 3, 5, 0, 4),
+        "2025-03-05 10:00 pm": dt.datetime(2025, 3, 5, 22),
+        "Wed, 05 Mar 2025 10:00:00 GMT": dt.datetime(2025, 3, 5, 10),
+        "Wednesday, March 5, 2025 at 10:00": dt.datetime(2025, 3, 5, 10),
+        "05.03.2025 10:11:12.5": dt.datetime(2025, 5, 3, 10, 11, 12, 500000),
+        "2025/03/05 10:00:00 +02:00": dt.datetime(2025, 3, 5, 8),
+        "2025-02-30": None,
+        "13/13/2025": None,
+        "Foo 5, 2025": None,
+        "5 Anf 2025": None,
+        "2025/03/05 25:00": None,
+        "2025/03/05 13:00 pm": None,
+        "2025/03/05 soon": None,
+    }
+    df = frame("i int, t string", *enumerate(shapes))
+    got = {r.t: r.at for r in df.select("t", dates.lenient_timestamp(F.col("t")).alias("at")).collect()}
+    assert got == shapes
     odd = texts(frame, "not a time")
     assert one(odd, dates.lenient_timestamp(F.col("t"))) == [None]
     with pytest.raises(Exception, match="not a timestamp"):

@@ -270,9 +270,11 @@ def test_sales_reload_is_repeatable(frame, values):
     empty = source.where("false")
     once = purchases.sales_year_replace(source, empty, 2025)
     assert values(once, "id_compra", "nombre_producto", "precio", "tipo_pago") == [
-        (1, "P", D(5), "BTC"), (2, None, None, "x"),
+        (1, "P", D(5), "BTC"), (2, None, None, "x"), (3, None, None, "x"),
     ]
     assert values(purchases.sales_year_replace(source, once, 2025)) == values(once)
+    # what the source no longer has goes, also in later years
+    assert values(purchases.sales_year_replace(source.where("id_compra = 1"), once, 2025), "id_compra") == [(1,)]
 
 
 def test_membership_price_class(frame, values):

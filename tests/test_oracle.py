@@ -11,8 +11,10 @@ import pytest
 from conftest import SF_CHECK, SF_SMALL
 
 import __spark_entry__ as entry_points
+from ledgerloom.checks.oracle import ORACLE as CHECKS
+from ledgerloom.checks.queries import registered
 
-QUERIES, CHECKS = entry_points.queries(), entry_points.oracle_sql()
+QUERIES = registered()
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +38,8 @@ def _bag(names, rows):
 
 def test_every_query_has_checking_sql():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(CHECKS) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

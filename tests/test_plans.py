@@ -8,10 +8,11 @@ import pytest
 from conftest import SF_CHECK
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
+import ledgerloom
+from ledgerloom.checks.queries import registered
 from ledgerloom.operators import maintenance as m
 
-QUERIES = entry_points.queries()
+QUERIES = registered()
 
 
 def plan(df) -> str:
@@ -77,9 +78,17 @@ def test_update_join_reuses_the_sort_of_the_key_check(spark, frame):
         target = frame("k long, w string", (1, "a"))
         source = frame("k long, w string", (1, "b"))
         tree = plan(m.diff_update(target, source, ["k"], ["w"])).split("\n\n")[0]
-        # one exchange per join side, besides the two that `frame` adds (read twice for NULL keys)
+        # one exchange per join side, besides the two that `frame` adds; rows without a key need no other scan
         assert tree.count("SortMergeJoin") == 1
         assert len(re.findall(r"Sort \(", tree)) == 2
+        assert tree.count("Scan ExistingRDD") == 2
+        # the same for an upsert, and one exchange a side for an insert of new rows
+        tree = plan(m.upsert(target, source, ["k"])).split("\n\n")[0]
+        assert (tree.count("SortMergeJoin"), tree.count("Scan ExistingRDD")) == (1, 2)
+        assert len(re.findall(r"Sort \(", tree)) == 2
+        tree = plan(m.new_rows(target, source, ["k"])).split("\n\n")[0]
+        assert (tree.count("SortMergeJoin"), tree.count("Scan ExistingRDD")) == (1, 2)
+        assert len(re.findall(r"Exchange \(", tree)) == 4
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -88,7 +97,7 @@ def test_only_bounded_sides_are_hinted():
     """Every broadcast hint in the package is on a side that one aggregate bounds."""
     from pathlib import Path
 
-    package = Path(entry_points.__file__).parent / "ledgerloom"
+    package = Path(ledgerloom.__file__).parent
     hints = [
         f"{path.name}: {line.strip()}"
         for path in package.rglob("*.py")

@@ -13,7 +13,7 @@ from ledgerloom import schemas
 from ledgerloom.checks import pages
 from ledgerloom.checks import parameters as p
 from ledgerloom.checks.standins import Tables
-from ledgerloom.refresh import OPTIONAL, STEPS, Settings, refresh
+from ledgerloom.refresh import OPTIONAL, REJECTED, STEPS, Settings, refresh
 
 SETTINGS = Settings(
     year=p.YEAR, as_of=p.YEAR_END, run_ts=dt.datetime(2030, 1, 1), monthly_since=p.SINCE,
@@ -63,6 +63,7 @@ def test_two_runs(warehouse):
     # contract products do not occur in the smallest test tables
     assert set(schemas.WAREHOUSE) - filled <= {
         "fact_planes_adicionales_selected", "aum_bonos_select", "aum_bonos_select_actual",
+        REJECTED,
     }
     counts = {t: spark.table(t).count() for t in schemas.WAREHOUSE}
     assert first["insertar_socios"][1] == counts["dim_socios"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 import uuid
 
 import pytest
@@ -63,9 +64,12 @@ def test_publish_if_filled(spark, frame, values, table, tmp_path):
 def test_overwrite_years_clears_a_year_without_rows(spark, frame, values, table):
     spark.sql(f"CREATE TABLE {table} (v STRING, y INT) USING parquet PARTITIONED BY (y)")
     tables.append(frame("v string, y int", ("a", 2023), ("b", 2024), ("c", 2025), ("d", 2026)), table)
-    batch = frame("v string, y int", ("new", 2024), ("not asked for", 2026))
-    tables.overwrite_years(batch, table, "y", [2024, 2025])
-    assert values(spark.table(table)) == [("a", 2023), ("d", 2026), ("new", 2024)]
+    batch = frame("v string, y int", ("new", 2024), ("later", 2026), ("next", 2027), ("early", 2022))
+    for _ in range(2):
+        tables.overwrite_from(batch, table, "y", 2024)
+        assert values(spark.table(table)) == [
+            ("a", 2023), ("later", 2026), ("new", 2024), ("next", 2027),
+        ]
 
 
 def test_update_rewrites_only_the_partitions_that_change(spark, frame, values, table, tmp_path):
@@ -114,14 +118,54 @@ def test_landing_reads_every_page(spark, tmp_path, values):
     assert values(landing.created_between(every, *span, filled="value"), "_id") == [("a",)]
 
 
+def test_a_record_landed_twice_is_one_insert_and_one_update(spark, tmp_path, values):
+    folder = tmp_path / "pages"
+    land(folder, "1.json", {"_id": "r1", "id_compra": "CP1", "status": "open"})
+    pages = landing.read_pages(spark, str(folder))
+    empty = records.purchases_source(pages).limit(0)
+    fact = records.json_purchases_new(pages, empty)
+    assert values(fact, "id_compra", "status") == [(1, "open")]
+    fact = spark.createDataFrame(fact.collect(), fact.schema)
+    # again in the same file, and in a later one
+    land(folder, "2.json", {"_id": "r1", "id_compra": "CP1", "status": "sent"},
+         {"_id": "r1", "id_compra": "CP1", "status": "paid"}, {"_id": "r2", "id_compra": "CP2"})
+    os.utime(folder / "1.json", (1, 1))
+    pages = landing.read_pages(spark, str(folder))
+    assert values(records.json_purchases_new(pages, fact), "id_compra") == [(2,)]
+    assert values(records.json_purchases_new(pages, empty), "id_compra", "status") == [
+        (1, "paid"), (2, None),
+    ]
+    changed = records.json_purchases_changed(pages, fact)
+    assert values(changed, "id_compra", "status") == [(1, "paid")]
+    # the number of an id is that of the record that landed last
+    land(folder, "3.json", {"_id": "r1", "id_compra": "CP0"})
+    numbers = records.record_numbers(landing.read_pages(spark, str(folder)))
+    assert values(numbers) == [("r1", 0), ("r2", 2)]
+
+
+def test_pages_that_are_not_understood(spark, tmp_path, values):
+    folder = tmp_path / "pages"
+    land(folder, "1.json", {"_id": "a", "id_compra": "CP1", "Fecha_pago": "soon"})
+    (folder / "2.json").write_text('{"response": {"results": [{"_id": "b"\n\n  \n')
+    (folder / "3.json").write_text('{"error": "try again"}\n')
+    pages = landing.read_pages(spark, str(folder))
+    for read in (records.transfers_source, records.purchase_records, records.payout_records):
+        with pytest.raises(Exception, match="page not understood"):
+            read(pages).collect()
+        assert read(pages, allow_unread=True).count() == 1
+    assert landing.unread_pages(pages).count() == 2
+    assert values(records.unread_times(records.purchase_records(pages, True)), "_id") == [("a",)]
+
+
 def test_streaming_purchases_are_idempotent_and_know_old_records(spark, tmp_path, values, table):
-    folder, numbers = tmp_path / "pages", f"{table}_numbers"
+    folder, numbers, waiting = tmp_path / "pages", f"{table}_numbers", f"{table}_waiting"
     empty = records.purchases_source(spark.createDataFrame([], "payload string"))
     tables.publish(empty, table, str(tmp_path / "base"), "v1")
     spark.sql(f"CREATE TABLE {numbers} (_id STRING, numero BIGINT) USING parquet")
+    spark.sql(f"CREATE TABLE {waiting} (id_compra BIGINT, referido STRING) USING parquet")
 
     def run(checkpoint):
-        load = add_purchases(table, numbers, str(tmp_path / "base"))
+        load = add_purchases(table, numbers, waiting, str(tmp_path / "base"))
         intake(spark, str(folder), str(tmp_path / checkpoint), load).awaitTermination()
         return values(tables.current(spark, table), "id_compra", "complemento_de")
 
@@ -133,7 +177,15 @@ def test_streaming_purchases_are_idempotent_and_know_old_records(spark, tmp_path
     assert run("c1") == want
     assert run("c2") == want  # a lost checkpoint replays every page and inserts nothing
     assert values(tables.current(spark, numbers)) == [("r1", 1), ("r2", 2), ("r3", 3)]
+    # a complement that lands after the record that names it
+    land(folder, "3.json", {"_id": "r4", "id_compra": "CP4", "complemento_de": "r5"})
+    assert run("c1") == [*want, (4, None)]
+    land(folder, "4.json", {"_id": "r5", "id_compra": "CP5"})
+    assert run("c1") == [*want, (4, 5), (5, None)]
+    batch = records.purchases_source(landing.read_pages(spark, str(folder)))
+    assert values(batch, "id_compra", "complemento_de") == run("c3")
     spark.sql(f"DROP TABLE {numbers}")
+    spark.sql(f"DROP TABLE {waiting}")
 
 
 def test_streaming_transfers(spark, tmp_path, values, table):
