@@ -6,9 +6,10 @@ chain of a million nodes needs about twenty rounds, each of them one shuffle joi
 three-column table.
 
 Rounds are cut by a table in the shared folder, so a lost executor does not replay earlier
-rounds.  Reading it back leaves both join inputs as plain exchanges, which lets AQE split the
-children of a hot parent over several tasks, and lets Spark broadcast the table when its
-measured size is small.
+rounds.  A round writes only the nodes that were open before it; answered ones stay in the table of
+the round that answered them.  Reading the tables back leaves both join inputs as plain exchanges,
+which lets AQE split the children of a hot parent over several tasks, and lets Spark broadcast them
+when their measured size is small.
 """
 
 from __future__ import annotations
@@ -40,19 +41,22 @@ def nearest_ancestor(
         F.when(F.col("good"), F.col("node")).alias("best"),
         F.when(F.col("good").isNull(), F.col("parent")).alias("ask"),
     )
-    state, seen = materialise(first, "ancestor", total=F.count("*"), open=F.count("ask"))
+    asking = F.col("ask").isNotNull()
+    written, seen = materialise(first, "ancestor", total=F.count("*"), open=F.count("ask"))
     rounds = math.ceil(math.log2(seen["total"] + 1)) + 1
+    answered, state = written.where(~asking), written
     while seen["open"] and rounds:
         asked = state.select(
             F.col("node").alias("ask"), F.col("best").alias("their_best"), F.col("ask").alias("their_ask")
         )
         moved = (
-            state.where(F.col("ask").isNotNull())
+            written.where(asking)
             .join(asked, "ask", "left")
             .select("node", F.col("their_best").alias("best"), F.col("their_ask").alias("ask"))
         )
-        after = state.where(F.col("ask").isNull()).unionByName(moved)
-        state, seen = materialise(after, "ancestor", open=F.count("ask"))
+        written, seen = materialise(moved, "ancestor", open=F.count("ask"))
+        state = answered.unionByName(written)
+        answered = answered.unionByName(written.where(~asking))
         rounds -= 1
     if seen["open"]:
         warnings.warn(f"{seen['open']} nodes are in or below a cycle without a qualified member", stacklevel=2)

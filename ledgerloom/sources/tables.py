@@ -144,6 +144,31 @@ def overwrite_from(df: DataFrame, table: str, year_column: str, first: int) -> N
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {year})")
 
 
+def drop_old_versions(spark: SparkSession, table: str, base: str, keep: int = 2) -> list[str]:
+    """Delete superseded versions of a table, but for the `keep` written last; returns what went.
+
+    The version the catalog points at always stays, however old it is: a table that no run has
+    rewritten lately still lives in an old folder.  Call it when no reader holds an older state.
+    """
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(
+        (F.trim("col_name") == "Location") | F.lower(F.trim("col_name")).startswith("location")
+    )
+    live = {r["data_type"].rstrip("/").rpartition("/")[2] for r in described.collect()}
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base}/{table}")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    found = sorted(
+        ((s.getModificationTime(), s.getPath()) for s in files.listStatus(root)),
+        key=lambda s: (s[0], s[1].getName()),
+    )
+    old = [path for _, path in found if path.getName() not in live]
+    gone = old[: max(0, len(old) - keep)]
+    for path in gone:
+        files.delete(path, True)
+    return [path.getName() for path in gone]
+
+
 def _write_version(df: DataFrame, table: str, base: str, version: str) -> str:
     """Write a state beside the others.  A location of its own: a retry never meets old files."""
     location = f"{base}/{table}/{version}-{uuid.uuid4().hex[:8]}"

@@ -6,6 +6,7 @@ import random
 
 import pytest
 
+from ledgerloom.operators import hierarchy
 from ledgerloom.operators.hierarchy import nearest_ancestor
 from ledgerloom.plans import dimensions
 from ledgerloom.session import shared_folder
@@ -130,3 +131,23 @@ def test_shared_folder_needs_a_setting_on_a_cluster(monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Session())
+
+
+def test_a_round_writes_only_open_nodes(spark, monkeypatch):
+    written = []
+    real = hierarchy.materialise
+
+    def counting(df, label, **counts):
+        stored, seen = real(df, label, **counts)
+        written.append(stored.count())
+        return stored, seen
+
+    monkeypatch.setattr(hierarchy, "materialise", counting)
+    # a chain of 64 under a wide top: most nodes are answered in the first round
+    rows = [(0, None)] + [(n, 0) for n in range(1, 500)] + [(n, n - 1) for n in range(500, 564)]
+    nodes = spark.createDataFrame(rows, "node long, parent long")
+    marked = spark.createDataFrame([(0,)], "node long")
+    hits = {r.node: r.hit for r in hierarchy.nearest_ancestor(nodes, marked).collect()}
+    assert hits == {n: None if n == 0 else 0 for n, _ in rows}
+    assert written[0] == len(rows) and written == sorted(written, reverse=True)
+    assert max(written[2:]) <= 64  # the chain alone

@@ -100,6 +100,20 @@ def test_update_of_a_plain_table(spark, frame, values, table, tmp_path):
     assert spark.table(table).inputFiles() == files
 
 
+def test_old_versions_go_and_the_live_one_stays(spark, frame, values, table, tmp_path):
+    base = str(tmp_path)
+    for n in range(4):
+        tables.publish(frame("k long, w string", (1, str(n))), table, base, f"v{n}")
+    # an update that changes nothing leaves the table in its last version
+    same = frame("k long, w string", (1, "3"))
+    assert tables.update(table, Update(("k",), ("w",)), same, base, "v9") == 0
+    gone = tables.drop_old_versions(spark, table, base, keep=1)
+    assert [name[:2] for name in gone] == ["v0", "v1"]
+    assert sorted(p.name[:2] for p in (tmp_path / table).iterdir()) == ["v2", "v3"]
+    assert len(tables.drop_old_versions(spark, table, base, keep=0)) == 1
+    assert values(tables.current(spark, table)) == [(1, "3")]
+
+
 def test_landing_reads_every_page(spark, tmp_path, values):
     folder = tmp_path / "pages"
     land(folder, "1.json", {"_id": "a", "value": 1, "Created Date": "2025-02-01T00:00:00.000Z"})
