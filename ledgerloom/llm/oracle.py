@@ -45,3 +45,26 @@ WITH usable AS (
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+ORACLE["op9_embedding_near_dedup"] = """
+WITH RECURSIVE usable AS MATERIALIZED (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+    SELECT a.vec_id AS one, b.vec_id AS other
+    FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reached(start, spot) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT start, other FROM reached JOIN links ON one = spot
+), named AS (
+    SELECT start, min(spot) AS component_id FROM reached GROUP BY start
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE one = e.vec_id) AS n_links, component_id,
+       e.vec_id = component_id AS kept
+FROM embeddings e JOIN named ON start = e.vec_id
+"""
