@@ -49,7 +49,7 @@ def _method(rules) -> str:
             )
     return f"""COALESCE((
         SELECT arg_min(r.label, r.n) FROM (VALUES {', '.join(rows)}) AS r(n, method, entity, need, label)
-        WHERE r.method = c.forma_pago AND COALESCE(r.entity, c.entidad_pago) = c.entidad_pago
+        WHERE r.method = c.forma_pago AND (r.entity IS NULL OR r.entity = c.entidad_pago)
           AND (r.need = '' OR (r.need = 'trx' AND LOWER(c.referencia) LIKE 'trx-%')
                OR r.need = 'ref3=' || c.referencia3
                OR (r.need = 'house' AND COALESCE(c.referencia2, '{p.HOUSE_ACCOUNT}') = '{p.HOUSE_ACCOUNT}')

@@ -94,7 +94,7 @@ STANDINS: dict[str, str] = {
                     END AS estatus,
                CASE WHEN o_totalprice < 100000 THEN 2
                     ELSE CAST(CAST(FLOOR(o_totalprice) AS BIGINT) % 14 AS INTEGER) END AS forma_pago,
-               CAST(1 + o_custkey % 3 AS INTEGER) AS entidad_pago,
+               CASE WHEN o_custkey % 11 > 0 THEN CAST(1 + o_custkey % 3 AS INTEGER) END AS entidad_pago,
                CASE WHEN o_orderpriority = '2-HIGH' THEN 'trx-' ELSE 'REF-' END
                    || CAST(o_orderkey AS STRING) AS referencia,
                CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '{HOUSE_ACCOUNT}'
