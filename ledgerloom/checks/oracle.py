@@ -199,6 +199,18 @@ BUCKETS = f"""
 _check(
     "plan_bucket_daily", "ventas productos prev_agg", _missing(BUCKETS, "prev_agg", "nombre fecha"), "valor_total"
 )
+_check(  # the patterns written out, not taken from the package
+    "plan_bucket_names",
+    "ventas plan_catalogue",
+    """SELECT CASE WHEN c.nombre ILIKE '%plan select%' THEN 'PLAN SELECT'
+                   WHEN c.nombre ILIKE '%select24%' THEN 'SELECT24'
+                   WHEN c.nombre ILIKE '%select36%' THEN 'SELECT36'
+                   WHEN c.nombre ILIKE '%select%' THEN 'SELECT'
+                   WHEN c.nombre ILIKE '%pa%' THEN 'PA / PA24' ELSE 'OTROS' END AS nombre,
+              COUNT(*) AS cantidad, SUM(v.precio) AS valor_total, CAST(v.fecha_compra AS DATE) AS fecha
+       FROM ventas v LEFT JOIN plan_catalogue c ON c.id_producto = v.id_producto GROUP BY 1, 4""",
+    "valor_total",
+)
 _check(
     "plan_bucket_refresh",
     "ventas productos prev_agg",

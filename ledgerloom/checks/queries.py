@@ -87,6 +87,11 @@ def plan_bucket_daily(t):
     )
 
 
+@query
+def plan_bucket_names(t):
+    return aggregates.plan_buckets(t("ventas"), t("plan_catalogue"))
+
+
 @query
 def plan_bucket_refresh(t):
     catalogue = t("productos").withColumnRenamed("producto", "id_producto")

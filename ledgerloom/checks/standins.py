@@ -134,6 +134,12 @@ STANDINS: dict[str, str] = {
                '$' || CAST(monto_pagado AS STRING) AS monto_pagado
         FROM {compras}""",
     "productos": "SELECT p_partkey AS producto, p_name AS nombre FROM {part}",
+    "plan_catalogue": """
+        SELECT p_partkey AS id_producto,
+               CASE p_partkey % 7 WHEN 0 THEN 'Plan Select ' || p_name WHEN 1 THEN 'select24 ' || p_name
+                    WHEN 2 THEN p_name || ' Select36' WHEN 3 THEN 'SELECT 5x' WHEN 4 THEN 'Pa24'
+                    WHEN 5 THEN p_name END AS nombre
+        FROM {part}""",
     "promociones": """
         SELECT CAST(r_regionkey AS BIGINT) AS promocion, r_name AS nombre FROM {region}
         WHERE r_regionkey <> 3""",
