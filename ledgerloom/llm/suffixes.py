@@ -242,6 +242,8 @@ def repeated(docs: DataFrame, length: int) -> DataFrame:
     segments = rows.groupBy("anchor", "segment").agg(
         F.count(F.lit(1)).alias("copies"), F.min(place).alias("place")
     )
+    # stored, it gives the join below a plain exchange, so that a segment with very many copies is split
+    segments, _ = materialise(segments, "suffix-segment-counts")
     anchors = segments.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("kinds"), F.sum((F.col("copies") == 1).cast("long")).alias("single")
     )
@@ -278,7 +280,7 @@ def repeated(docs: DataFrame, length: int) -> DataFrame:
     )
     bodies, seen = materialise(
         joined.mapInArrow(cut, schema),
-        "suffix-segments",
+        "suffix-bodies",
         size=F.sum(F.when(~F.col("hot"), F.length("body"))),
     )
     shards = groups_for(seen["size"] or 0, SHARD_BYTES)
