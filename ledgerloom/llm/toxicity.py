@@ -20,9 +20,11 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType
 #: Hashed features; 9 floats each, so that a model is under 10 MB.
 BITS, FACTORS = 18, 8
 SAMPLE, EPOCHS, BATCH = 12_000, 20, 128
-#: A feature has a weight if so many documents of the sample have it and its rate among toxic ones is
-#: so many standard deviations off.
+#: A feature has factors if so many documents of the sample have it, and a weight of its own if also
+#: its rate among toxic ones is so many standard deviations off.
 MIN_DOCS, MIN_DEVIATION = 4, 4.0
+#: Of the factors: spread at the start, learning rate, shrinkage.
+SPREAD, RATE, SHRINK = 0.003, 0.03, 1e-3
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -96,39 +98,43 @@ def fit(rows: list[tuple[np.ndarray, float]], seed: int = 7) -> FactorisationMac
         toxic[f] += y
     rate = positive / len(rows)
     deviation = (toxic - df * rate) / np.sqrt(np.maximum(df, 1) * rate * (1 - rate))
-    active = np.flatnonzero((df >= MIN_DOCS) & (np.abs(deviation) >= MIN_DEVIATION))
-    place = np.full(size, -1)
+    active = np.flatnonzero(df >= MIN_DOCS)
+    # signal alone counts for the weight only: a pair may tell what neither of its terms does
+    alone = np.abs(deviation[active]) >= MIN_DEVIATION
+    place = np.full(size, -1, np.int32)
     place[active] = np.arange(len(active))
     sets = [p[p >= 0] for p in (place[f] for f, _ in rows)]
     y = np.array([t for _, t in rows])
-    aw, av = np.zeros(len(active)), rng.normal(0, 0.01, (len(active), FACTORS))
-    gw, gv, gb = np.full(len(active), 1e-2), np.full(av.shape, 1e-2), 1e-2
+    aw = np.zeros(len(active))
+    av = rng.normal(0, SPREAD, (len(active), FACTORS)).astype(np.float32)
+    gw, gv, gb = np.full(len(active), 1e-2), np.full(av.shape, 1e-2, np.float32), 1e-2
     for _ in range(EPOCHS):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             part = order[at : at + BATCH]
             lengths = np.array([len(sets[i]) for i in part])
+            some, starts = lengths > 0, np.cumsum(lengths) - lengths
             idx = np.concatenate([sets[i] for i in part])
             seg = np.repeat(np.arange(len(part)), lengths)
-            touched, inverse = np.unique(idx, return_inverse=True)
             rows_v = av[idx]
-            s = np.stack(
-                [np.bincount(seg, rows_v[:, k], len(part)) for k in range(FACTORS)], axis=1
-            )
+            s = np.zeros((len(part), FACTORS), np.float32)
+            s[some] = np.add.reduceat(rows_v, starts[some], axis=0)
             q = np.bincount(seg, (rows_v * rows_v).sum(axis=1), len(part))
             z = bias + np.bincount(seg, aw[idx], len(part)) + 0.5 * ((s * s).sum(axis=1) - q)
             p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
             g = (p - y[part]) / len(part)
             gb += g.sum() ** 2
             bias -= 0.2 * g.sum() / np.sqrt(gb)
-            grad = np.bincount(inverse, g[seg], len(touched)) + 1e-5 * aw[touched]
-            gw[touched] += grad**2
-            aw[touched] -= 0.2 * grad / np.sqrt(gw[touched])
-            for k in range(FACTORS):
-                pull = g[seg] * (s[seg, k] - rows_v[:, k])
-                grad = np.bincount(inverse, pull, len(touched)) + 1e-5 * av[touched, k]
-                gv[touched, k] += grad**2
-                av[touched, k] -= 0.05 * grad / np.sqrt(gv[touched, k])
+            by = np.argsort(idx, kind="stable")
+            touched, first = np.unique(idx[by], return_index=True)
+            own = alone[touched]
+            grad = np.add.reduceat(g[seg][by], first)[own] + 1e-5 * aw[touched[own]]
+            gw[touched[own]] += grad**2
+            aw[touched[own]] -= 0.2 * grad / np.sqrt(gw[touched[own]])
+            pull = g.astype(np.float32)[seg, None] * (s[seg] - rows_v)
+            grad = np.add.reduceat(pull[by], first, axis=0) + np.float32(SHRINK) * av[touched]
+            gv[touched] += grad**2
+            av[touched] -= np.float32(RATE) * grad / np.sqrt(gv[touched])
     w[active], v[active] = aw, av
     return FactorisationMachine(float(bias), w, v)
 

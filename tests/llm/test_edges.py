@@ -298,6 +298,21 @@ def test_factorisation_machine_learns_a_pair():
     assert model.score(both) > 0.8 and model.score(one) < 0.3 and model.score(np.array([2])) < 0.3
 
 
+def test_factorisation_machine_learns_a_pair_of_harmless_terms():
+    # toxic with both terms or neither: neither of them alone tells anything
+    rng, rows = random.Random(8), []
+    for number in range(3000):
+        a, b = number % 2, number // 2 % 2
+        found = {100 + rng.randrange(300) for _ in range(30)} | {n for n, has in ((1, a), (2, b)) if has}
+        rows.append((np.array(sorted(found), np.int32), float(a == b)))
+    model = toxicity.fit(rows[:2500])
+    assert not model.w[[1, 2]].any() and model.v[[1, 2]].any()
+    assert np.mean([(model.score(f) >= 0.5) == bool(y) for f, y in rows[2500:]]) >= 0.9
+    # documents without a feature that counts, and a sample without one
+    toxicity.fit([*rows[:100], (np.zeros(0, np.int32), 0.0)])
+    assert 0 < toxicity.fit([(np.array([n], np.int32), float(n % 2)) for n in range(8)]).score(np.array([1])) < 1
+
+
 def test_sparse_sites_are_drawn_to_their_host(spark):
     # host a is bad throughout, its path p has one document; host b is good
     shapes = [("a", "x", "### ### ### |")] * 40 + [("b", "x", words(7, 60) + ".")] * 40
