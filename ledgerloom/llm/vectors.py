@@ -31,6 +31,8 @@ from ledgerloom.session import materialise
 SHARD, MAX_CENTRES, FIT_ROWS, PART, QUERY_BLOCK = 1000, 16_384, 24, 3000, 3000
 #: Nearest clusters a node is a member of, distance to a cluster's boundary within which it is too.
 OVERLAP, MARGIN = 2, 0.06
+#: Rows times centres compared at once (16 MB each of a few arrays).
+CELLS = 1 << 21
 #: Candidates and edges of a node, how much shorter a detour must be to prune, beam of the search.
 POOL, DEGREE, ALPHA, BEAM = 40, 20, 1.2, 24
 AUDIT_ROWS, RECALL = 256, 0.98
@@ -89,18 +91,32 @@ def fit_centres(nodes: DataFrame, total: int, dim: int) -> dict:
 
 
 def _shards(unit: np.ndarray, middle: np.ndarray | None) -> list[np.ndarray]:
-    """Shards of each vector, its own cluster first."""
+    """Shards of each vector, its own cluster first.
+
+    Rows go in slices, and distances between centres come from their inner products, so that memory
+    is bounded by CELLS whatever the number of rows and centres.
+    """
     if middle is None or len(middle) == 1:
         return [np.zeros(1, np.int32)] * len(unit)
-    near = unit @ middle.T
-    order = np.argsort(-near, axis=1, kind="stable").astype(np.int32)
-    best = np.take_along_axis(near, order, axis=1)
-    gap = np.linalg.norm(middle[order[:, :1]] - middle[order], axis=2)
-    # how far the vector is from the plane between its own centre and another
-    away = (best[:, :1] - best) / np.maximum(gap, 1e-12)
-    member = away <= MARGIN
-    member[:, :OVERLAP] = True
-    return [o[m] for o, m in zip(order, member, strict=True)]
+    squares, out, step = (middle * middle).sum(axis=1), [], max(1, CELLS // len(middle))
+    for at in range(0, len(unit), step):
+        near = unit[at : at + step] @ middle.T
+        rows, own = np.arange(len(near)), np.argmax(near, axis=1)
+        gap = np.maximum(squares[own, None] + squares - 2 * (middle[own] @ middle.T), 0)
+        # how far the vector is from the plane between its own centre and another; to centres nearer
+        # to each other than the rounding of the inner products allows to tell it belongs anyway
+        member = near[rows, own][:, None] - near <= MARGIN * np.sqrt(gap)
+        member |= gap < 1e-6
+        if OVERLAP < len(middle):
+            first = np.argpartition(-near, OVERLAP - 1, axis=1)[:, :OVERLAP]
+            member[rows[:, None], first] = True
+        else:
+            member[:] = True
+        near[rows, own] = np.inf
+        for line, has in zip(near, member, strict=True):
+            found = np.flatnonzero(has)
+            out.append(found[np.argsort(-line[found], kind="stable")].astype(np.int32))
+    return out
 
 
 def assign(nodes: DataFrame, centres: dict, dim: int) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import plain
@@ -404,6 +405,23 @@ def test_vector_rows(spark):
     assert vectors.near_duplicates(vector_frame(spark, [])).count() == 0
 
 
+def test_shards_of_many_centres_take_bounded_memory():
+    rng = np.random.default_rng(4)
+    unit, middle = (vectors._unit(rng.normal(size=(n, 64))) for n in (2000, 700))
+    tracemalloc.start()
+    got = vectors._shards(unit, middle)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6  # rows times centres times dimensions are 717 MB
+    near = unit[:50] @ middle.T
+    for line, found in zip(near, got, strict=False):
+        order = np.argsort(-line, kind="stable")
+        gap = np.linalg.norm(middle[order[0]] - middle[order], axis=1)
+        member = (line[order[0]] - line[order]) / np.maximum(gap, 1e-12) <= vectors.MARGIN
+        member[: vectors.OVERLAP] = True
+        assert found.tolist() == order[member].tolist()
+
+
 def test_vectors_in_shards_and_parts(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD", 60)
     monkeypatch.setattr(vectors, "PART", 50)
