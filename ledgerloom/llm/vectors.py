@@ -10,8 +10,10 @@ range.  What is found is verified by cosine in double precision.
 
 Big shards are dealt into parts by hash, each with a graph of its own, and their queries into blocks;
 a query looks in every part, so tasks stay of a bounded size and every member is met once.  A task
-gives back a count and one link per node, not the pairs.  Recall is audited on a sample of nodes
-against all vectors; below the target the search runs again with a wider beam.
+gives back counts and one link per node, not the pairs.  Recall is audited on a sample of nodes
+against all vectors; below the target everything runs again with more overlap and a wider beam, at
+last with the largest margin that a link can span and every member of a shard looked at, which finds
+all links.  A result that misses the target even so is an error.
 """
 
 from __future__ import annotations
@@ -36,6 +38,8 @@ CELLS = 1 << 21
 #: Candidates and edges of a node, how much shorter a detour must be to prune, beam of the search.
 POOL, DEGREE, ALPHA, BEAM = 40, 20, 1.2, 24
 AUDIT_ROWS, RECALL = 256, 0.98
+#: Runs until the recall is reached, each twice as wide as the one before; the last one is exact.
+ATTEMPTS = 3
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -90,7 +94,9 @@ def fit_centres(nodes: DataFrame, total: int, dim: int) -> dict:
     return centres
 
 
-def _shards(unit: np.ndarray, middle: np.ndarray | None) -> list[np.ndarray]:
+def _shards(
+    unit: np.ndarray, middle: np.ndarray | None, overlap: int = OVERLAP, margin: float = MARGIN
+) -> list[np.ndarray]:
     """Shards of each vector, its own cluster first.
 
     Rows go in slices, and distances between centres come from their inner products, so that memory
@@ -105,10 +111,10 @@ def _shards(unit: np.ndarray, middle: np.ndarray | None) -> list[np.ndarray]:
         gap = np.maximum(squares[own, None] + squares - 2 * (middle[own] @ middle.T), 0)
         # how far the vector is from the plane between its own centre and another; to centres nearer
         # to each other than the rounding of the inner products allows to tell it belongs anyway
-        member = near[rows, own][:, None] - near <= MARGIN * np.sqrt(gap)
+        member = near[rows, own][:, None] - near <= margin * np.sqrt(gap)
         member |= gap < 1e-6
-        if OVERLAP < len(middle):
-            first = np.argpartition(-near, OVERLAP - 1, axis=1)[:, :OVERLAP]
+        if overlap < len(middle):
+            first = np.argpartition(-near, overlap - 1, axis=1)[:, :overlap]
             member[rows[:, None], first] = True
         else:
             member[:] = True
@@ -119,7 +125,9 @@ def _shards(unit: np.ndarray, middle: np.ndarray | None) -> list[np.ndarray]:
     return out
 
 
-def assign(nodes: DataFrame, centres: dict, dim: int) -> DataFrame:
+def assign(
+    nodes: DataFrame, centres: dict, dim: int, overlap: int = OVERLAP, margin: float = MARGIN
+) -> DataFrame:
     """Each node once per shard it is a member of; `homes` are its shards, the first its own."""
     shared = nodes.sparkSession.sparkContext.broadcast(centres)
     schema = "label int, shard int, node long, weight long, vector array<double>, homes array<int>"
@@ -133,7 +141,7 @@ def assign(nodes: DataFrame, centres: dict, dim: int) -> DataFrame:
             homes: list = [None] * len(labels)
             for label in set(labels.tolist()):
                 own = np.flatnonzero(labels == label)
-                found = _shards(unit[own], shared.value.get(label))
+                found = _shards(unit[own], shared.value.get(label), overlap, margin)
                 for i, h in zip(own.tolist(), found, strict=True):
                     homes[i] = h
             times = np.array([len(h) for h in homes])
@@ -196,11 +204,13 @@ def _build(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"label": pdf["label"], "node": ids, "edges": edges})
 
 
-def _search(cosine: float, beam: int):
+def _search(cosine: float, beam: int | None):
+    """Without a beam every member is looked at."""
+
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         member = pdf[pdf["is_member"]].reset_index(drop=True)
         asks = pdf[pdf["is_query"]]
-        empty = pd.DataFrame({"node": [], "n": [], "root": []}).astype("int64")
+        empty = pd.DataFrame({"node": [], "n": [], "met": [], "root": []}).astype("int64")
         if not len(member) or not len(asks):
             return empty
         ids, vectors = member["node"].to_numpy(np.int64), np.stack(member["vector"].to_numpy())
@@ -220,7 +230,7 @@ def _search(cosine: float, beam: int):
         own_home = np.array([h[0] for h in member["homes"]])
         place = {n: i for i, n in enumerate(ids.tolist())}
         stamp = np.full(count, -1)
-        found_a, found_b, counts, back = [], [], [], np.zeros(count, np.int64)
+        found_a, found_b, counts, back = [], [], [], np.zeros((count, 2), np.int64)
         queries = asks["node"].to_numpy(np.int64)
         for number, (node, vector, homes, weight) in enumerate(
             zip(queries.tolist(), asks["vector"], asks["homes"], asks["weight"], strict=True)
@@ -230,8 +240,9 @@ def _search(cosine: float, beam: int):
             stamp[front] = number
             best, best_sims = front, vectors[front] @ vector
             expanded = np.zeros(len(front), bool)
-            hits = []
-            while True:
+            if beam is None:
+                best, best_sims = np.arange(count), vectors @ vector
+            while beam is not None:
                 todo = ~expanded
                 near = best_sims >= cosine - 0.002
                 chosen = np.flatnonzero(todo & near)  # all in range, else the few best of the beam
@@ -253,23 +264,30 @@ def _search(cosine: float, beam: int):
                 keep = by[: max(beam, int((best_sims >= cosine - 0.002).sum()))]
                 best, best_sims, expanded = best[keep], best_sims[keep], expanded[keep]
             hits = best[(best_sims >= cosine) & (best != own)]
-            counts.append(int(weights[hits].sum()))
+            counts.append((int(weights[hits].sum()), len(hits)))
             if len(hits):
                 found_a.append(np.full(len(hits), number))
                 found_b.append(hits)
                 # members whose own shard does not hold this query are told of it
                 outside = hits[~np.isin(own_home[hits], homes)]
-                back[outside] += int(weight)
+                back[outside] += (int(weight), 1)
         # one link per node, towards the smallest of what it hangs together with here
         every = np.unique(np.concatenate([ids, queries]))
         a = np.searchsorted(every, queries[np.concatenate(found_a)]) if found_a else []
         b = np.searchsorted(every, ids[np.concatenate(found_b)]) if found_b else []
         label = local_components(len(every), np.asarray(a, int), np.asarray(b, int))
-        total = np.zeros(len(every), np.int64)
+        total = np.zeros((len(every), 2), np.int64)
         np.add.at(total, np.searchsorted(every, queries), counts)
         np.add.at(total, np.searchsorted(every, ids), back)
-        kept = (total > 0) | (label != np.arange(len(every)))
-        return pd.DataFrame({"node": every[kept], "n": total[kept], "root": every[label[kept]]})
+        kept = (total[:, 0] > 0) | (label != np.arange(len(every)))
+        return pd.DataFrame(
+            {
+                "node": every[kept],
+                "n": total[kept, 0],
+                "met": total[kept, 1],
+                "root": every[label[kept]],
+            }
+        )
 
     return search
 
@@ -289,7 +307,8 @@ def _keyed(rows: DataFrame) -> DataFrame:
     )
 
 
-def _links(rows: DataFrame, beam: int, cosine: float) -> DataFrame:
+def _links(rows: DataFrame, beam: int | None, cosine: float) -> DataFrame:
+    """Per task and node: links by rows (n), by nodes (met), and the smallest node hung together with."""
     keyed = _keyed(rows)
     by_part = keyed.withColumn("part", F.col("own_part"))
     edges = (
@@ -316,12 +335,13 @@ def _links(rows: DataFrame, beam: int, cosine: float) -> DataFrame:
     columns = "label shard part block node weight vector homes edges is_member is_query".split()
     rows = members.select(*columns).union(guests.select(*columns))
     return rows.groupBy("label", "shard", "part", "block").applyInPandas(
-        _search(cosine, beam), "node long, n long, root long"
+        _search(cosine, beam), "node long, n long, met long, root long"
     )
 
 
 def audit(nodes: DataFrame, found: DataFrame, cosine: float, total: int, dim: int) -> float:
-    """Links found of those that a bounded sample of nodes has with all nodes of their label."""
+    """Share found of the nodes that a node links with, among all of its label: the mean over a
+    bounded sample of nodes, those without links left out."""
     share = min(1.0, AUDIT_ROWS / max(1, total))
     part = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1_000_000))
     asked = nodes.where(part < F.lit(max(1, int(share * 1_000_000)))).limit(2 * AUDIT_ROWS)
@@ -339,19 +359,16 @@ def audit(nodes: DataFrame, found: DataFrame, cosine: float, total: int, dim: in
             near = unit @ _unit(_matrix(batch.column(3), dim)).T >= cosine
             near &= labels[:, None] == np.array(batch.column(0).to_pylist())[None, :]
             near &= ids[:, None] != batch.column(1).to_numpy()[None, :]
-            total += near @ batch.column(2).to_numpy()
+            total += near.sum(axis=1)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], ["node", "truth"])
 
     truth = nodes.select("label", "node", "weight", "vector").mapInArrow(count, "node long, truth long")
     truth = truth.groupBy("node").agg(F.sum("truth").alias("truth"))
-    got = found.groupBy("node").agg(F.sum("n").alias("n"))
-    both = truth.join(got, "node", "left").agg(
-        F.sum("truth").alias("truth"),
-        F.sum(F.least("truth", F.coalesce("n", F.lit(0)))).alias("n"),
-    )
-    sums = both.first()
+    got = found.groupBy("node").agg(F.sum("met").alias("met"))
+    share = F.least("truth", F.coalesce("met", F.lit(0))) / F.col("truth")
+    mean = truth.where(F.col("truth") > 0).join(got, "node", "left").agg(F.avg(share)).first()[0]
     shared.destroy()
-    return 1.0 if not sums["truth"] else sums["n"] / sums["truth"]
+    return 1.0 if mean is None else mean
 
 
 def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
@@ -366,13 +383,19 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
     )
     total, dim = seen["n"], seen["dim"] or 0
     centres = fit_centres(nodes, total, dim)
-    rows, _ = materialise(assign(nodes, centres, dim), "vector-shards")
-    beam = BEAM
-    while True:
-        found, _ = materialise(_links(rows, beam, cosine), "vector-links")
-        if beam > 4 * BEAM or audit(nodes, found, cosine, total, dim) >= RECALL:
+    # linked vectors are at most this far apart, so that within it of the plane none is missed
+    reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
+    for attempt in range(ATTEMPTS):
+        last, wider = attempt == ATTEMPTS - 1, 1 << attempt
+        margin = reach if last else min(reach, MARGIN * wider)
+        dealt = assign(nodes, centres, dim, OVERLAP * wider, margin)
+        rows, _ = materialise(dealt, "vector-shards")
+        found, _ = materialise(_links(rows, None if last else BEAM * wider, cosine), "vector-links")
+        recall = audit(nodes, found, cosine, total, dim)
+        if recall >= RECALL:
             break
-        beam *= 2
+    else:
+        raise RuntimeError(f"recall of near-duplicate links is {recall:.4f}, below {RECALL}")
     stars = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vectors")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     classes = (

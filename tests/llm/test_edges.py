@@ -468,3 +468,22 @@ def test_top_k_rows(spark, monkeypatch):
     assert topk.top_k(empty, F.col("vec_id") % 20 == 0).count() == 0
     few = topk.integer_vectors(vector_frame(spark, rows[:3]))
     assert topk.top_k(few, F.col("vec_id") == 0).count() == 2
+
+
+def test_vector_recall_is_reached_or_an_error(spark, monkeypatch):
+    # shards that hardly overlap and a search that stops at once lose links until the exact run
+    monkeypatch.setattr(vectors, "SHARD", 10)
+    monkeypatch.setattr(vectors, "OVERLAP", 1)
+    monkeypatch.setattr(vectors, "MARGIN", 0.0)
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=16)
+    table = [(i, [float(x) for x in hot + rng.normal(scale=0.13, size=16)], 1) for i in range(300)]
+    wanted = plain.vector_links(table)
+    recalls, audit = [], vectors.audit
+    monkeypatch.setattr(vectors, "audit", lambda *a: recalls.append(audit(*a)) or recalls[-1])
+    got = vectors.near_duplicates(vector_frame(spark, table)).collect()
+    assert len(recalls) == 3 and recalls[0] < vectors.RECALL and recalls[-1] == 1.0
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == wanted
+    monkeypatch.setattr(vectors, "audit", lambda *a: 0.5)
+    with pytest.raises(RuntimeError, match="recall"):
+        vectors.near_duplicates(vector_frame(spark, table))
