@@ -90,6 +90,12 @@ def test_sentencepieces(spark, small, texts):
     assert all(r.round_trip and r.parity is not False for r in got.values())
 
 
+def test_sentencepiece_parity_of_every_row(spark, table):
+    docs = spark.createDataFrame([(n or None, f"some text {n}") for n in range(70)], "doc_id long, text string")
+    got = QUERIES["op4_sentencepiece"](spark, table(documents=docs)).collect()
+    assert len(got) == 70 and all(r.parity is True for r in got)
+
+
 def test_quality_and_toxicity_on_held_out_rows(spark):
     folder = "/root/testdata/sf0.01"
     labels = {
