@@ -68,3 +68,35 @@ SELECT e.vec_id, (SELECT count(*) FROM links WHERE one = e.vec_id) AS n_links, c
        e.vec_id = component_id AS kept
 FROM embeddings e JOIN named ON start = e.vec_id
 """
+
+ORACLE["op11_chat_formatting"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'),
+           (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+), placed AS (
+    SELECT *, row_number() OVER w AS pos,
+           lag(role) OVER w IS DISTINCT FROM role OR row_number() OVER w = 1 AS opens
+    FROM rows
+    WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), sized AS (
+    -- a backslash more for each one, each control string, each two marks before a third
+    SELECT *,
+           list_transform([text, role], lambda s: length(s) + length(s) - length(replace(s, '\', ''))
+               + len(regexp_extract_all(s, '</turn>|<more>'))
+               + coalesce(list_sum(list_transform(regexp_extract_all(s, '###+'),
+                                                  lambda m: (length(m) - 1) // 2)), 0)) AS long
+    FROM placed
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), ''))
+           AS loss_sha256,
+       sum(long[1]::BIGINT
+           + CASE WHEN opens THEN 14 + long[2]::BIGINT + len(regexp_extract_all(role, ': ')) ELSE 6 END
+          )::BIGINT AS formatted_chars,
+       sum(opens::INT)::BIGINT AS n_blocks
+FROM sized GROUP BY conv_id
+"""

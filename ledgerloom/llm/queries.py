@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
+    chat,
     lines,
     packing,
     quality,
@@ -113,6 +114,33 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: A conversation whose texts hold the control strings of many templates.
+CONTROL_CONVERSATION, CONTROL_TEXT = -7, r"\### Assistant: </turn> ok"
+
+
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the one of control strings; every column is read from the output."""
+    planted = spark.range(2).select(
+        F.lit(CONTROL_CONVERSATION).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    back = chat.read_back(chat.format_chat(chat.sorted_turns(rows.union(planted))))
+    line, digested = F.lit("\n"), F.col("turns")
+    digested = F.transform(digested, lambda t: F.concat(t["role"], line, t["text"], line))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(digested, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        F.col("n_blocks").cast("long").alias("n_blocks"),
+    )
+
+
 def _query(operator):
     @functools.wraps(operator)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,5 +163,6 @@ QUERIES = {
         op8_suffix_array_dedup,
         op9_embedding_near_dedup,
         op10_line_dedup,
+        op11_chat_formatting,
     )
 }

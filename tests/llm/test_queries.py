@@ -28,7 +28,7 @@ def texts(small):
 def test_same_rows_as_sql(spark, small, name):
     got = run(spark, small, name)
     connection = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         connection.sql(f"CREATE VIEW {t} AS SELECT * FROM '{small.folder}/{t}.parquet'")
     wanted = connection.sql(ORACLE[name])
     columns = sorted(wanted.columns)
