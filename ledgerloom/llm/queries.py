@@ -5,13 +5,14 @@ from __future__ import annotations
 import functools
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (
     chat,
     lines,
     packing,
+    periodic,
     quality,
     secret_scan,
     sentencepieces,
@@ -141,6 +142,44 @@ def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _with_planted_runs(text: Column, doc_id: Column) -> Column:
+    """`text`, or for a tenth of all ids its words, made periodic from some word on.
+
+    With h = crc32 of the id and g = h / 10: where h is divisible by 10, each word i >= a = g % n becomes
+    word a + (i - a) % p, p = 1 + (n - a) / (3 + g % 8), whole numbers.  A row without an id is left.
+    """
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.size(words)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    root = F.slice(words, a + 1, p)
+    tail = F.slice(F.flatten(F.array_repeat(root, F.ceil((n - a) / p).cast("int"))), F.lit(1), n - a)
+    rebuilt = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return F.when((h % 10 == 0) & (n > 0), rebuilt).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    text = _with_planted_runs(F.col("text"), F.col("doc_id"))
+    found = docs.select("doc_id", periodic.periodic_runs(text).alias("found"))
+    best = found.select("doc_id", "found", periodic.strongest(F.col("found.runs")).alias("best"))
+    listed = F.transform(
+        "found.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return best.select(
+        "doc_id",
+        F.size("found.runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def _query(operator):
     @functools.wraps(operator)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,5 +203,6 @@ QUERIES = {
         op9_embedding_near_dedup,
         op10_line_dedup,
         op11_chat_formatting,
+        op12_periodic_runs,
     )
 }

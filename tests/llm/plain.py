@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -119,3 +121,45 @@ def vector_links(rows: list[tuple], cosine: float = 0.98) -> dict:
     label = components(ids, linked)
     counts = [sum(linked(i, j) for j in range(len(rows))) for i in range(len(rows))]
     return {i: (n, label[i]) for i, n in zip(ids, counts, strict=True)}
+
+
+def planted_words(doc_id: int | None, text: str | None) -> list[str]:
+    """The words of a text; for a tenth of all ids periodic from some word on."""
+    words = WORD.findall(text or "")
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+def periodic_runs(words: list, min_words: int = 24, min_periods: int = 3) -> list[tuple]:
+    """(start, length, period) of each run, period by period."""
+    n, found = len(words), []
+    for q in range(1, n // min_periods + 1):
+        i = 0
+        while i < n - q:
+            j = i
+            while j < n - q and words[j] == words[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(min_words, min_periods * q):
+                inner = words[i : i + length]
+                if not any(inner[r:] == inner[:-r] for r in range(1, q)):
+                    found.append((i, length, q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def periodic_row(doc_id: int | None, text: str | None) -> tuple:
+    words = planted_words(doc_id, text)
+    runs = periodic_runs(words)
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None,) * 3)
+    listed = "".join(f"{s},{length},{q}\n" for s, length, q in runs)
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    milli = None if best[0] is None else 1000 * best[1] // best[2]
+    digests = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, kept)]
+    return (doc_id, len(runs), *best, milli, *digests)
