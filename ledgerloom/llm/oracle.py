@@ -100,3 +100,55 @@ SELECT conv_id, count(*) AS n_turns,
        sum(opens::INT)::BIGINT AS n_blocks
 FROM sized GROUP BY conv_id
 """
+
+ORACLE["op13_conversation_trie"] = r"""
+WITH RECURSIVE turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn,
+           substr(sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '')
+                         || coalesce(text, '')), 1, 32) AS name
+    FROM conversations WHERE conv_id IS NOT NULL
+), placed AS (
+    SELECT conv_id, name, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, name) - 1 AS pos
+    FROM turns
+), convs AS (
+    SELECT conv_id AS c, conv_id - conv_id % 20 AS base,
+           xor(list_reduce([4294967295::UBIGINT] || list_transform(
+                   string_split(conv_id::VARCHAR, ''), lambda s: ascii(s)::UBIGINT),
+               lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda u, v: xor(u >> 1, (u & 1) * 3988292384))), 4294967295::UBIGINT) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM placed)
+), rebuilt AS (
+    SELECT c, 0 AS part, pos, name, words FROM convs JOIN placed ON conv_id = base AND pos < h
+    UNION ALL
+    SELECT c, 1, pos, name, words FROM convs JOIN placed ON conv_id = c AND pos >= h
+), numbered AS (
+    SELECT c, name, words, row_number() OVER (PARTITION BY c ORDER BY part, pos) AS d FROM rebuilt
+), paths AS (
+    SELECT c, coalesce(string_agg(name, '' ORDER BY d), '') AS path, coalesce(max(d), 0) AS long
+    FROM convs LEFT JOIN numbered USING (c) GROUP BY c
+), members AS (
+    SELECT c, long, unnest(range(long + 1)) AS d, path FROM paths
+), starts AS (
+    SELECT c, m.d, substr(path, 1, 32 * m.d) AS key, long = m.d AS ends, coalesce(words, 0) AS words
+    FROM members m LEFT JOIN numbered USING (c, d)
+), nodes AS MATERIALIZED (
+    SELECT key, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), ''))
+               AS ends_sha256
+    FROM starts GROUP BY key
+), children AS (
+    SELECT substr(key, 1, 32 * (depth - 1)) AS key, count(*) AS n_children
+    FROM nodes WHERE depth > 0 GROUP BY 1
+), weighed AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)
+), sums AS (
+    SELECT top, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+           sum((n_convs - 1) * words) AS saved_tokens
+    FROM (SELECT *, substr(key, 1, 32 * unnest(range(depth + 1))) AS top FROM weighed) GROUP BY top
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM weighed n JOIN sums ON top = n.key
+LEFT JOIN nodes p ON n.depth > 0 AND p.key = substr(n.key, 1, 32 * (n.depth - 1))
+"""

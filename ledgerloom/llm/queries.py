@@ -20,9 +20,11 @@ from ledgerloom.llm import (
     suffixes,
     topk,
     toxicity,
+    trie,
     vectors,
 )
 from ledgerloom.llm.common import read, ship_package
+from ledgerloom.session import materialise
 
 
 def op1_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +182,27 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of rebuilt conversations: each c begins with the first turns of conversation c - c % 20,
+    as many as crc32 of c modulo 4 says, and goes on with its own turns behind that many."""
+    conv = F.col("conv_id")
+    turns = trie.named_turns(read(spark, sf_dir, "conversations"))
+    own, _ = materialise(turns, "conversation-turns")
+    heads = own.where(conv % 20 == 0).select(
+        conv.alias("base"), F.slice("turns", 1, 3).alias("head")
+    )
+    taken = (F.crc32(conv.cast("string").cast("binary")) % 4).cast("int")
+    none = F.slice("turns", 1, 0)
+    rebuilt = own.join(heads, conv - conv % 20 == heads["base"], "left").select(
+        "conv_id",
+        F.concat(
+            F.slice(F.coalesce("head", none), F.lit(1), taken),
+            F.slice("turns", taken + 1, F.size("turns")),
+        ).alias("turns"),
+    )
+    return trie.prefix_trie(trie.as_paths(rebuilt))
+
+
 def _query(operator):
     @functools.wraps(operator)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,5 +227,6 @@ QUERIES = {
         op10_line_dedup,
         op11_chat_formatting,
         op12_periodic_runs,
+        op13_conversation_trie,
     )
 }

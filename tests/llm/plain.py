@@ -163,3 +163,39 @@ def periodic_row(doc_id: int | None, text: str | None) -> tuple:
     milli = None if best[0] is None else 1000 * best[1] // best[2]
     digests = [hashlib.sha256(x.encode()).hexdigest() for x in (listed, kept)]
     return (doc_id, len(runs), *best, milli, *digests)
+
+
+def trie_nodes(paths: dict[int, tuple]) -> list[tuple]:
+    """Nodes of conversations id -> turns (role, text): conv_id, depth, parent_conv_id, n_convs,
+    n_children, n_leaves, saved_tokens, ends_sha256."""
+    members = defaultdict(list)
+    for conv, turns in sorted(paths.items()):
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    children = Counter(key[:-1] for key in members if key)
+    leaves, saved = Counter(), Counter()
+    for key, convs in members.items():
+        words = len(WORD.findall(key[-1][1])) if key else 0
+        for d in range(len(key) + 1):
+            leaves[key[:d]] += not children[key]
+            saved[key[:d]] += (len(convs) - 1) * words
+    rows = []
+    for key, convs in members.items():
+        ends = ",".join(str(c) for c in convs if len(paths[c]) == len(key))
+        parent = members[key[:-1]][0] if key else None
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        rows.append((convs[0], len(key), parent, len(convs), children[key], leaves[key], saved[key], digest))
+    return sorted(rows, key=str)
+
+
+def rebuilt_conversations(rows: list[tuple]) -> dict[int, tuple]:
+    """id -> turns of rows (conv_id, turn, role, text) without ties, rebuilt as op13 says."""
+    own = defaultdict(list)
+    for conv, _, role, text in sorted(rows, key=lambda r: (r[0] or 0, r[1] is not None, r[1] or 0)):
+        if conv is not None:
+            own[conv].append((role or "", text or ""))
+    out = {}
+    for conv, turns in own.items():
+        h = zlib.crc32(str(conv).encode()) % 4
+        out[conv] = (*own.get(conv - conv % 20, [])[:h], *turns[h:])
+    return out
