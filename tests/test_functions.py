@@ -85,6 +85,35 @@ def test_lenient_and_strict_times(frame):
         "Wednesday, March 5, 2025 at 10:00": dt.datetime(2025, 3, 5, 10),
         "05.03.2025 10:11:12.5": dt.datetime(2025, 5, 3, 10, 11, 12, 500000),
         "2025/03/05 10:00:00 +02:00": dt.datetime(2025, 3, 5, 8),
+        "2025/03/05 10:00:00 +0200": dt.datetime(2025, 3, 5, 8),
+        "3/5/25": five,
+        "05-Mar-25": five,
+        "5-mar-75": dt.datetime(1975, 3, 5),
+        "2025-Mar-05 1:02:03,25": dt.datetime(2025, 3, 5, 1, 2, 3, 250000),
+        "Mar 5 2025 10PM": dt.datetime(2025, 3, 5, 22),
+        "5.3.2025 10 a.m.": dt.datetime(2025, 5, 3, 10),
+        "2025-03-05 10:00 EST": dt.datetime(2025, 3, 5, 10),
+        "20250305101500": dt.datetime(2025, 3, 5, 10, 15),
+        "202503051015": dt.datetime(2025, 3, 5, 10, 15),
+        "10:30 2025-03-05": dt.datetime(2025, 3, 5, 10, 30),
+        "Wed Mar  5 10:00:00 2025": dt.datetime(2025, 3, 5, 10),
+        "Wed Mar  5 10:00:00 EST 2025": dt.datetime(2025, 3, 5, 10),
+        "99-01-04": dt.datetime(1999, 1, 4),
+        "2025-3-5": five,
+        "  2025-03-05 ": five,
+        "2025-03-05T10:00:00.123456789Z": dt.datetime(2025, 3, 5, 10, 0, 0, 123456),
+        "2025-03-05 10:00 est": None,
+        "SOON 3/5/25": None,
+        "EST 3/5/25": None,
+        "10:00 11:00 3/5/25": None,
+        "10:00 EST PST 3/5/25": None,
+        "1/2/3/2025": None,
+        "Mar 2025": None,
+        "12:30": None,
+        "2025": None,
+        "20250230": None,
+        "2025030510": None,
+        "- / .": None,
         "2025-02-30": None,
         "13/13/2025": None,
         "Foo 5, 2025": None,
@@ -102,6 +131,22 @@ def test_lenient_and_strict_times(frame):
         odd.select(dates.strict_timestamp(F.col("t"))).collect()
 
 
+def test_times_are_read_by_generated_code_in_bounded_time(spark):
+    settings = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    moments = spark.range(100_000).select(F.timestamp_seconds(F.col("id") * 1000 + 1_600_000_000).alias("at"))
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for shape in ("yyyy-MM-dd'T'HH:mm:ss'Z'", "MMM d, yyyy h:mm:ss a", "EEE, dd MMM yyyy HH:mm:ss 'GMT'"):
+            read = dates.lenient_timestamp(F.date_format("at", shape))
+            assert moments.where(~read.eqNullSafe(F.col("at"))).isEmpty()
+        plan = moments.select(read)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("regexp_extract_all") == 1
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_day_bounds(frame):
     df = frame(
         "i int, t timestamp_ntz",
