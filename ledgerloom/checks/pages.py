@@ -65,7 +65,7 @@ def _fetched_twice(latest: DataFrame, before: DataFrame) -> DataFrame:
     return pages.select(_envelope(F.col("record")).alias("payload"), "landed")
 
 
-#: Shapes of time text by order priority; 4-NOT SPECIFIED keeps ISO text, 5-LOW is blank.
+#: Shapes of time text by order priority; 4-NOT SPECIFIED keeps ISO text, 5-LOW is blank in its last version.
 TIME_SHAPES = {
     "1-URGENT": "M/d/yyyy",
     "2-HIGH": "MMM d, yyyy h:mm a",
@@ -83,7 +83,8 @@ def _payment_time() -> Column:
 
 def purchases(t: Tables) -> DataFrame:
     """The complement is bare text, an object, an unknown id or absent; times come in several shapes,
-    blank or unreadable; one record in five was fetched before, with other values."""
+    blank or unreadable; two records in five were fetched before, with other values, some of them with a
+    payment time that their last version lacks."""
     kind = F.col("o_custkey") % 10
     other = _text("o_custkey", "r")
     common = [
@@ -117,12 +118,14 @@ def purchases(t: Tables) -> DataFrame:
                 _text("o_orderkey", "r").alias("_id"),
                 _text("o_orderkey", "CP").alias("id_compra"),
                 F.lit(status).alias("status"),
+                # the blank times of 5-LOW are times that were there and went
+                F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_orderdate").cast("string")).alias("Fecha_pago"),
                 F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("Created Date"),
             )
         )
 
     orders = t("orders")
-    before = orders.where(F.col("o_orderpriority") == "2-HIGH").select(
+    before = orders.where(F.col("o_orderpriority").isin("2-HIGH", "5-LOW")).select(
         version("first").alias("older"), version("second").alias("old")
     )
     return _fetched_twice(orders.select(record.alias("record")), before)

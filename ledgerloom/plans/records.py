@@ -1,9 +1,10 @@
 """Facts from JSON record dumps: wallets, internal transfers, purchases, payouts.
 
 Input is the pages DataFrame of `sources.landing`, so the same jobs serve a batch read, a stream
-micro-batch or payload columns of a table; purchases and payouts also take records parsed before
-(`purchase_records`, `payout_records`), so that a run parses its pages once.  Of a record that
-landed several times the last version counts.
+micro-batch or payload columns of a table; all jobs also take records parsed before (`purchase_records`
+and the like, or a table that keeps the last version of each record, see `tables.merge_latest`), so that a
+run parses its pages once.  Of a record that landed several times the last version counts, and filters act
+on that version only.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def wallet_balances(
     """Rows to append; a missing balance is 0, an id on neither list is 'otro'."""
     classes = {fixed.WALLET_BUYS: buys, fixed.WALLET_PAYS: pays}
     balance = F.coalesce(jsonfields.amount(F.col("Saldo"), "decimal(38,9)"), F.lit(0))
-    return landing.wallet_records(pages, allow_unread=allow_unread).select(
+    rows = landing.wallet_records(pages, allow_unread=allow_unread) if "payload" in pages.columns else pages
+    return rows.select(
         F.col("Id").alias("wallet_id"),
         F.col("Coin").alias("coin"),
         balance.cast("decimal(38,9)").alias("saldo"),
@@ -49,8 +51,13 @@ def wallet_balances(
     )
 
 
+def transfer_records(pages: DataFrame, allow_unread: bool = False) -> DataFrame:
+    """The transfer records of the pages, as text, each with its order of landing."""
+    return landing.records(pages, landing.TRANSFER_RECORD, allow_unread=allow_unread)
+
+
 def transfers_source(pages: DataFrame, allow_unread: bool = False) -> DataFrame:
-    rows = landing.records(pages, landing.TRANSFER_RECORD, allow_unread=allow_unread)
+    rows = _parsed(pages, lambda p: transfer_records(p, allow_unread))
     return landing.latest(rows, "_id").select(
         F.col("walletId").alias("wallet_id"),
         F.col("type").alias("tipo"),
@@ -92,13 +99,14 @@ def record_numbers(pages: DataFrame) -> DataFrame:
 def typed_purchases(pages: DataFrame, span: Span | None = None) -> DataFrame:
     """The last version of each purchase, with the record id it complements in `referido`.
 
-    With `span` only records created in it and with a payment time count.
+    With `span` only purchases count whose last version was created in it and has a payment time.
     """
     rows = _parsed(pages, purchase_records)
+    rows = rows.withColumn("id_compra", jsonfields.number_after_prefix(F.col("id_compra")))
+    rows = landing.latest(rows, "id_compra")
     if span is not None:
         rows = landing.created_between(rows, *span, filled="Fecha_pago")
-    rows = rows.withColumn("id_compra", jsonfields.number_after_prefix(F.col("id_compra")))
-    return landing.latest(rows, "id_compra").select(
+    return rows.select(
         "id_compra",
         "address",
         jsonfields.amount(F.col("cantidad")).alias("cantidad"),
@@ -166,17 +174,21 @@ def json_purchases_changed(
 
 
 def _payouts(pages: DataFrame, number, span: Span | None) -> DataFrame:
-    """The last version of each payout, by the number its id holds."""
+    """The last version of each payout, by the number its id holds.
+
+    A record without an id is no version of another one, so it may leave before.
+    """
     rows = _parsed(pages, payout_records)
     if span is not None:
-        rows = landing.created_between(rows, *span, filled="id_pago")
-    return landing.latest(rows.withColumn("pago_tx", number), "pago_tx")
+        rows = rows.where(F.col("id_pago") != "")
+    rows = landing.latest(rows.withColumn("pago_tx", number), "pago_tx")
+    return rows if span is None else landing.created_between(rows, *span)
 
 
 def payouts_source(pages: DataFrame, span: Span | None = None) -> DataFrame:
     """Payout records; unreadable ids, partners and times fail the job.
 
-    With `span` only records created in it and with an id count.
+    With `span` only payouts with an id count whose last version was created in it.
     """
     return _payouts(pages, jsonfields.number_after_prefix(F.col("id_pago")), span).select(
         "pago_tx",

@@ -104,21 +104,36 @@ class Refresh:
             self._leaders, _ = materialise(found, "leaders")
         return self._leaders
 
-    def records(self, pages: str, parse: Callable[..., DataFrame]) -> DataFrame:
-        """The records of landed pages, parsed once per run, for inserting and for updating."""
+    def records(self, pages: str, parse: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """The records of landed pages, each page parsed once per run.
+
+        Where a table keeps the last versions of the records, they are brought into it, and it is what
+        the steps read: also a run that is given new pages only knows the records as they are now.
+        """
         if pages not in self._records:
-            self.note_unread(pages)
-            parsed = parse(self.source[pages], allow_unread=self.on.allow_unread_pages)
-            self._records[pages], _ = materialise(parsed, pages)
+            source = self.source[pages]
+            if "landed" not in source.columns:
+                source = source.withColumn("landed", landing.landing_order(self.run_ts))
+            found, _ = materialise(parse(source), pages)
+            if self.on.allow_unread_pages:
+                unread = landing.unread(found).select(
+                    F.lit(pages).alias("origen"), "payload", self.run_ts.alias("fecha_registro")
+                )
+                tables.append(unread, REJECTED)
+            rows = landing.read_records(found, self.on.allow_unread_pages)
+            if pages in schemas.RECORD_STATES:
+                rows = self._kept(rows, *schemas.RECORD_STATES[pages])
+            self._records[pages] = rows
         return self._records[pages]
 
-    def note_unread(self, pages: str) -> None:
-        """List the pages that are left out, where that is allowed."""
-        if self.on.allow_unread_pages:
-            unread = landing.unread_pages(self.source[pages]).select(
-                F.lit(pages).alias("origen"), "payload", self.run_ts.alias("fecha_registro")
-            )
-            tables.append(unread, REJECTED)
+    def _kept(self, rows: DataFrame, table: str, key: str) -> DataFrame:
+        number = F.regexp_extract(key, r"(\d+)$", 1).try_cast("bigint")
+        block = F.coalesce(F.floor(number / schemas.BLOCK_SIZE), F.lit(-1))
+        # records without an id are versions of themselves only
+        alone = F.when(F.coalesce(key, F.lit("")) == "", F.xxhash64(*[c for c in rows.columns if c != "_landed"]))
+        rows = rows.withColumn("sin_id", alone).withColumn(schemas.BLOCK, block)
+        tables.merge_latest(table, rows, [schemas.BLOCK, key, "sin_id"], [F.desc("_landed")])
+        return self.now(table)
 
     # --- the ways to load -------------------------------------------------------------------
 
@@ -284,47 +299,51 @@ def insertar_membresias(r, counter):
 # --- record dumps ----------------------------------------------------------------------------------
 
 
+def _purchases(pages):
+    return landing.parsed(pages, landing.PURCHASE_RECORD)
+
+
+def _payouts(pages):
+    return landing.parsed(pages, landing.PAYOUT_RECORD)
+
+
 @step("fact_wallets")
 def insertar_wallets(r, counter):
-    rows = records.wallet_balances(
-        r.source["wallet_pages"], r.on.buy_wallets, r.on.pay_wallets, r.on.allow_unread_pages
-    )
-    r.append("fact_wallets", rows, counter)
+    found = r.records("wallet_pages", landing.parsed_wallets)
+    r.append("fact_wallets", records.wallet_balances(found, r.on.buy_wallets, r.on.pay_wallets), counter)
 
 
 @step("fact_transacciones_internas")
 def insertar_transacciones_internas(r, counter):
-    new = records.internal_transfers_new(
-        r.source["transfer_pages"], r.now("fact_transacciones_internas"), r.on.allow_unread_pages
-    )
-    r.note_unread("transfer_pages")
+    rows = r.records("transfer_pages", lambda p: landing.parsed(p, landing.TRANSFER_RECORD))
+    new = records.internal_transfers_new(rows, r.now("fact_transacciones_internas"))
     r.append("fact_transacciones_internas", new, counter)
 
 
 @step("fact_kft_compras_planes")
 def insertar_kft_compras_planes(r, counter):
-    rows = r.records("purchase_pages", records.purchase_records)
+    rows = r.records("purchase_pages", _purchases)
     new = records.json_purchases_new(rows, r.now("fact_kft_compras_planes"), span=r.on.record_span)
     r.append("fact_kft_compras_planes", new, counter)
 
 
 @step("fact_kft_compras_planes")
 def actualizar1_kft_compras_planes(r, counter):
-    rows = r.records("purchase_pages", records.purchase_records)
+    rows = r.records("purchase_pages", _purchases)
     source = records.purchases_source(rows, span=r.on.record_span)
     return r.update("fact_kft_compras_planes", records.RECORD_UPDATE, source)
 
 
 @step("fact_kft_pagos_planes")
 def insertar_kft_pagos_planes(r, counter):
-    rows = r.records("payout_pages", records.payout_records)
+    rows = r.records("payout_pages", _payouts)
     new = records.json_payouts_new(rows, r.now("fact_kft_pagos_planes"), r.on.record_span)
     r.append("fact_kft_pagos_planes", new, counter)
 
 
 @step("fact_kft_pagos_planes")
 def actualizar_kft_pagos_planes(r, counter):
-    rows = r.records("payout_pages", records.payout_records)
+    rows = r.records("payout_pages", _payouts)
     source = records.payouts_update_source(rows, r.on.record_span)
     return r.update("fact_kft_pagos_planes", records.PAYOUT_UPDATE, source)
 

@@ -17,6 +17,10 @@ _PURCHASE = (
     "id_complemento BIGINT, monto_complementario DECIMAL(19,2)"
 )
 _MONTH = "mes DATE, total_pagos BIGINT, total_ingresos DECIMAL(38,2)"
+_LANDED = (
+    "sin_id BIGINT, _landed STRUCT<landed: STRUCT<at: TIMESTAMP, file: STRING, block: BIGINT, line: BIGINT>, "
+    "_place: INT>"
+)
 _BUCKET = "nombre STRING, cantidad BIGINT, valor_total DECIMAL(38,2), fecha DATE"
 
 WAREHOUSE: dict[str, str] = {
@@ -91,6 +95,13 @@ WAREHOUSE: dict[str, str] = {
     "aum_bonos_select_actual": "tipo_bono STRING, total DECIMAL(38,2)",
     "migration_logs": "estatus STRING, tabla STRING, proceso STRING, registros_insertados BIGINT, "
     "error_text STRING, fecha_registro TIMESTAMP",
+    # the last version of each landed record, as text, so that filters see what the endpoint holds now
+    "estado_compras_planes": f"_id STRING, id_compra STRING, address STRING, cantidad STRING, Monto_recibido STRING, "
+    f"status STRING, Fecha_pago STRING, coin STRING, complemento_de STRING, USD STRING, wallet STRING, "
+    f"`Created Date` STRING, {_LANDED}",
+    "estado_pagos_planes": f"id_pago STRING, amount STRING, Asset STRING, coin STRING, cotizacion STRING, "
+    f"status STRING, id_tx STRING, id_wallet STRING, `Created Date` STRING, address STRING, amount_cripto STRING, "
+    f"moneda STRING, socio STRING, {_LANDED}",
     "rejected_pages": "origen STRING, payload STRING, fecha_registro TIMESTAMP",
 }
 
@@ -105,7 +116,14 @@ BLOCKED = {
     "fact_kft_compras_planes": "id_compra",
     "fact_kft_pagos_planes": "pago_tx",
 }
-for _table in BLOCKED:
+#: Tables that keep the last version of each landed record, by the pages they come from, and their id,
+#: a text that ends in a number; its block is -1 where it does not.
+RECORD_STATES = {
+    "purchase_pages": ("estado_compras_planes", "id_compra"),
+    "payout_pages": ("estado_pagos_planes", "id_pago"),
+}
+_STATES = [table for table, _ in RECORD_STATES.values()]
+for _table in [*BLOCKED, *_STATES]:
     WAREHOUSE[_table] += f", {BLOCK} BIGINT"
 
-PARTITIONED = {"fact_ventas": "anio", **dict.fromkeys(BLOCKED, BLOCK)}
+PARTITIONED = {"fact_ventas": "anio", **dict.fromkeys([*BLOCKED, *_STATES], BLOCK)}

@@ -11,10 +11,10 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.maintenance import Update
+from ledgerloom.operators.maintenance import Update, first_per_key
 from ledgerloom.session import materialise
 
 
@@ -118,6 +118,29 @@ def update(table: str, rule: Update, source: DataFrame, base: str, version: str)
     return seen["rows"]
 
 
+def merge_latest(table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> int:
+    """Keep, in a table partitioned by a column that follows from the keys, the first row per key in
+    `order`, of the rows it has and of `rows`; returns how many rows came.
+
+    Only the partitions that `rows` falls into are read and rewritten.  Rows that come again, after a
+    replay or with every reading of a folder, change nothing.
+    """
+    spark = rows.sparkSession
+    target = current(spark, table)
+    (part,) = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    counts = {"rows": F.count(F.lit(1)), "low": F.min(part), "high": F.max(part)}
+    batch, seen = materialise(conform(rows, table), f"rows-{table}", **counts)
+    if not seen["rows"]:
+        return 0
+    inside = F.col(part).between(F.lit(seen["low"]), F.lit(seen["high"]))
+    places = batch.select(part).distinct()
+    touched = target.where(inside).join(places, part, "left_semi").select(*target.columns)
+    state = first_per_key(touched.unionByName(batch), keys, order)
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        conform(state, table).write.insertInto(table, overwrite=True)
+    return seen["rows"]
+
+
 def append(df: DataFrame, table: str) -> None:
     """Add rows to an existing table."""
     conform(df, table).write.insertInto(table)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import json
 
 import pytest
 from conftest import SF_SMALL
@@ -112,6 +113,43 @@ def test_changes_reach_the_tables(warehouse):
     assert spark.table("aum_bonos").count() == 1  # the old table is still there
 
 
+def test_a_run_with_new_pages_only_knows_earlier_versions(warehouse):
+    spark, sources, base = warehouse
+    span = (dt.datetime(1990, 1, 1), dt.datetime(2050, 1, 1))
+    fact = spark.table("fact_kft_compras_planes")
+    known = fact.where("fecha_pago IS NOT NULL").agg(F.min("id_compra")).first()[0]
+    created = "1995-01-01T00:00:00.000Z"
+
+    def page(*found):
+        rows = [json.dumps({"response": {"results": list(found)}})]
+        return spark.createDataFrame([(r,) for r in rows], "payload string")
+
+    def run(day, *found):
+        on = dataclasses.replace(SETTINGS, run_ts=dt.datetime(2030, 2, day), record_span=span)
+        steps = ["insertar_kft_compras_planes", "actualizar1_kft_compras_planes"]
+        refresh(spark, {**sources, "purchase_pages": page(*found)}, base, on, steps)
+        entries = log(spark, on.run_ts)
+        assert {e[0] for e in entries.values()} == {"success"}, entries
+        return tuple(entries[s][1] for s in steps)
+
+    new = {"_id": "rx", "id_compra": "CP900000001", "Created Date": created}
+    # the new record complements one whose page landed in another run
+    assert run(1, {**new, "Fecha_pago": "3/5/25", "complemento_de": f"r{known}"})[0] == 1
+    row = spark.table("fact_kft_compras_planes").where("id_compra = 900000001").first()
+    assert (row.fecha_pago, row.complemento_de) == (dt.datetime(2025, 3, 5), known)
+    # a record that has lost its time since is not loaded, nor one whose lost time is all that landed
+    lost = {"_id": "ry", "id_compra": "CP900000002", "Created Date": created}
+    run(2, {**lost, "Fecha_pago": ""}, {**new, "Fecha_pago": "", "status": "refunded"})
+    now = spark.table("fact_kft_compras_planes")
+    assert now.where("id_compra = 900000002").isEmpty()
+    # filtered out by the endpoint's rule, so the fact keeps what it had
+    assert now.where("id_compra = 900000001").first().status is None
+    state = spark.table("estado_compras_planes").where("_id IN ('rx', 'ry')")
+    assert sorted((r["_id"], r.status, r.Fecha_pago) for r in state.collect()) == [
+        ("rx", "refunded", ""), ("ry", None, ""),
+    ]
+
+
 def test_optional_updates(warehouse):
     spark, sources, base = warehouse
     on = dataclasses.replace(SETTINGS, run_ts=dt.datetime(2030, 1, 4))

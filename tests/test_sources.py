@@ -157,6 +157,67 @@ def test_a_record_landed_twice_is_one_insert_and_one_update(spark, tmp_path, val
     assert values(numbers) == [("r1", 0), ("r2", 2)]
 
 
+def test_filters_act_on_the_last_version(spark, tmp_path, values):
+    folder, span = tmp_path / "pages", (dt.datetime(2025, 1, 1), dt.datetime(2050, 1, 1))
+    day = {"Created Date": "2025-02-01T00:00:00.000Z"}
+    land(folder, "1.json", {"_id": "r1", "id_compra": "CP1", "status": "paid", "Fecha_pago": "2025-02-02", **day},
+         {"_id": "r2", "id_compra": "CP2", "status": "paid", "Fecha_pago": "2025-02-02", **day})
+    os.utime(folder / "1.json", (1, 1))
+    land(folder, "2.json", {"_id": "r1", "id_compra": "CP1", "status": "refunded", "Fecha_pago": "", **day})
+    pages = landing.read_pages(spark, str(folder))
+    assert values(records.typed_purchases(pages), "id_compra", "status") == [(1, "refunded"), (2, "paid")]
+    assert values(records.typed_purchases(pages, span), "id_compra", "status") == [(2, "paid")]
+    empty = records.purchases_source(pages).limit(0)
+    assert values(records.json_purchases_new(pages, empty, span=span), "id_compra") == [(2,)]
+    # a payout that moved out of the span; one without an id is nobody's version
+    folder = tmp_path / "payouts"
+    land(folder, "1.json", {"id_pago": "PA1", "status": "open", **day}, {"id_pago": "PA2", **day}, {"id_pago": "", **day})
+    os.utime(folder / "1.json", (1, 1))
+    land(folder, "2.json", {"id_pago": "PA1", "status": "done", "Created Date": "2024-02-01T00:00:00.000Z"})
+    pages = landing.read_pages(spark, str(folder))
+    assert values(records.payouts_source(pages, span), "pago_tx") == [(2,)]
+    assert values(records.payouts_update_source(pages, span), "pago_tx") == [(2,)]
+
+
+def test_a_page_is_parsed_once(spark, tmp_path):
+    folder = tmp_path / "pages"
+    land(folder, "1.json", {"_id": "a", "id_compra": "CP1"})
+    pages = landing.read_pages(spark, str(folder))
+
+    def parses(df):
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+
+    for allow in (False, True):
+        assert parses(landing.records(pages, landing.PURCHASE_RECORD, allow_unread=allow)) == 1
+        assert parses(landing.wallet_records(pages, allow_unread=allow)) == 1
+    assert parses(landing.unread_pages(pages)) == 1
+    assert parses(records.transfers_source(pages)) == 1
+    span = dt.datetime(2025, 1, 1), dt.datetime(2026, 1, 1)
+    typed = records.typed_purchases(pages, span)
+    assert parses(typed) == 1
+    # the created time and the payment time, each cut into tokens once
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 2
+
+
+def test_last_versions_are_kept_block_by_block(spark, frame, values, table):
+    spark.sql(f"CREATE TABLE {table} (k STRING, v STRING, at INT, part BIGINT) USING parquet PARTITIONED BY (part)")
+
+    def merge(*rows):
+        batch = frame("k string, v string, at int, part long", *rows)
+        return tables.merge_latest(table, batch, ["k"], [F.desc("at")])
+
+    assert merge(("a", "old", 1, 0), ("b", "only", 1, 1), ("c", "x", 1, -1), ("a", "mid", 2, 0)) == 4
+    before = set(tables.current(spark, table).inputFiles())
+    assert merge(("a", "new", 3, 0), ("d", "late", 1, 0)) == 2
+    assert merge(("a", "stale", 1, 0)) == 1
+    after = set(tables.current(spark, table).inputFiles())
+    assert {f.split("part=")[1].split("/")[0] for f in before - after} == {"0"}
+    assert values(tables.current(spark, table), "k", "v") == [
+        ("a", "new"), ("b", "only"), ("c", "x"), ("d", "late"),
+    ]
+    assert merge() == 0
+
+
 def test_pages_that_are_not_understood(spark, tmp_path, values):
     folder = tmp_path / "pages"
     land(folder, "1.json", {"_id": "a", "id_compra": "CP1", "Fecha_pago": "soon"})
