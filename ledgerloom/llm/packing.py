@@ -27,8 +27,9 @@ from ledgerloom.session import materialise
 CAPACITY = 2048
 #: Documents packed together in one task.
 GROUP_ROWS = 16384
-#: Words a Python worker remembers with their ids (about 90 MB); others are encoded batch by batch.
-WORD_CACHE = 400_000
+#: Words of a generation that a Python worker remembers with their ids (two of them, some 170 MB in all),
+#: characters of a word up to which it is remembered, words encoded in one string.
+GENERATION, LONG_WORD, TOGETHER = 400_000, 64, 128
 MAX_ROUNDS = 4
 
 _PLAIN = re.compile(r"\n?\S+\Z")
@@ -42,6 +43,10 @@ class _WordCoder:
     two other characters, so a text is looked up word by word and only words not met before are
     encoded, many in one string, cut again where a token starts with the blank or line feed.  A text
     with any other white space or with a special token is encoded whole.
+
+    Words are remembered in two generations: what a batch uses is in the young one, taken over from the
+    old one or encoded; a young one that is full becomes the old one.  So words that keep coming stay, and
+    those that are not met again go, whatever the vocabulary of the whole input.
     """
 
     def __init__(self, path: str):
@@ -54,7 +59,8 @@ class _WordCoder:
         for token, at in self.tokenizer.get_vocab().items():
             for mark, byte in ((" ", "\u0120"), ("\n", "\u010a")):  # their byte-level characters
                 self.starts[mark][at] |= token.startswith(byte)
-        self.known: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes | None] = {}  # the young generation
+        self.old: dict[str, bytes | None] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -63,10 +69,10 @@ class _WordCoder:
     def words(self, mark: str, words: list[str]) -> list[bytes]:
         """Ids of each word with `mark` before it."""
         out: list[bytes] = []
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            # a word in front, so that every mark stands between two other characters
-            (coded,) = self.whole(["x" + mark + mark.join(part)])
+        parts = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        # a word in front, so that every mark stands between two other characters
+        strings = ["x" + mark + mark.join(part) for part in parts]
+        for part, coded in zip(parts, self.whole(strings), strict=True):
             ids = np.frombuffer(coded, "<u4")
             cuts = np.append(np.flatnonzero(self.starts[mark][ids]), len(ids)) * 4
             if len(cuts) != len(part) + 1:
@@ -98,17 +104,15 @@ class _WordCoder:
             known[word] = known[word[:-1]] + (comma if word[-1] == "," else stop)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
+        known, old = self.known, self.old
         known[""] = None
         # a word at the start of a text has no blank before it
         words = [t.replace("\n", " \n").split(" ") for t in texts]
         heads = [w.pop(0) for w in words]
         missing = set().union(*words) - known.keys()
-        if len(known) > WORD_CACHE and len(missing) > sum(map(len, words)) // 4:
-            known.clear()  # other texts than those it was filled from
-            known[""] = None
-            missing = set().union(*words)
-        full = len(known) > WORD_CACHE
+        again = missing & old.keys()
+        known.update((w, old[w]) for w in again)
+        missing -= again
         self.learn(missing)
         out: list[bytes | None] = []
         for text, head, rest, ids in zip(texts, heads, words, self.whole(heads), strict=True):
@@ -120,9 +124,11 @@ class _WordCoder:
                 out.append(b"".join([ids, *map(known.__getitem__, rest)]))
             except TypeError:  # a word with other white space
                 out.append(None)
-        if full:
-            for word in missing:
+        for word in missing:
+            if len(word) > LONG_WORD:
                 known.pop(word, None)
+        if len(known) > GENERATION:
+            self.known, self.old = {}, known
         left = [i for i, o in enumerate(out) if o is None]
         for i, ids in zip(left, self.whole([texts[i] for i in left]), strict=True):
             out[i] = ids
