@@ -17,6 +17,7 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
@@ -32,6 +33,8 @@ GROUP_ROWS = 16384
 GENERATION, LONG_WORD, TOGETHER = 400_000, 64, 128
 MAX_ROUNDS = 4
 
+#: Stands for the ids of a word that has none by itself; ids take four bytes each.
+_ODD = b"?"
 _PLAIN = re.compile(r"\n?\S+\Z")
 _coders: dict[str, _WordCoder] = {}
 
@@ -59,8 +62,8 @@ class _WordCoder:
         for token, at in self.tokenizer.get_vocab().items():
             for mark, byte in ((" ", "\u0120"), ("\n", "\u010a")):  # their byte-level characters
                 self.starts[mark][at] |= token.startswith(byte)
-        self.known: dict[str, bytes | None] = {}  # the young generation
-        self.old: dict[str, bytes | None] = {}
+        self.known: dict[str, bytes] = {"": _ODD}  # the young generation
+        self.old: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -82,11 +85,11 @@ class _WordCoder:
             out += [coded[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
         return out
 
-    def learn(self, missing: set[str]) -> None:
+    def learn(self, missing: list[str]) -> None:
         known, stems, tails = self.known, {" ": set(), "\n": set()}, []
         for word in missing:
             if not _PLAIN.match(word):
-                known[word] = None
+                known[word] = _ODD
                 continue
             stem = word
             # a closing comma or full stop is a token of its own after a letter
@@ -103,35 +106,57 @@ class _WordCoder:
         for word in tails:
             known[word] = known[word[:-1]] + (comma if word[-1] == "," else stop)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def codes(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, _ODD where one cannot be looked up by itself."""
         known, old = self.known, self.old
-        known[""] = None
-        # a word at the start of a text has no blank before it
-        words = [t.replace("\n", " \n").split(" ") for t in texts]
-        heads = [w.pop(0) for w in words]
-        missing = set().union(*words) - known.keys()
-        again = missing & old.keys()
-        known.update((w, old[w]) for w in again)
-        missing -= again
+        missing = []
+        for word in [w for w, ids in zip(words, map(known.get, words), strict=True) if ids is None]:
+            if (ids := old.get(word)) is None:
+                missing.append(word)
+            else:
+                known[word] = ids
         self.learn(missing)
-        out: list[bytes | None] = []
-        for text, head, rest, ids in zip(texts, heads, words, self.whole(heads), strict=True):
-            odd = not head or not _PLAIN.match(head) or head[0] == "\n"
-            if odd or any(s in text for s in self.special):
-                out.append(None)
-                continue
-            try:
-                out.append(b"".join([ids, *map(known.__getitem__, rest)]))
-            except TypeError:  # a word with other white space
-                out.append(None)
+        found = list(map(known.__getitem__, words))
         for word in missing:
             if len(word) > LONG_WORD:
                 known.pop(word, None)
         if len(known) > GENERATION:
-            self.known, self.old = {}, known
+            self.known, self.old = {"": _ODD}, known
+        return found
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        marked = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n")
+        split = pc.split_pattern(marked, " ")
+        bounds = split.offsets.to_numpy()
+        flat = split.values
+        # a word at the start of a text has no blank before it
+        heads = flat.take(pa.array(bounds[:-1])).to_pylist()
+        behind = np.ones(len(flat), bool)
+        behind[bounds[:-1]] = False
+        counted = flat.filter(pa.array(behind)).dictionary_encode()
+        codes = self.codes(counted.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, codes), np.int64, len(codes))
+        odd = sizes % 4 != 0
+        sizes[odd] = 0
+        # the ids of all words one after the other, gathered from those of the distinct words
+        ids = np.frombuffer(b"".join([c for c in codes if len(c) % 4 == 0]), "<u4")
+        starts, sizes = np.cumsum(sizes // 4) - sizes // 4, sizes // 4
+        word = counted.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])
+        places = np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], sizes[word])
+        data = ids[places].tobytes()
+        of_text = bounds - np.arange(len(bounds))  # heads are not counted
+        at = (ends[of_text] * 4).tolist()
+        odds = np.concatenate([[0], np.cumsum(odd[word])])[of_text]
+        strange = (odds[1:] > odds[:-1]).tolist()
+        out: list[bytes | None] = []
+        for i, (text, head, first) in enumerate(zip(texts, heads, self.whole(heads), strict=True)):
+            whole = strange[i] or not _PLAIN.match(head) or head[0] == "\n"
+            whole = whole or any(s in text for s in self.special)
+            out.append(None if whole else first + data[at[i] : at[i + 1]])
         left = [i for i, o in enumerate(out) if o is None]
-        for i, ids in zip(left, self.whole([texts[i] for i in left]), strict=True):
-            out[i] = ids
+        for i, coded in zip(left, self.whole([texts[i] for i in left]), strict=True):
+            out[i] = coded
         return out
 
 
@@ -153,8 +178,8 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = [x + end for x in encode_texts(texts, path)]
                 lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
