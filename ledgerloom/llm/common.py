@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,37 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+class Remembered:
+    """Values of words in a worker: `compute` gives those of a list of words not known.
+
+    Two generations: what a batch uses is in the young one, taken over from the old one or computed; a
+    young one that is full becomes the old one.  Words longer than `longest` are not kept.
+    """
+
+    def __init__(self, compute: Callable[[list[str]], list], generation: int = 300_000, longest: int = 64):
+        self.compute, self.generation, self.longest = compute, generation, longest
+        self.young: dict[str, object] = {}
+        self.old: dict[str, object] = {}
+
+    def values(self, words: list[str]) -> list:
+        """One value per word; the words are distinct, values are not None."""
+        young, old = self.young, self.old
+        missing = []
+        for word in [w for w, v in zip(words, map(young.get, words), strict=True) if v is None]:
+            if (value := old.get(word)) is None:
+                missing.append(word)
+            else:
+                young[word] = value
+        young.update(zip(missing, self.compute(missing), strict=True))
+        found = list(map(young.__getitem__, words))
+        for word in missing:
+            if len(word) > self.longest:
+                del young[word]
+        if len(young) > self.generation:
+            self.young, self.old = {}, young
+        return found
+
+
 def groups_for(rows: int, per_group: int) -> int:
     """How many groups keep `rows` rows at about `per_group` each; at least one."""
     return max(1, -(-rows // per_group))

@@ -3,7 +3,16 @@
 The model's protobuf is read field by field; pieces, scores, the normaliser's character map, its
 white-space rules and byte fallback are rebuilt as a tokenizers pipeline, for unigram and BPE models.
 Texts go through in batches with several threads.  `checked` decodes what it encodes and
-holds ids against the sentencepiece library itself.
+holds ids against the sentencepiece library itself, of every text.
+
+Where no piece goes on over the start of a word, neither library joins anything over it, so what both make
+of a text is what they make of its words, one after the other.  `checked` then compares the libraries on
+every distinct word once (a worker remembers words in two generations) and their normalised forms on every
+text; a text whose forms differ, or that is not put together from its words again, goes through both as a
+whole, and so do all texts of other models.
+
+Null texts count as empty and have no ids.  Repeated rows are encoded each for itself; a null doc_id stays
+null.  An empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -15,15 +24,20 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import Remembered
+
 MARK = "▁"
 #: Types of pieces and of models in the protobuf.
 UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: Texts encoded in one call, threads of a call.
-BATCH, THREADS = 256, 2
+#: Texts encoded in one call, texts whose words are counted together, threads of a call.
+BATCH, TOGETHER, THREADS = 256, 4096, 2
+#: Words of a generation that a worker remembers (two of them, some 350 MB in all).
+WORDS = 800_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -214,6 +228,115 @@ def decode(ids: DataFrame, path: str, threads: int = THREADS) -> DataFrame:
     return ids.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
+def _expected(model: Model, text: str) -> str:
+    """What decoding gives back of a text, white space as the model treats it."""
+    text = text.replace(MARK, " ") if model.escape else text
+    return " ".join(p for p in text.split(" ") if p) if model.squeeze else text
+
+
+#: Sets words apart in one string; a text that has it is looked at as a whole.
+_CUT = "\x1f"
+_AGREE, _TRIP, _ODD = 1, 2, 4
+
+
+class _Checker:
+    """Both libraries in a worker, and what is known of words."""
+
+    def __init__(self, data: bytes, threads: int):
+        import sentencepiece
+
+        self.model, self.tokenizer = parse(data), _tokenizer(data, threads)
+        self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
+        own = any(kind == USER_DEFINED for _, _, kind in self.model.pieces)
+        self.by_words = (
+            self.tokenizer.pre_tokenizer is not None
+            and self.model.dummy_prefix
+            and self.model.escape
+            and not own
+        )
+        self.words = Remembered(self._judge, WORDS)
+
+    def _normalised(self, texts: list[str]) -> tuple[list[str], list[str]]:
+        return self.library.normalize(texts), [self.tokenizer.normalizer.normalize_str(t) for t in texts]
+
+    def _judge(self, words: list[str]) -> list[bytes]:
+        """Per word its flags in a byte, then its ids; words are normalised, with the marks before them."""
+        if not words:
+            return []
+        raw = [w[1:].replace(MARK, " ") for w in words]
+        # without a character map white space is all that a normaliser changes, and a word has none inside
+        one, other = self._normalised(raw) if self.model.charsmap else (words, words)
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(raw, add_special_tokens=False)]
+        back = self.tokenizer.decode_batch(coded, skip_special_tokens=False)
+        known = self.library.encode(raw)
+        out = []
+        for w, r, a, b, ids, text, theirs, their_text in zip(
+            words, raw, one, other, coded, back, known, self.library.decode(known), strict=True
+        ):
+            flags = _AGREE * (ids == theirs and text == their_text) + _TRIP * (text == r)
+            flags += _ODD * (a != w or b != w or w[:1] != MARK or not r)  # no text is a lone mark
+            out.append(bytes([flags]) + np.asarray(ids, "<u4").tobytes())
+        return out
+
+    def whole(self, texts: list[str]) -> list[tuple]:
+        """(ids, round trip, parity) of texts that go through both libraries."""
+        if not texts:
+            return []
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        back = self.tokenizer.decode_batch(coded, skip_special_tokens=False)
+        known = self.library.encode(texts)
+        return [
+            (np.asarray(ids, "<u4").tobytes(), b == _expected(self.model, t), ids == k and b == kb)
+            for t, ids, b, k, kb in zip(texts, coded, back, known, self.library.decode(known), strict=True)
+        ]
+
+    def check(self, texts: list[str]) -> list[tuple]:
+        if not self.by_words or not texts:
+            return self.whole(texts)
+        one, other = self._normalised(texts)
+        usual = [a == b and a[:1] == MARK and _CUT not in a for a, b in zip(one, other, strict=True)]
+        forms = [n if u else "" for n, u in zip(one, usual, strict=True)]
+        # a word is a stretch of marks and what follows up to the next mark
+        cut = pc.replace_substring_regex(pa.array(forms, pa.large_string()), f"([^{MARK}]){MARK}", f"\\1{_CUT}{MARK}")
+        split = pc.split_pattern(cut, _CUT)
+        bounds = split.offsets.to_numpy()
+        counted = split.values.dictionary_encode()
+        names = counted.dictionary.to_pylist()
+        judged = self.words.values(names)
+        flags = np.frombuffer(b"".join([j[:1] for j in judged]), np.uint8)
+        sizes = np.fromiter(map(len, judged), np.int64, len(judged)) // 4
+        ids = np.frombuffer(b"".join([j[1:] for j in judged]), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        word = counted.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[word])])
+        data = ids[np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], sizes[word])].tobytes()
+        at = (ends[bounds] * 4).tolist()
+
+        def every(flag: int) -> list[bool]:
+            misses = np.concatenate([[0], np.cumsum(flags[word] & flag == 0)])[bounds]
+            return (misses[1:] == misses[:-1]).tolist()
+
+        agree, trip = every(_AGREE), every(_TRIP)
+        odd = np.concatenate([[0], np.cumsum(flags[word] & _ODD > 0)])[bounds]
+        odd = (odd[1:] > odd[:-1]).tolist()
+        out: list[tuple | None] = []
+        for i, (text, form) in enumerate(zip(texts, forms, strict=True)):
+            if not usual[i] or odd[i] or not trip[i]:
+                out.append(None)
+                continue
+            same = form[1:].replace(MARK, " ") == _expected(self.model, text)
+            out.append((data[at[i] : at[i + 1]], same, agree[i]))
+        left = [i for i, o in enumerate(out) if o is None]
+        for at_ in range(0, len(left), BATCH):
+            part = left[at_ : at_ + BATCH]
+            for i, found in zip(part, self.whole([texts[i] for i in part]), strict=True):
+                out[i] = found
+        return out
+
+
+_checkers: dict = {}
+
+
 def checked(docs: DataFrame, path: str, audit: Column, threads: int = THREADS) -> DataFrame:
     """doc_id, n_ids, ids_crc32 (of the ids as little-endian unsigned 32-bit), round_trip (whether
     decoding gives the text that went in, white space as the model treats it) and parity (whether the
@@ -222,33 +345,20 @@ def checked(docs: DataFrame, path: str, audit: Column, threads: int = THREADS) -
     The rows are those of `encode` with their text alongside, so that a text is read once.
     """
     data = _model_bytes(path)
-    model = parse(data)
-
-    def expected(text: str) -> str:
-        text = text.replace(MARK, " ") if model.escape else text
-        return " ".join(p for p in text.split(" ") if p) if model.squeeze else text
 
     def run(batches):
-        import sentencepiece
-
-        tokenizer = _tokenizer(data, threads)
-        library = sentencepiece.SentencePieceProcessor(model_proto=data)
+        if data not in _checkers:
+            _checkers[data] = _Checker(data, threads)
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH):
-                part = batch.slice(at, BATCH)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                coded = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-                back = tokenizer.decode_batch(coded, skip_special_tokens=False)
-                same = [b == expected(t) for b, t in zip(back, texts, strict=True)]
-                parity: list[bool | None] = [None] * len(texts)
-                asked = [i for i, a in enumerate(part.column(2).to_pylist()) if a]
-                for i, ids in zip(asked, library.encode([texts[i] for i in asked]), strict=True):
-                    parity[i] = ids == coded[i] and library.decode(ids) == back[i]
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                found = _checkers[data].check([t or "" for t in part.column(1).to_pylist()])
+                asked = part.column(2).to_pylist()
                 columns = [
-                    pa.array([len(c) for c in coded], pa.int64()),
-                    pa.array([zlib.crc32(np.asarray(c, "<u4").tobytes()) for c in coded], pa.int64()),
-                    pa.array(same),
-                    pa.array(parity, pa.bool_()),
+                    pa.array([len(ids) // 4 for ids, _, _ in found], pa.int64()),
+                    pa.array([zlib.crc32(ids) for ids, _, _ in found], pa.int64()),
+                    pa.array([trip for _, trip, _ in found], pa.bool_()),
+                    pa.array([p if a else None for (_, _, p), a in zip(found, asked, strict=True)], pa.bool_()),
                 ]
                 yield pa.RecordBatch.from_arrays([part.column(0), *columns], names)
 

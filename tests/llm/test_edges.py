@@ -345,6 +345,35 @@ def test_sentencepiece_rows(docs):
     assert sentencepieces.encode(docs([]), PIECES).count() == 0
 
 
+def test_parity_by_words_equals_parity_of_whole_texts(monkeypatch):
+    with open(PIECES, "rb") as f:
+        data = f.read()
+    checker = sentencepieces._Checker(data, 1)
+    assert checker.by_words
+    rng = random.Random(1)
+    kinds = [" ", "  ", "a", "bc", "\u2581", "\n", "\t", "é", "😀", "\x1f", "ﬁ", "\u200b", "x" * 70, "<0x41>", "<s>"]
+    texts = ["".join(rng.choices(kinds, k=rng.randint(0, 14))) for _ in range(1500)]
+    texts += [words(n, 80) for n in range(40)]
+    whole = checker.whole(texts)
+    assert checker.check(texts) == whole
+    checker.words.generation = 50  # words forgotten and met again
+    got = [found for at in range(0, len(texts), 100) for found in checker.check(texts[at : at + 100])]
+    assert got == whole
+    assert checker.check([]) == [] and checker.check([""]) == checker.whole([""])
+    # a difference between the libraries on one word is one on every text that has the word
+    decode = checker.library.decode
+    monkeypatch.setattr(
+        checker, "library",
+        type("Other", (), {
+            "normalize": checker.library.normalize,
+            "encode": checker.library.encode,
+            "decode": lambda self, ids: [t.replace("bc", "cb") for t in decode(ids)],
+        })(),
+    )
+    checker.words = common.Remembered(checker._judge)
+    assert [f[2] for f in checker.check(["a bc", "a b", "bc"])] == [False, True, False]
+
+
 def test_unigram_models_are_rebuilt():
     def message(*parts: tuple[int, object]) -> bytes:
         out = b""
