@@ -21,6 +21,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Texts encoded in one call, texts whose words are counted together, threads of a call.
 BATCH, TOGETHER, THREADS = 256, 4096, 2
-#: Words of a generation that a worker remembers (two of them, some 350 MB in all).
-WORDS = 800_000
+#: Words of a generation that a worker remembers (two of them, some 250 MB in all).
+WORDS = 600_000
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -237,6 +238,7 @@ def _expected(model: Model, text: str) -> str:
 #: Sets words apart in one string; a text that has it is looked at as a whole.
 _CUT = "\x1f"
 _AGREE, _TRIP, _ODD = 1, 2, 4
+_FLAGS = [bytes([flags]) for flags in range(8)]
 
 
 class _Checker:
@@ -257,6 +259,10 @@ class _Checker:
         self.words = Remembered(self._judge, WORDS)
 
     def _normalised(self, texts: list[str]) -> tuple[list[str], list[str]]:
+        """The forms of both libraries.  Without a character map and squeezed blanks the tokenizer only
+        puts a mark in front and marks for blanks."""
+        if not self.model.charsmap and not self.model.squeeze:
+            return self.library.normalize(texts), [t and MARK + t.replace(" ", MARK) for t in texts]
         return self.library.normalize(texts), [self.tokenizer.normalizer.normalize_str(t) for t in texts]
 
     def _judge(self, words: list[str]) -> list[bytes]:
@@ -264,18 +270,19 @@ class _Checker:
         if not words:
             return []
         raw = [w[1:].replace(MARK, " ") for w in words]
-        # without a character map white space is all that a normaliser changes, and a word has none inside
-        one, other = self._normalised(raw) if self.model.charsmap else (words, words)
+        one, other = self._normalised(raw)
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(raw, add_special_tokens=False)]
         back = self.tokenizer.decode_batch(coded, skip_special_tokens=False)
         known = self.library.encode(raw)
-        out = []
+        flat = np.fromiter(chain.from_iterable(coded), "<u4").tobytes()
+        out, at = [], 0
         for w, r, a, b, ids, text, theirs, their_text in zip(
             words, raw, one, other, coded, back, known, self.library.decode(known), strict=True
         ):
             flags = _AGREE * (ids == theirs and text == their_text) + _TRIP * (text == r)
             flags += _ODD * (a != w or b != w or w[:1] != MARK or not r)  # no text is a lone mark
-            out.append(bytes([flags]) + np.asarray(ids, "<u4").tobytes())
+            out.append(_FLAGS[flags] + flat[at : at + 4 * len(ids)])
+            at += 4 * len(ids)
         return out
 
     def whole(self, texts: list[str]) -> list[tuple]:
@@ -297,8 +304,10 @@ class _Checker:
         usual = [a == b and a[:1] == MARK and _CUT not in a for a, b in zip(one, other, strict=True)]
         forms = [n if u else "" for n, u in zip(one, usual, strict=True)]
         # a word is a stretch of marks and what follows up to the next mark
-        cut = pc.replace_substring_regex(pa.array(forms, pa.large_string()), f"([^{MARK}]){MARK}", f"\\1{_CUT}{MARK}")
-        split = pc.split_pattern(cut, _CUT)
+        cut = pc.replace_substring(pa.array(forms, pa.large_string()), MARK, _CUT + MARK)
+        for _ in range(2):  # every second cut between two marks, then the others
+            cut = pc.replace_substring(cut, f"{MARK}{_CUT}{MARK}", MARK + MARK)
+        split = pc.split_pattern(pc.utf8_slice_codeunits(cut, 1), _CUT)
         bounds = split.offsets.to_numpy()
         counted = split.values.dictionary_encode()
         names = counted.dictionary.to_pylist()
