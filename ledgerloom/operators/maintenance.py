@@ -330,13 +330,12 @@ def latest_per_key(
     history: DataFrame, keys: Sequence[str], at: str, ties: Sequence[str] = ()
 ) -> DataFrame:
     """Latest row per key; a NULL time counts as the latest, as in the source database."""
-    order = [F.col(at).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in ties]]
-    return first_per_key(history, keys, order)
+    return first_per_key(history, keys, history_order(at, ties))
 
 
-def changes_for_history(
+def changes_since(
     current: DataFrame,
-    history: DataFrame,
+    last: DataFrame,
     key: str,
     watch: Sequence[str],
     run_ts: Column,
@@ -345,17 +344,38 @@ def changes_for_history(
 ) -> DataFrame:
     """The rows to append, i.e. current rows never seen or changed since their last record.
 
-    `null_is_absent` treats a last record whose watched columns are all NULL as no record.
+    `last` has the last record of each key, with the columns of the history; `null_is_absent` treats one
+    whose watched columns are all NULL as no record.
     """
-    last = latest_per_key(history, [key], at, watch).select(
-        key, *[F.col(c).alias(f"_last_{c}") for c in watch], F.lit(True).alias("_seen")
-    )
+    seen = last.select(key, *[F.col(c).alias(f"_last_{c}") for c in watch], F.lit(True).alias("_seen"))
     changed = compare.differs([(F.col(f"_last_{c}"), F.col(c)) for c in watch])
     fresh = F.col("_seen").isNull() | changed
     if null_is_absent:
         fresh = fresh | _all_of([F.col(f"_last_{c}").isNull() for c in watch])
-    stamped = current.withColumn(at, run_ts.cast(history.schema[at].dataType))
-    return stamped.join(last, key, "left").where(fresh).select(*history.columns)
+    stamped = current.withColumn(at, run_ts.cast(last.schema[at].dataType))
+    return stamped.join(seen, key, "left").where(fresh).select(*last.columns)
+
+
+def history_order(at: str, watch: Sequence[str]) -> list[Column]:
+    """Which of several records of a key is the last; a NULL time counts as the latest."""
+    return [F.col(at).desc_nulls_first(), *[F.col(c).desc_nulls_last() for c in watch]]
+
+
+def changes_for_history(
+    current: DataFrame,
+    history: DataFrame,
+    key: str,
+    watch: Sequence[str],
+    run_ts: Column,
+    at: str = "fecha_registro",
+    null_is_absent: bool = False,
+) -> DataFrame:
+    """M10 against the whole history, whose last records are found by rank.
+
+    `tables.append_history` keeps them in a table of their own and does not read the history.
+    """
+    last = latest_per_key(history, [key], at, watch)
+    return changes_since(current, last, key, watch, run_ts, at, null_is_absent)
 
 
 def append_change_history(

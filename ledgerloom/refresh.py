@@ -138,11 +138,24 @@ class Refresh:
     # --- the ways to load -------------------------------------------------------------------
 
     def append(self, table: str, rows: DataFrame, counter: Observation) -> None:
-        if table in schemas.BLOCKED:
-            block = F.expr(f"{schemas.BLOCKED[table]} DIV {schemas.BLOCK_SIZE}")
-            rows = rows.withColumn(schemas.BLOCK, block)
         tables.append(audit.counted(rows, counter), table)
 
+    def insert_new(self, table: str, rows: DataFrame) -> int:
+        """Rows whose id a table of id blocks lacks."""
+        key = schemas.BLOCKED[table]
+        rows = rows.withColumn(schemas.BLOCK, F.expr(f"{key} DIV {schemas.BLOCK_SIZE}"))
+        return tables.insert_new(table, rows, [key])
+
+    def log_changes(
+        self, log: str, changes_of: Callable[[DataFrame, DataFrame, Column], DataFrame], watch: Sequence[str]
+    ) -> int:
+        """Partners changed since their last record in a history log."""
+        return tables.append_history(
+            self.spark, log, schemas.HISTORY_STATES[log],
+            lambda last: changes_of(self.now("dim_socios"), last, self.run_ts),
+            history.KEY, watch, self.version, schemas.BLOCK_SIZE, history.AT,
+        )
+
     def replace(self, table: str, rows: DataFrame, counter: Observation) -> None:
         state = audit.counted(tables.conform(rows, table), counter)
         tables.publish(state, table, self.base, self.version)
@@ -233,10 +246,8 @@ def actualizar_primerplatinum(r, counter):
 
 @step("fact_retiros")
 def insertar_retiros(r, counter):
-    new = payments.withdrawals_new(
-        r.source["pagos"], r.now("fact_retiros"), r.on.withdrawal_excluded_partner
-    )
-    r.append("fact_retiros", new, counter)
+    rows = payments.withdrawals_source(r.source["pagos"], r.on.withdrawal_excluded_partner)
+    return r.insert_new("fact_retiros", rows)
 
 
 @step("fact_retiros")
@@ -247,8 +258,7 @@ def actualizar_retiros(r, counter):
 
 @step("fact_masterbonus")
 def insertar_masterbonus(r, counter):
-    new = payments.masterbonus_new(r.source["pagos"], r.now("fact_masterbonus"))
-    r.append("fact_masterbonus", new, counter)
+    return r.insert_new("fact_masterbonus", payments.masterbonus_source(r.source["pagos"]))
 
 
 @step("fact_masterbonus")
@@ -259,8 +269,8 @@ def actualizar_masterbonus(r, counter):
 
 @step("fact_bonos_comisiones")
 def insertar_fact_bonos_comisiones(r, counter):
-    new = payments.bonuses_new(r.source["pagos"], r.source["enum"], r.now("fact_bonos_comisiones"))
-    r.append("fact_bonos_comisiones", new, counter)
+    rows = payments.bonuses_source(r.source["pagos"], r.source["enum"])
+    return r.insert_new("fact_bonos_comisiones", rows)
 
 
 @step("fact_bonos_comisiones")
@@ -323,8 +333,7 @@ def insertar_transacciones_internas(r, counter):
 @step("fact_kft_compras_planes")
 def insertar_kft_compras_planes(r, counter):
     rows = r.records("purchase_pages", _purchases)
-    new = records.json_purchases_new(rows, r.now("fact_kft_compras_planes"), span=r.on.record_span)
-    r.append("fact_kft_compras_planes", new, counter)
+    return r.insert_new("fact_kft_compras_planes", records.purchases_source(rows, span=r.on.record_span))
 
 
 @step("fact_kft_compras_planes")
@@ -337,8 +346,7 @@ def actualizar1_kft_compras_planes(r, counter):
 @step("fact_kft_pagos_planes")
 def insertar_kft_pagos_planes(r, counter):
     rows = r.records("payout_pages", _payouts)
-    new = records.json_payouts_new(rows, r.now("fact_kft_pagos_planes"), r.on.record_span)
-    r.append("fact_kft_pagos_planes", new, counter)
+    return r.insert_new("fact_kft_pagos_planes", records.payouts_source(rows, r.on.record_span))
 
 
 @step("fact_kft_pagos_planes")
@@ -369,14 +377,12 @@ def insertar_metas_planes(r, counter):
 
 @step("hist_membresias")
 def insertar_hist_membresias(r, counter):
-    rows = history.status_history(r.now("dim_socios"), r.now("hist_membresias"), r.run_ts)
-    r.append("hist_membresias", rows, counter)
+    return r.log_changes("hist_membresias", history.status_changes, history.STATUS_WATCH)
 
 
 @step("hist_rangos")
 def insertar_hist_rangos(r, counter):
-    rows = history.rank_history(r.now("dim_socios"), r.now("hist_rangos"), r.run_ts)
-    r.append("hist_rangos", rows, counter)
+    return r.log_changes("hist_rangos", history.rank_changes, history.RANK_WATCH)
 
 
 @step("agg_fact_anualidades")

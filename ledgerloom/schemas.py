@@ -23,6 +23,12 @@ _LANDED = (
 )
 _BUCKET = "nombre STRING, cantidad BIGINT, valor_total DECIMAL(38,2), fecha DATE"
 
+_STATUS = (
+    "id_socio BIGINT, estatus INT, fecha_ingreso TIMESTAMP, fecha_vigencia_membresia DATE, "
+    "fecha_registro TIMESTAMP"
+)
+_RANK = "id_socio BIGINT, id_rango INT, fecha_registro TIMESTAMP"
+
 WAREHOUSE: dict[str, str] = {
     "dim_socios": "id_socio BIGINT, nombre STRING, apellido_paterno STRING, apellido_materno STRING, email STRING, "
     "estatus INT, id_padre BIGINT, id_rango_actual INT, fecha_ingreso TIMESTAMP, fecha_vigencia_membresia DATE, "
@@ -80,9 +86,8 @@ WAREHOUSE: dict[str, str] = {
     "fact_conciliacion_pagos": "pago_tx BIGINT, socio BIGINT, monto DECIMAL(19,2), fecha_pagado DATE, "
     "wallet STRING, monto_pagado_btc DECIMAL(38,9), cotiza_btc DECIMAL(38,9), mensaje STRING, "
     "fecha_registro TIMESTAMP",
-    "hist_membresias": "id_socio BIGINT, estatus INT, fecha_ingreso TIMESTAMP, fecha_vigencia_membresia DATE, "
-    "fecha_registro TIMESTAMP",
-    "hist_rangos": "id_socio BIGINT, id_rango INT, fecha_registro TIMESTAMP",
+    "hist_membresias": _STATUS,
+    "hist_rangos": _RANK,
     "agg_fact_anualidades": _MONTH,
     "agg_fact_membresias": _MONTH,
     "agg_planes": _BUCKET,
@@ -122,8 +127,19 @@ RECORD_STATES = {
     "purchase_pages": ("estado_compras_planes", "id_compra"),
     "payout_pages": ("estado_pagos_planes", "id_pago"),
 }
-_STATES = [table for table, _ in RECORD_STATES.values()]
+#: History logs, written run by run, and the tables that keep the last record of each key beside them.
+RUN = "corrida"
+HISTORY_STATES = {"hist_membresias": "estado_membresias", "hist_rangos": "estado_rangos"}
+for _log, _state in HISTORY_STATES.items():
+    WAREHOUSE[_state] = WAREHOUSE[_log]
+    WAREHOUSE[_log] += f", {RUN} STRING"
+
+_STATES = [*[table for table, _ in RECORD_STATES.values()], *HISTORY_STATES.values()]
 for _table in [*BLOCKED, *_STATES]:
     WAREHOUSE[_table] += f", {BLOCK} BIGINT"
 
-PARTITIONED = {"fact_ventas": "anio", **dict.fromkeys([*BLOCKED, *_STATES], BLOCK)}
+PARTITIONED = {
+    "fact_ventas": "anio",
+    **dict.fromkeys([*BLOCKED, *_STATES], BLOCK),
+    **dict.fromkeys(HISTORY_STATES, RUN),
+}

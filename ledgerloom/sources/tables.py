@@ -8,13 +8,13 @@ half-written or an empty one.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.maintenance import Update, first_per_key
+from ledgerloom.operators.maintenance import Update, first_per_key, history_order, new_rows
 from ledgerloom.session import materialise
 
 
@@ -107,10 +107,8 @@ def update(table: str, rule: Update, source: DataFrame, base: str, version: str)
     if not parts:
         publish(rule.apply(target, changes), table, base, version)
         return seen["rows"]
-    # the range prunes partitions before the run, the semi join prunes those inside it
-    inside = F.col(parts[0]).between(F.lit(seen["low"]), F.lit(seen["high"]))
-    places = changes.where(inside).select(*parts).distinct()
-    touched = target.where(inside).join(places, parts, "left_semi").select(*target.columns)
+    places = changes.select(*parts).distinct()
+    touched = _in_partitions(target, places, parts[0], seen["low"], seen["high"])
     state = rule.apply(touched, changes.drop(*parts))
     # a dynamic overwrite stages its files, so the table may be read while it is written
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
@@ -118,6 +116,105 @@ def update(table: str, rule: Update, source: DataFrame, base: str, version: str)
     return seen["rows"]
 
 
+def _in_partitions(target: DataFrame, places: DataFrame, part: str, low, high) -> DataFrame:
+    """The rows of `target` in the partitions named in `places`, which lie from `low` to `high`.
+
+    The range prunes partitions before the run, the semi join prunes those inside it while it runs.
+    """
+    inside = target.where(F.col(part).between(F.lit(low), F.lit(high)))
+    return inside.join(places, part, "left_semi").select(*target.columns)
+
+
+def insert_new(table: str, rows: DataFrame, keys: Sequence[str]) -> int:
+    """M1 into a partitioned table: append the rows whose key it lacks; returns how many those are.
+
+    The partition follows from the keys.  Which partitions the batch falls into is seen on that column
+    alone; of the table only these are read, and of them only the keys.
+    """
+    spark = rows.sparkSession
+    target = current(spark, table)
+    (part,) = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    counts = {"low": F.min(part), "high": F.max(part), "missing": F.count_if(F.col(part).isNull())}
+    places, seen = materialise(rows.select(part).distinct(), f"places-{table}", **counts)
+    known = target.where(F.lit(False))
+    if seen["low"] is not None:
+        known = _in_partitions(target, places, part, seen["low"], seen["high"])
+    if seen["missing"]:
+        known = known.unionByName(target.where(F.col(part).isNull()))
+    counter = Observation()
+    new = conform(new_rows(known, rows, keys), table)
+    new.observe(counter, F.count(F.lit(1)).alias("n")).write.insertInto(table)
+    return counter.get["n"]
+
+
+def append_history(
+    spark: SparkSession,
+    log: str,
+    state: str,
+    changes_of: Callable[[DataFrame], DataFrame],
+    key: str,
+    watch: Sequence[str],
+    run: str,
+    block_size: int,
+    at: str = "fecha_registro",
+) -> int:
+    """M10 with a table beside the log that keeps the last record of each key; returns the rows appended.
+
+    `changes_of` finds the rows to append from that table; the log is not read.  The log is partitioned by
+    the run that wrote, the state by blocks of the key, of which only those with a change are rewritten.
+    Both move together: the state is marked with the run before the log is written and unmarked when it
+    has the rows too, so a run that broke off in between is made good by the next one (`recover_history`),
+    and writes nothing twice.
+    """
+    recover_history(spark, log, state, key, watch, block_size, at)
+    columns = [c.name for c in spark.catalog.listColumns(state) if not c.isPartition]
+    found = changes_of(current(spark, state).select(*columns))
+    changes, seen = materialise(found, f"changes-{log}", rows=F.count(F.lit(1)))
+    if not seen["rows"]:
+        return 0
+    attempt = f"{run}-{uuid.uuid4().hex[:8]}"
+    _mark(spark, state, attempt)
+    (part,) = [c.name for c in spark.catalog.listColumns(log) if c.isPartition]
+    append(changes.withColumn(part, F.lit(attempt)), log)
+    _merge_history(changes, state, key, watch, block_size, at)
+    _mark(spark, state, "")
+    return seen["rows"]
+
+
+def recover_history(
+    spark: SparkSession, log: str, state: str, key: str, watch: Sequence[str], block_size: int, at: str
+) -> None:
+    """Bring the state up to its log: after a run that broke off, or where the log is older than the state."""
+    (part,) = [c.name for c in spark.catalog.listColumns(log) if c.isPartition]
+    broken = _marked(spark, state)
+    if broken:
+        rows = current(spark, log).where(F.col(part) == broken)
+        _merge_history(rows, state, key, watch, block_size, at)
+        _mark(spark, state, "")
+    elif current(spark, state).isEmpty():
+        _merge_history(current(spark, log), state, key, watch, block_size, at)
+
+
+def _merge_history(
+    rows: DataFrame, state: str, key: str, watch: Sequence[str], block_size: int, at: str
+) -> None:
+    (part,) = [c.name for c in rows.sparkSession.catalog.listColumns(state) if c.isPartition]
+    block = F.coalesce(F.floor(F.col(key) / block_size), F.lit(-1))
+    merge_latest(state, rows.withColumn(part, block), [part, key], history_order(at, watch))
+
+
+_MARK = "ledgerloom.run_under_way"
+
+
+def _mark(spark: SparkSession, table: str, run: str) -> None:
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{_MARK}' = '{run}')")
+
+
+def _marked(spark: SparkSession, table: str) -> str:
+    found = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == _MARK).collect()
+    return found[0]["value"] if found else ""
+
+
 def merge_latest(table: str, rows: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> int:
     """Keep, in a table partitioned by a column that follows from the keys, the first row per key in
     `order`, of the rows it has and of `rows`; returns how many rows came.
@@ -132,9 +229,8 @@ def merge_latest(table: str, rows: DataFrame, keys: Sequence[str], order: Sequen
     batch, seen = materialise(conform(rows, table), f"rows-{table}", **counts)
     if not seen["rows"]:
         return 0
-    inside = F.col(part).between(F.lit(seen["low"]), F.lit(seen["high"]))
     places = batch.select(part).distinct()
-    touched = target.where(inside).join(places, part, "left_semi").select(*target.columns)
+    touched = _in_partitions(target, places, part, seen["low"], seen["high"])
     state = first_per_key(touched.unionByName(batch), keys, order)
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         conform(state, table).write.insertInto(table, overwrite=True)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ledgerloom import exports
 from ledgerloom.checks.standins import Tables
 from ledgerloom.operators import audit
+from ledgerloom.operators import maintenance as m
 from ledgerloom.operators.maintenance import Update
 from ledgerloom.plans import records
 from ledgerloom.sources import landing, reports, tables
@@ -218,6 +219,72 @@ def test_last_versions_are_kept_block_by_block(spark, frame, values, table):
     assert merge() == 0
 
 
+def test_an_insert_reads_only_the_blocks_of_its_batch(spark, frame, values, table):
+    spark.sql(f"CREATE TABLE {table} (k BIGINT, v STRING, part BIGINT) USING parquet PARTITIONED BY (part)")
+
+    def rows(*keys):
+        found = [(k, "v", None if k is None else k // 10) for k in keys]
+        return frame("k long, v string, part long", *found)
+
+    assert tables.insert_new(table, rows(*range(40), None), ["k"]) == 41
+    # a block that cannot be read any more: an insert elsewhere does not notice
+    for broken in {f for f in spark.table(table).inputFiles() if "part=2/" in f}:
+        with open(broken.removeprefix("file:"), "wb") as f:
+            f.write(b"no table")
+    assert tables.insert_new(table, rows(5, 7, 100, 100, 35, 36), ["k"]) == 2
+    assert tables.insert_new(table, rows(None), ["k"]) == 0
+    assert tables.insert_new(table, rows(), ["k"]) == 0
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tables.insert_new(table, rows(25), ["k"])
+    now = tables.current(spark, table).where("part IS NULL OR part <> 2")
+    assert now.count() == 33 and now.where("k = 100").count() == 2
+
+
+def test_history_and_its_last_records_move_together(spark, frame, values, table, monkeypatch):
+    log, state = f"{table}_log", f"{table}_state"
+    spark.sql(f"CREATE TABLE {log} (k BIGINT, v STRING, at TIMESTAMP, run STRING) USING parquet PARTITIONED BY (run)")
+    spark.sql(f"CREATE TABLE {state} (k BIGINT, v STRING, at TIMESTAMP, part BIGINT) USING parquet PARTITIONED BY (part)")
+    moments = [dt.datetime(2030, 1, day) for day in range(1, 10)]
+    read = []
+    current = tables.current
+    monkeypatch.setattr(tables, "current", lambda spark, name: read.append(name) or current(spark, name))
+
+    def run(day, *rows):
+        now, ts = frame("k long, v string", *rows), F.lit(moments[day - 1])
+        read.clear()
+        return tables.append_history(
+            spark, log, state, lambda last: m.changes_since(now, last, "k", ["v"], ts, "at"),
+            "k", ["v"], f"r{day}", 10, "at",
+        )
+
+    first = [(1, "a"), (2, "b"), (15, "c")]
+    assert run(1, *first) == 3
+    assert run(2, *first) == 0
+    assert run(3, (1, "x"), *first[1:], (40, None)) == 2
+    assert log not in read  # the history is written, not read
+    before = {f for f in current(spark, state).inputFiles() if "part=1/" in f}
+    # a run that breaks off between the log and the last records
+    with monkeypatch.context() as broken:
+        broken.setattr(tables, "merge_latest", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(4, (2, "y"))
+    assert run(5, (2, "y")) == 0  # its rows are in the log once, and known now
+    assert run(6, (2, "z")) == 1
+    assert {f for f in current(spark, state).inputFiles() if "part=1/" in f} == before
+    history = current(spark, log).drop("run")
+    assert values(history, "k", "v") == [
+        (1, "a"), (1, "x"), (15, "c"), (2, "b"), (2, "y"), (2, "z"), (40, None),
+    ]
+    last = m.latest_per_key(history, ["k"], "at", ["v"])
+    assert values(last) == values(current(spark, state).drop("part"))
+    # a log that is older than the table of last records
+    spark.sql(f"TRUNCATE TABLE {state}")
+    assert run(7, (2, "z"), (1, "x")) == 0
+    assert values(last) == values(current(spark, state).drop("part"))
+    for name in (log, state):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_pages_that_are_not_understood(spark, tmp_path, values):
     folder = tmp_path / "pages"
     land(folder, "1.json", {"_id": "a", "id_compra": "CP1", "Fecha_pago": "soon"})
