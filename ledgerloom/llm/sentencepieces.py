@@ -36,9 +36,9 @@ MARK = "▁"
 UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Texts encoded in one call, texts whose words are counted together, threads of a call.
-BATCH, TOGETHER, THREADS = 256, 4096, 2
-#: Words of a generation that a worker remembers (two of them, some 250 MB in all).
-WORDS = 600_000
+BATCH, TOGETHER, THREADS = 256, 3072, 2
+#: Words of a generation that a worker remembers (two of them, some 170 MB in all), words of a call.
+WORDS, CALL = 400_000, 8192
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -267,8 +267,10 @@ class _Checker:
 
     def _judge(self, words: list[str]) -> list[bytes]:
         """Per word its flags in a byte, then its ids; words are normalised, with the marks before them."""
-        if not words:
-            return []
+        parts = (words[at : at + CALL] for at in range(0, len(words), CALL))
+        return [judged for part in parts for judged in self._judge_part(part)]
+
+    def _judge_part(self, words: list[str]) -> list[bytes]:
         raw = [w[1:].replace(MARK, " ") for w in words]
         one, other = self._normalised(raw)
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(raw, add_special_tokens=False)]
@@ -303,6 +305,7 @@ class _Checker:
         one, other = self._normalised(texts)
         usual = [a == b and a[:1] == MARK and _CUT not in a for a, b in zip(one, other, strict=True)]
         forms = [n if u else "" for n, u in zip(one, usual, strict=True)]
+        del one, other
         # a word is a stretch of marks and what follows up to the next mark
         cut = pc.replace_substring(pa.array(forms, pa.large_string()), MARK, _CUT + MARK)
         for _ in range(2):  # every second cut between two marks, then the others
