@@ -36,9 +36,9 @@ MARK = "▁"
 UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Texts encoded in one call, texts whose words are counted together, threads of a call.
-BATCH, TOGETHER, THREADS = 256, 3072, 2
-#: Words of a generation that a worker remembers (two of them, some 170 MB in all), words of a call.
-WORDS, CALL = 400_000, 8192
+BATCH, TOGETHER, THREADS = 256, 4096, 2
+#: Words of a generation that a worker remembers (two of them, some 290 MB in all), words of a call.
+WORDS, CALL = 700_000, 8192
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
