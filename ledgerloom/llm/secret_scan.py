@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from collections import Counter
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -76,7 +78,9 @@ PLACEHOLDERS = re.compile(
 )
 
 _OPERATOR = re.compile(r":=|=>|[:=](?![=/])|</?[A-Za-z_]")
-_NAME_BEFORE = re.compile(r"""(["'`]?)([A-Za-z_][A-Za-z0-9_.\-]*)\1[ \t]*\Z""")
+_QUOTES = frozenset("\"'`")
+_NAME_STARTS = frozenset(string.ascii_letters + "_")
+_NAME_CHARACTERS = _NAME_STARTS | frozenset(string.digits + ".-")
 _TAG = re.compile(r"<([A-Za-z_][A-Za-z0-9_.\-]*)>([^<>\n]+)</\1>")
 _VALUE = re.compile(
     r"""[ \t]*(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([^\s"'`,;(){}\[\]<>]+))"""
@@ -86,6 +90,7 @@ _IDENTIFIER = re.compile(r"[A-Za-z_$][A-Za-z0-9_.$]*\Z")
 _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
+@lru_cache(maxsize=20_000)
 def name_weight(name: str) -> float:
     """0 to 1: how likely what a name like this holds is a secret."""
     words = [w.lower() for w in _WORD.findall(name)]
@@ -116,8 +121,7 @@ def assignments(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
             if tag:
                 found.append((tag[1], [(*tag.span(2), True)]))
             continue
-        line = text.rfind("\n", 0, at) + 1
-        name = _NAME_BEFORE.search(text[max(line, at - 100) : at])
+        name = _name_before(text, at)
         if not name:
             continue
         parts, end = [], match.end()
@@ -130,27 +134,126 @@ def assignments(text: str) -> list[tuple[str, list[tuple[int, int, bool]]]]:
                 break
             end = plus.end()
         if parts:
-            found.append((name[2], parts))
+            found.append((name, parts))
     return found
 
 
-def _reached(pairs) -> dict[tuple[int, int], set[str]]:
-    """Every literal with the names it reaches, also by way of names bound to it."""
-    bound: dict[str, list] = {}
-    for name, _, parts in pairs:
-        bound.setdefault(name, []).append(parts)
-    out: dict[tuple[int, int], set[str]] = {}
-    for name, _, parts in pairs:
-        seen, todo = {name}, list(parts)
-        while todo:
-            start, end, word = todo.pop()
-            if word is None or word not in bound:
-                out.setdefault((start, end), set()).add(name)
-            elif word not in seen:
-                seen.add(word)
-                for other in bound[word]:
-                    todo += other
-    return out
+def _name_before(text: str, at: int) -> str | None:
+    """The name in front of an operator, in quotes or not, blanks between them; as far as it goes."""
+    end = at
+    while end and text[end - 1] in " \t":
+        end -= 1
+    quote = text[end - 1] if end and text[end - 1] in _QUOTES else ""
+    start = end = end - len(quote)
+    while start and text[start - 1] in _NAME_CHARACTERS:
+        start -= 1
+    if quote:
+        named = start < end and text[start] in _NAME_STARTS and text[start - 1 : start] == quote
+        return text[start:end] if named else None
+    while start < end and text[start] not in _NAME_STARTS:
+        start += 1
+    return text[start:end] or None
+
+
+class _Flow:
+    """Names, what is assigned to them, and where the literals in it end up.
+
+    An assignment is a name and its parts, each (start, end, word): word is None for a literal, and for
+    the use of a name that name, which counts as a literal where nothing is assigned to it.  Each name is
+    followed once and hands on what it reaches, so the work grows with the text, whatever is chained.
+    """
+
+    def __init__(self, text: str, pairs: list[tuple[str, list]]):
+        self.text, self.pairs = text, pairs
+        self.bound: dict[str, list[int]] = {}
+        for i, (name, _) in enumerate(pairs):
+            self.bound.setdefault(name, []).append(i)
+        self.alias: dict[str, tuple | int | None] = {}
+
+    def _used(self, i: int) -> list[str]:
+        return [word for *_, word in self.pairs[i][1] if word in self.bound]
+
+    def targets(self) -> dict[str, str]:
+        """For each name the one most likely to hold a secret that its value reaches, itself included."""
+        best: dict[str, str] = {}
+        for name in sorted(self.bound, key=lambda n: (-name_weight(n), n)):
+            self._hand_on(best, [name], name)
+        return best
+
+    def _hand_on(self, best: dict, names: list[str], what) -> None:
+        """Mark `names` and all names whose values they use, where they have no mark yet."""
+        while names:
+            name = names.pop()
+            if name not in best:
+                best[name] = what
+                names += [w for i in self.bound[name] for w in self._used(i) if w not in best]
+
+    def sums(self, targets: dict[str, str]) -> dict[int, tuple[float, str]]:
+        """Score and name of each assignment through a sum: its own, or one its value becomes a part of."""
+        own = {}
+        for i, (name, parts) in enumerate(self.pairs):
+            if len(parts) > 1:
+                weight = name_weight(targets[name]) * literal_weight(self.value(i))
+                if weight >= THRESHOLD:
+                    own[i] = (weight, targets[name])
+        carried: dict[str, tuple[float, str]] = {}
+        for i, found in sorted(own.items(), key=lambda x: (-x[1][0], x[0])):
+            self._hand_on(carried, self._used(i), found)
+        out = dict(own)
+        for name, found in carried.items():
+            for i in self.bound[name]:
+                if i not in out or out[i][0] < found[0]:
+                    out[i] = found
+        return out
+
+    def value(self, i: int, depth: int = 0) -> str:
+        """The joined text of a sum, constants put in; sums in sums up to 8 deep, 4096 characters to judge."""
+        out = ""
+        for start, end, word in self.pairs[i][1]:
+            if len(out) >= 4096:
+                break
+            found = self._literal(word) if word in self.bound else (start, end)
+            if isinstance(found, tuple):
+                out += self.text[found[0] : min(found[1], found[0] + 4096)]
+            elif found is not None and depth < 8:
+                out += self.value(found, depth + 1)
+        return out
+
+    def _literal(self, name: str) -> tuple[int, int] | int | None:
+        """What a name stands for by its first assignment: a literal, a sum, or nothing in a circle."""
+        path, found = [], None
+        while name not in self.alias:
+            self.alias[name] = None  # met again, it is a circle
+            path.append(name)
+            first = self.bound[name][0]
+            parts = self.pairs[first][1]
+            if len(parts) > 1:
+                found = first
+                break
+            start, end, word = parts[0]
+            if word not in self.bound:
+                found = (start, end)
+                break
+            name = word
+        else:
+            found = self.alias[name]
+        for met in path:
+            self.alias[met] = found
+        return found
+
+    def literals(self):
+        """(start, end, name, weight, score) of every literal: by itself, and by the sums it is a part of."""
+        targets = self.targets()
+        sums = self.sums(targets)
+        for i, (name, parts) in enumerate(self.pairs):
+            for start, end, word in parts:
+                if word in self.bound:
+                    continue
+                target = targets[name]
+                score = name_weight(target) * literal_weight(self.text[start:end])
+                if i in sums and sums[i][0] > score and end > start:
+                    score, target = sums[i]
+                yield start, end, target, score
 
 
 def spans_of(text: str) -> list[tuple[str, int, int, int, str | None, float]]:
@@ -171,14 +274,10 @@ def spans_of(text: str) -> list[tuple[str, int, int, int, str | None, float]]:
                 (a, b, None if quoted or not _IDENTIFIER.match(w) else w)
                 for (a, b, quoted), w in zip(parts, words, strict=True)
             ]
-            pairs.append((name, words, marked))
-        for (start, end), names in _reached(pairs).items():
-            weight = literal_weight(text[start:end])
-            if weight:
-                best = max(sorted(names), key=name_weight)
-                score = name_weight(best) * weight
-                if score >= THRESHOLD:
-                    found.append(("literal", start, end, start, best, round(score, 6)))
+            pairs.append((name, marked))
+        for start, end, name, score in _Flow(text, pairs).literals():
+            if score >= THRESHOLD:
+                found.append(("literal", start, end, start, name, round(score, 6)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
