@@ -13,11 +13,15 @@ a query looks in every part, so tasks stay of a bounded size and every member is
 gives back counts and one link per node, not the pairs.  Recall is audited on a sample of nodes
 against all vectors; below the target everything runs again with more overlap and a wider beam, at
 last with the largest margin that a link can span and every member of a shard looked at, which finds
-all links.  A result that misses the target even so is an error.
+all links.  A result that misses the target even so is an error.  Half of the sample is drawn from the
+nodes found linked; where none of it has a link, recall is unmeasured, and said to be.
 """
 
 from __future__ import annotations
 
+import logging
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,6 +32,7 @@ from ledgerloom.llm.common import components, groups_for, local_components
 from ledgerloom.llm.topk import _matrix, finite
 from ledgerloom.session import materialise
 
+_log = logging.getLogger(__name__)
 #: Members aimed at in a shard, most centres over all labels (8 MB at 64 dimensions), rows they are
 #: fitted on for each, members of a part and queries of a block.
 SHARD, MAX_CENTRES, FIT_ROWS, PART, QUERY_BLOCK = 1000, 16_384, 24, 3000, 3000
@@ -84,8 +89,11 @@ def fit_centres(nodes: DataFrame, total: int, dim: int) -> dict:
         own = own[np.argsort(ids[own], kind="stable")]
         points, count = unit[own], min(int(k[own[0]]), len(own))
         middle = points[np.linspace(0, len(own) - 1, count).astype(int)]
+        step = max(1, CELLS // count)
         for _ in range(12):
-            nearest = np.argmax(points @ middle.T, axis=1)
+            # in slices, so that memory does not grow with points times centres
+            slices = (points[at : at + step] for at in range(0, len(points), step))
+            nearest = np.concatenate([np.argmax(part @ middle.T, axis=1) for part in slices])
             sums = np.zeros_like(middle)
             np.add.at(sums, nearest, points)
             lengths = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -339,13 +347,39 @@ def _links(rows: DataFrame, beam: int | None, cosine: float) -> DataFrame:
     )
 
 
-def audit(nodes: DataFrame, found: DataFrame, cosine: float, total: int, dim: int) -> float:
+class Recall(NamedTuple):
+    """What an audit found: the mean share of its links that a node has, None if no node of the sample
+    has any, and the nodes it is the mean of."""
+
+    share: float | None
+    linked: int
+
+    def missed(self) -> bool:
+        return self.share is not None and self.share < RECALL
+
+    def __str__(self) -> str:
+        if self.share is None:
+            return "recall unmeasured: no node of the sample has a link"
+        return f"recall {self.share:.4f} over {self.linked} linked nodes"
+
+
+def audit(nodes: DataFrame, found: DataFrame, cosine: float, total: int, dim: int) -> Recall:
     """Share found of the nodes that a node links with, among all of its label: the mean over a
-    bounded sample of nodes, those without links left out."""
-    share = min(1.0, AUDIT_ROWS / max(1, total))
+    bounded sample of nodes, those without links left out.
+
+    Half of the sample is drawn from all nodes, which also meets nodes whose every link is missed, half
+    from those with a link, so that nodes with links are met however few they are.
+    """
+    linked = nodes.join(found.where("met > 0").select("node").distinct(), "node", "left_semi")
+    linked, seen = materialise(linked, "vector-linked", n=F.count(F.lit(1)))
     part = F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1_000_000))
-    asked = nodes.where(part < F.lit(max(1, int(share * 1_000_000)))).limit(2 * AUDIT_ROWS)
-    rows = asked.select("label", "node", "vector").toArrow()
+
+    def drawn(of: DataFrame, count: int) -> DataFrame:
+        share = min(1.0, AUDIT_ROWS / max(1, count))
+        chosen = of.where(part < F.lit(max(1, int(share * 1_000_000)))).limit(2 * AUDIT_ROWS)
+        return chosen.select("label", "node", "vector")
+
+    rows = drawn(nodes, total).union(drawn(linked, seen["n"])).dropDuplicates(["node"]).toArrow()
     labels, ids = np.array(rows.column("label").to_pylist()), rows.column("node").to_numpy()
     unit = _unit(_matrix(rows.column("vector"), dim)) if len(ids) else np.zeros((0, dim))
     shared = nodes.sparkSession.sparkContext.broadcast((labels, ids, unit))
@@ -366,14 +400,19 @@ def audit(nodes: DataFrame, found: DataFrame, cosine: float, total: int, dim: in
     truth = truth.groupBy("node").agg(F.sum("truth").alias("truth"))
     got = found.groupBy("node").agg(F.sum("met").alias("met"))
     share = F.least("truth", F.coalesce("met", F.lit(0))) / F.col("truth")
-    mean = truth.where(F.col("truth") > 0).join(got, "node", "left").agg(F.avg(share)).first()[0]
+    judged = truth.where(F.col("truth") > 0).join(got, "node", "left")
+    mean, count = judged.agg(F.avg(share), F.count(F.lit(1))).first()
     shared.destroy()
-    return 1.0 if mean is None else mean
+    return Recall(mean, count)
 
 
-def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
+def near_duplicates(
+    embeddings: DataFrame, cosine: float = 0.98, audits: list[Recall] | None = None
+) -> DataFrame:
     """vec_id, n_links, component_id and kept per row of `embeddings`.
 
+    What the audit of each run found is logged, and added to `audits` where that is given.
+
     Rows without a label or with a vector that is null, zero or not finite throughout link with
     nothing and are components of their own; a row without a vec_id has a null component_id and is
     kept.  Repeated rows are equal vectors and link with each other.
@@ -382,6 +421,7 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
         nodes_of(embeddings), "vector-nodes", n=F.count(F.lit(1)), dim=F.max(F.size("vector"))
     )
     total, dim = seen["n"], seen["dim"] or 0
+    audits = [] if audits is None else audits
     centres = fit_centres(nodes, total, dim)
     # linked vectors are at most this far apart, so that within it of the plane none is missed
     reach = float(np.sqrt(max(0.0, 2 - 2 * cosine))) + 1e-9
@@ -392,10 +432,12 @@ def near_duplicates(embeddings: DataFrame, cosine: float = 0.98) -> DataFrame:
         rows, _ = materialise(dealt, "vector-shards")
         found, _ = materialise(_links(rows, None if last else BEAM * wider, cosine), "vector-links")
         recall = audit(nodes, found, cosine, total, dim)
-        if recall >= RECALL:
+        audits.append(recall)
+        _log.info("near-duplicate vectors, run %d: %s", attempt + 1, recall)
+        if not recall.missed():
             break
     else:
-        raise RuntimeError(f"recall of near-duplicate links is {recall:.4f}, below {RECALL}")
+        raise RuntimeError(f"near-duplicate links: {recall}, below {RECALL}")
     stars = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "vectors")
     counts = found.groupBy("node").agg(F.sum("n").alias("n"))
     classes = (
