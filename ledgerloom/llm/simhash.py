@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import components, groups_for, local_components
@@ -57,19 +57,24 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) per row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: Column | None = None) -> DataFrame:
+    """doc_id, fp (the fingerprint as a signed long) and row_key per row; a null text counts as empty.
+
+    `key` (long) names a row; without one it is null.
+    """
 
     def hashed(batches):
         for batch in batches:
             texts = batch.column(1)
             fps = np.fromiter((fingerprint(t.as_py() or "", shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"]
+                [batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)],
+                ["doc_id", "fp", "row_key"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        hashed, "doc_id long, fp long"
+    key = (F.lit(None) if key is None else key).cast("long").alias("row_key")
+    return docs.select(F.col("doc_id").cast("long"), "text", key).mapInArrow(
+        hashed, "doc_id long, fp long, row_key long"
     )
 
 
@@ -166,14 +171,17 @@ def links(nodes: DataFrame, count: int, bits: int = 3) -> DataFrame:
     return rows.groupBy("part", "bucket", "p", "q").applyInPandas(_link(bits), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """doc_id, fp and component_id (smallest doc_id that links lead to, itself included) per row.
+def near_duplicates(
+    docs: DataFrame, shingle: int = 3, bits: int = 3, key: Column | None = None
+) -> DataFrame:
+    """doc_id, fp, component_id (smallest doc_id that links lead to, itself included), component (a
+    number of the same group that it also has without any doc_id) and row_key (`key`) per row.
 
     Texts without words have fingerprint zero and link like any other.  Rows without a doc_id take
     part but name no component; one of such rows only has a null component_id.  Repeated rows are
     equal fingerprints.  An empty table gives an empty result.
     """
-    found, _ = materialise(fingerprints(docs, shingle), "fingerprints")
+    found, _ = materialise(fingerprints(docs, shingle, key), "fingerprints")
     nodes = found.groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
     nodes, seen = materialise(nodes, "fingerprint-nodes", n=F.count(F.lit(1)))
     stars = components(links(nodes, seen["n"], bits), "simhash")
@@ -181,5 +189,5 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFra
         "fp", "first_doc", F.coalesce("component", "fp").alias("component")
     )
     smallest = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
-    named = named.join(smallest, "component").select("fp", "component_id")
-    return found.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = named.join(smallest, "component").select("fp", "component_id", "component")
+    return found.join(named, "fp").select("doc_id", "fp", "component_id", "component", "row_key")

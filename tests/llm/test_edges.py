@@ -314,6 +314,34 @@ def test_factorisation_machine_learns_a_pair_of_harmless_terms():
     assert 0 < toxicity.fit([(np.array([n], np.int32), float(n % 2)) for n in range(8)]).score(np.array([1])) < 1
 
 
+def test_score_is_the_written_formula():
+    rng = np.random.default_rng(4)
+    size = 1 << toxicity.BITS
+    model = toxicity.FactorisationMachine(
+        -0.3, rng.normal(size=size).astype(np.float32), rng.normal(scale=0.2, size=(size, toxicity.FACTORS)).astype(np.float32)
+    )
+    for text in ("", "one", "You are the worst liars, liars!", words(3, 40)):
+        found = toxicity.features(text).tolist()
+        z = model.bias + sum(float(model.w[i]) for i in found)
+        z += sum(float(model.v[i] @ model.v[j]) for n, i in enumerate(found) for j in found[:n])
+        assert model.score(np.array(found, np.int32)) == pytest.approx(1 / (1 + np.exp(-np.clip(z, -30, 30))), rel=1e-4)
+
+
+def test_factors_that_do_not_help_are_left_out():
+    rng, rows = random.Random(2), []
+    for _ in range(1500):
+        bad = rng.random() < 0.2
+        found = {100 + rng.randrange(400) for _ in range(25)} | ({1} if bad and rng.random() < 0.9 else set())
+        rows.append((np.array(sorted(found), np.int32), float(bad)))
+    model = toxicity.fit(rows[:1000])
+    linear = toxicity.FactorisationMachine(model.bias, model.w, np.zeros_like(model.v))
+
+    def recall(m):
+        return np.mean([m.score(f) >= 0.5 for f, y in rows[1000:] if y])
+
+    assert recall(model) >= recall(linear) >= 0.8
+
+
 def test_sparse_sites_are_drawn_to_their_host(spark):
     # host a is bad throughout, its path p has one document; host b is good
     shapes = [("a", "x", "### ### ### |")] * 40 + [("b", "x", words(7, 60) + ".")] * 40
@@ -511,8 +539,52 @@ def test_vector_recall_is_reached_or_an_error(spark, monkeypatch):
     recalls, audit = [], vectors.audit
     monkeypatch.setattr(vectors, "audit", lambda *a: recalls.append(audit(*a)) or recalls[-1])
     got = vectors.near_duplicates(vector_frame(spark, table)).collect()
-    assert len(recalls) == 3 and recalls[0] < vectors.RECALL and recalls[-1] == 1.0
+    assert len(recalls) == 3 and recalls[0].missed() and recalls[-1].share == 1.0
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == wanted
-    monkeypatch.setattr(vectors, "audit", lambda *a: 0.5)
-    with pytest.raises(RuntimeError, match="recall"):
+    monkeypatch.setattr(vectors, "audit", lambda *a: vectors.Recall(0.5, 9))
+    with pytest.raises(RuntimeError, match="recall 0.5000 over 9"):
         vectors.near_duplicates(vector_frame(spark, table))
+
+
+def test_vector_recall_is_measured_where_links_are_rare(spark, monkeypatch, caplog):
+    # near-copies at 0.98 to 0.99 across the borders of clusters, among many vectors that link with nothing
+    monkeypatch.setattr(vectors, "SHARD", 60)
+    monkeypatch.setattr(vectors, "AUDIT_ROWS", 40)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(1200, 12))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    aside = rng.normal(size=(60, 12))
+    aside -= (aside * base[:60]).sum(axis=1, keepdims=True) * base[:60]
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    angle = np.arccos(rng.uniform(0.981, 0.99, 60))[:, None]
+    copies = np.cos(angle) * base[:60] + np.sin(angle) * aside
+    table = [(i, [float(x) for x in v], 1) for i, v in enumerate(np.concatenate([base, copies]))]
+    wanted, audits = plain.vector_links(table), []
+    with caplog.at_level("INFO"):
+        got = vectors.near_duplicates(vector_frame(spark, table), audits=audits).collect()
+    assert audits[-1].share >= vectors.RECALL and audits[-1].linked >= 40
+    assert f"recall {audits[-1].share:.4f} over {audits[-1].linked} linked nodes" in caplog.text
+    truth = sum(n for n, _ in wanted.values())
+    assert truth >= 120 and sum(r.n_links for r in got) >= 0.98 * truth
+    assert all(r.n_links <= wanted[r.vec_id][0] for r in got)
+    audits.clear()
+    apart = [(i, row, i) for i, row, _ in table]
+    assert not any(r.n_links for r in vectors.near_duplicates(vector_frame(spark, apart), audits=audits).collect())
+    assert audits[-1].share is None and "unmeasured" in str(audits[-1])
+
+
+def test_centres_take_bounded_memory(spark, monkeypatch):
+    import tracemalloc as traced
+
+    monkeypatch.setattr(vectors, "SHARD", 10)
+    monkeypatch.setattr(vectors, "CELLS", 1 << 16)
+    rng = np.random.default_rng(1)
+    rows = [(0, v.tolist(), n, 1) for n, v in enumerate(rng.normal(size=(30_000, 4)))]
+    nodes = spark.createDataFrame(rows, "label int, vector array<double>, node long, weight long")
+    traced.start()
+    centres = vectors.fit_centres(nodes, 30_000, 4)
+    peak = traced.get_traced_memory()[1]
+    traced.stop()
+    assert len(centres[0]) == 3000
+    # all rows times centres at once would be 720 MB
+    assert peak < 60e6

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import secret_scan, toxicity
@@ -65,3 +66,19 @@ def test_edge_rows_go_through(spark, docs, table, rows):
         assert after.columns == current.columns, name
         current = after
     assert corpus_pipeline.run(spark, folder).count() >= len(current.collect())
+
+
+def test_one_row_of_each_group_stays(spark, docs):
+    a, b = "some words that stand here again and again", "other words of another text that is not near"
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+
+    def kept(*rows):
+        frame = docs(list(rows), extra=False).drop("source").withColumn("source", F.lit("s"))
+        return sorted(rows_of(stage(spark, frame, "")), key=str)
+
+    assert kept((1, a), (None, a), (None, b), (None, b), (None, a)) == [(1, a), (None, b)]
+    # an id with two texts: the one that is a near copy of another document goes
+    assert kept((5, a), (5, b), (2, a)) == [(2, a), (5, b)]
+    assert kept((3, a), (3, a), (3, a), (9, b)) == [(3, a), (9, b)]
+    assert kept((4, None), (7, ""), (8, " ")) == [(4, None)]
+    assert kept() == []
