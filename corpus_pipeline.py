@@ -40,20 +40,26 @@ def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked by fingerprints.
+    """One row of each group linked by fingerprints: that with the smallest doc_id, and of several the
+    one whose columns have the smallest hash.
 
-    Rows that repeat a doc_id are one document.  Rows without a doc_id stay only where no document
-    of their group has one.
+    So a row without a doc_id stays only where no row of its group has one, and of rows that repeat a
+    doc_id each counts for itself.
     """
     ship_package(spark)
-    found = simhash.near_duplicates(docs)
-    keepers = (
-        found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .select(F.col("doc_id").alias("keeper"))
-        .distinct()
+    row = F.xxhash64(*docs.columns)
+    found = simhash.near_duplicates(docs, key=row)
+    counted = found.groupBy("component", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("copies"))
+    # a grouped minimum: one row per group and map task, also for a group of a third of all rows
+    place = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"), F.col("copies"))
+    first = counted.groupBy("component").agg(F.min(place).alias("first")).select("first.*")
+    keepers, _ = materialise(
+        first.select(F.col("doc_id").alias("keeper"), F.col("row_key").alias("keeper_row"), "copies"), "keepers"
     )
-    same = docs["doc_id"].cast("long").eqNullSafe(keepers["keeper"])
-    return docs.join(keepers, same, "left_semi")
+    same = docs["doc_id"].cast("long").eqNullSafe(keepers["keeper"]) & (row == keepers["keeper_row"])
+    single = docs.join(keepers.where("copies = 1"), same, "left_semi")
+    repeated = docs.join(keepers.where("copies > 1"), same, "left_semi").dropDuplicates()
+    return single.union(repeated)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
