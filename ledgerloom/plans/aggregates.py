@@ -31,24 +31,27 @@ def monthly_paid(fact: DataFrame, since: dt.date, as_of: dt.date) -> DataFrame:
     )
 
 
-def plan_buckets(
-    fact_ventas: DataFrame,
+def sales_partials(fact_ventas: DataFrame) -> DataFrame:
+    """Sales summed per product and day; sums over parts of the fact add up to those over all of it."""
+    return fact_ventas.groupBy("id_producto", dates.day(F.col("fecha_compra")).alias("fecha")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("precio"))).alias("valor")
+    )
+
+
+def buckets_of_partials(
+    sales: DataFrame,
     catalogue: DataFrame,
     patterns: tuple = fixed.PLAN_BUCKETS,
     other: str = fixed.PLAN_BUCKET_OTHER,
 ) -> DataFrame:
-    """Sales per name bucket and day.
+    """Sales per name bucket and day, from sums per product and day.
 
-    Patterns are matched once per product, not per sale.  Sales are summed per product and day before
-    they meet the catalogue, so the join sees one row per product and day, however often a product
-    sells.
+    Patterns are matched once per product, not per sale, and the join sees one row per product and day,
+    however often a product sells.
     """
     buckets = catalogue.select(
         "id_producto", bucket_of(F.col("nombre"), patterns, other).alias("cubo")
     )
-    sales = fact_ventas.groupBy("id_producto", dates.day(F.col("fecha_compra")).alias("fecha")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(money(F.col("precio"))).alias("valor")
-    )
     return (
         sales.join(buckets, "id_producto", "left")
         .groupBy(F.coalesce("cubo", F.lit(other)).alias("nombre"), "fecha")
@@ -57,6 +60,11 @@ def plan_buckets(
     )
 
 
+def plan_buckets(fact_ventas: DataFrame, catalogue: DataFrame, **rules) -> DataFrame:
+    """Sales per name bucket and day."""
+    return buckets_of_partials(sales_partials(fact_ventas), catalogue, **rules)
+
+
 def plan_bucket_daily(fact_ventas: DataFrame, catalogue: DataFrame, agg_planes: DataFrame, **rules) -> DataFrame:
     """The bucket days to add; days already loaded are never refreshed (Q15).
 

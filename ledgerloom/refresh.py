@@ -399,10 +399,10 @@ def actualizar_agg_fact_membresias(r, counter):
 
 @step("agg_planes")
 def insertar_agg_planes(r, counter):
-    new = aggregates.plan_bucket_daily(
-        r.now("fact_ventas"), r.source["dim_cat_productos"], r.now("agg_planes")
-    )
-    r.append("agg_planes", new, counter)
+    # sales of the years before the refreshed one do not change, nor do their sums
+    tables.refresh_partials(r.spark, "parciales_planes", "fact_ventas", r.on.year, aggregates.sales_partials)
+    rows = aggregates.buckets_of_partials(r.now("parciales_planes"), r.source["dim_cat_productos"])
+    r.append("agg_planes", m.new_rows(r.now("agg_planes"), rows, aggregates.BUCKET_KEY), counter)
 
 
 @step("agg_bonos")

@@ -100,6 +100,7 @@ WAREHOUSE: dict[str, str] = {
     "aum_bonos_select_actual": "tipo_bono STRING, total DECIMAL(38,2)",
     "migration_logs": "estatus STRING, tabla STRING, proceso STRING, registros_insertados BIGINT, "
     "error_text STRING, fecha_registro TIMESTAMP",
+    "parciales_planes": "id_producto BIGINT, fecha DATE, n BIGINT, valor DECIMAL(38,2), anio INT",
     # the last version of each landed record, as text, so that filters see what the endpoint holds now
     "estado_compras_planes": f"_id STRING, id_compra STRING, address STRING, cantidad STRING, Monto_recibido STRING, "
     f"status STRING, Fecha_pago STRING, coin STRING, complemento_de STRING, USD STRING, wallet STRING, "
@@ -140,6 +141,7 @@ for _table in [*BLOCKED, *_STATES]:
 
 PARTITIONED = {
     "fact_ventas": "anio",
+    "parciales_planes": "anio",
     **dict.fromkeys([*BLOCKED, *_STATES], BLOCK),
     **dict.fromkeys(HISTORY_STATES, RUN),
 }

@@ -172,7 +172,11 @@ def created_between(
     return kept if filled is None else kept.where(F.coalesce(F.col(filled), F.lit("")) != "")
 
 
+def columns(record: str) -> list[tuple[str, str]]:
+    """Names and types of the fields of a record."""
+    parts = (f.strip().rpartition(" ") for f in record.split(","))
+    return [(name.strip("`"), kind) for name, _, kind in parts]
+
+
 def _as_struct(record: str) -> str:
-    return ", ".join(
-        f"{name}: {kind}" for name, _, kind in (f.strip().rpartition(" ") for f in record.split(","))
-    )
+    return ", ".join(f"`{name}`: {kind}" for name, kind in columns(record))

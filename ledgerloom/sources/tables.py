@@ -111,7 +111,7 @@ def update(table: str, rule: Update, source: DataFrame, base: str, version: str)
     touched = _in_partitions(target, places, parts[0], seen["low"], seen["high"])
     state = rule.apply(touched, changes.drop(*parts))
     # a dynamic overwrite stages its files, so the table may be read while it is written
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         state.write.insertInto(table, overwrite=True)
     return seen["rows"]
 
@@ -232,7 +232,7 @@ def merge_latest(table: str, rows: DataFrame, keys: Sequence[str], order: Sequen
     places = batch.select(part).distinct()
     touched = _in_partitions(target, places, part, seen["low"], seen["high"])
     state = first_per_key(touched.unionByName(batch), keys, order)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         conform(state, table).write.insertInto(table, overwrite=True)
     return seen["rows"]
 
@@ -250,19 +250,49 @@ def overwrite_from(df: DataFrame, table: str, year_column: str, first: int) -> N
     write, for the years the table lists.
     """
     spark = df.sparkSession
-    listed = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    years = [int(y) for y in listed if y.lstrip("-").isdigit() and int(y) >= first]
+    years = sorted(y for y in _partitions(spark, table) if y >= first)
     seen = Observation()
     counts = [F.count_if(F.col(year_column) == y).alias(str(y)) for y in years]
     batch = conform(df.where(F.col(year_column) >= first), table)
     batch = batch.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
         batch.write.insertInto(table, overwrite=True)
     for year in years:
         if not seen.get[str(year)]:
             spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({year_column} = {year})")
 
 
+def refresh_partials(
+    spark: SparkSession, table: str, fact: str, since: int, partial_of: Callable[[DataFrame], DataFrame]
+) -> list[int]:
+    """Bring a table of partial sums up to its fact; returns the partitions that were summed again.
+
+    Both are partitioned by the same whole number.  Partitions of the fact from `since` on may have
+    changed; they and those the table lacks are read again, all others keep their sums.  `partial_of` sums
+    the rows of a partition, so that its sums add up over partitions.
+    """
+    (part,) = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    there, known = _partitions(spark, fact), _partitions(spark, table)
+    again = sorted(p for p in there if p >= since or p not in known)
+    if again:
+        target = current(spark, fact)
+        names = [c.name for c in spark.catalog.listColumns(table) if not c.isPartition]
+        sums = [partial_of(target.where(F.col(part) == p)).withColumn(part, F.lit(p)) for p in again]
+        every = sums[0]
+        for more in sums[1:]:
+            every = every.unionByName(more)
+        with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            conform(every.select(*names, part), table).write.insertInto(table, overwrite=True)
+    for gone in known - there:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part} = {gone})")
+    return again
+
+
+def _partitions(spark: SparkSession, table: str) -> set[int]:
+    listed = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return {int(p) for p in listed if p.lstrip("-").isdigit()}
+
+
 def drop_old_versions(spark: SparkSession, table: str, base: str, keep: int = 2) -> list[str]:
     """Delete superseded versions of a table, but for the `keep` written last; returns what went.
 
@@ -296,7 +326,7 @@ def _write_version(df: DataFrame, table: str, base: str, version: str) -> str:
 
 
 @contextmanager
-def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
     """A session setting for one write; `insertInto` takes this one from the session only."""
     before = spark.conf.get(key)
     spark.conf.set(key, value)

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import os
 import uuid
+from decimal import Decimal
 
 import pytest
 from conftest import SF_SMALL
@@ -16,9 +17,10 @@ from ledgerloom.checks.standins import Tables
 from ledgerloom.operators import audit
 from ledgerloom.operators import maintenance as m
 from ledgerloom.operators.maintenance import Update
-from ledgerloom.plans import records
+from ledgerloom.plans import aggregates, records
 from ledgerloom.sources import landing, reports, tables
 from ledgerloom.streaming.intake import add_new, add_purchases, intake
+from ledgerloom.streaming.purchases import purchase_intake
 
 
 @pytest.fixture
@@ -285,6 +287,44 @@ def test_history_and_its_last_records_move_together(spark, frame, values, table,
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_sums_of_unchanged_partitions_are_kept(spark, frame, values, table):
+    fact, sums = f"{table}_fact", f"{table}_sums"
+    spark.sql(f"CREATE TABLE {fact} (id_producto BIGINT, fecha_compra TIMESTAMP, precio DECIMAL(19,2), anio INT) USING parquet PARTITIONED BY (anio)")
+    spark.sql(f"CREATE TABLE {sums} (id_producto BIGINT, fecha DATE, n BIGINT, valor DECIMAL(38,2), anio INT) USING parquet PARTITIONED BY (anio)")
+
+    def sale(product, year, price):
+        return (product, dt.datetime(year, 3, 1, 10), Decimal(price), year)
+
+    def add(*rows):
+        tables.append(frame("id_producto long, fecha_compra timestamp, precio decimal(19,2), anio int", *rows), fact)
+
+    def refreshed(since):
+        return tables.refresh_partials(spark, sums, fact, since, aggregates.sales_partials)
+
+    catalogue = frame("id_producto long, nombre string", (1, "Plan select"), (2, "zzz"))
+
+    def same(partials, whole):
+        kept = aggregates.buckets_of_partials(partials, catalogue)
+        assert values(kept) == values(aggregates.plan_buckets(whole, catalogue))
+
+    add(sale(1, 2023, "1.50"), sale(2, 2023, "2"), sale(1, 2024, "3"), sale(1, 2025, "4"))
+    assert refreshed(2025) == [2023, 2024, 2025]  # all of them at first
+    same(spark.table(sums), spark.table(fact))
+    add(sale(2, 2025, "5"), sale(2, 2025, "6"), sale(9, 2026, "7"))
+    whole = spark.createDataFrame(spark.table(fact).collect(), spark.table(fact).schema)
+    for old in {f for f in spark.table(fact).inputFiles() if "anio=2023/" in f or "anio=2024/" in f}:
+        with open(old.removeprefix("file:"), "wb") as f:
+            f.write(b"not read again")
+    assert refreshed(2025) == [2025, 2026]
+    same(tables.current(spark, sums), whole)
+    # a year the fact no longer has
+    spark.sql(f"ALTER TABLE {fact} DROP PARTITION (anio = 2024)")
+    assert refreshed(2027) == []
+    same(tables.current(spark, sums), whole.where("anio <> 2024"))
+    for name in (fact, sums):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_pages_that_are_not_understood(spark, tmp_path, values):
     folder = tmp_path / "pages"
     land(folder, "1.json", {"_id": "a", "id_compra": "CP1", "Fecha_pago": "soon"})
@@ -330,6 +370,58 @@ def test_streaming_purchases_are_idempotent_and_know_old_records(spark, tmp_path
     spark.sql(f"DROP TABLE {waiting}")
 
 
+@pytest.mark.parametrize("blocked", [False, True])
+def test_streaming_purchases_with_keyed_state(spark, tmp_path, values, table, blocked):
+    folder, base = tmp_path / "pages", str(tmp_path / "base")
+    parts = ", part BIGINT) USING parquet PARTITIONED BY (part)" if blocked else ") USING parquet"
+    empty = records.purchases_source(spark.createDataFrame([], "payload string"))
+    fields = ", ".join(f"{n} {k}" for n, k in empty.dtypes)
+    spark.sql(f"CREATE TABLE {table} ({fields}{parts}")
+    queries = []
+
+    def run(checkpoint):
+        where = {"block": "part", "block_size": 3} if blocked else {}
+        query = purchase_intake(spark, str(folder), str(tmp_path / checkpoint), table, base, **where)
+        query.awaitTermination()
+        queries.append(query)
+        return values(tables.current(spark, table), "id_compra", "complemento_de")
+
+    land(folder, "1.json", {"_id": "r1", "id_compra": "CP1", "status": "paid", "USD": "2.5"}, {"_id": "r2", "id_compra": "CP2"})
+    assert run("c1") == [(1, None), (2, None)]
+    assert values(tables.current(spark, table), "id_compra", "status", "usd")[0][1] == "paid"
+    land(folder, "2.json", {"_id": "r3", "id_compra": "CP3", "complemento_de": "r1"},
+         {"_id": "r2", "id_compra": "CP2"})
+    want = [(1, None), (2, None), (3, 1)]
+    assert run("c1") == want
+    assert run("c2") == want  # a lost checkpoint replays every page and inserts nothing
+    # a complement that lands after the records that name it, by text and as an object
+    land(folder, "3.json", {"_id": "r4", "id_compra": "CP4", "complemento_de": "r5"},
+         {"_id": "r6", "id_compra": "CP6", "complemento_de": {"_id": "r5"}})
+    assert run("c1") == [*want, (4, None), (6, None)]
+    land(folder, "4.json", {"_id": "r5", "id_compra": "CP5"})
+    full = [*want, (4, 5), (5, None), (6, 5)]
+    assert run("c1") == full
+    # only the state of the ids of this batch was touched: its record's own, which two waited for
+    progress = [p for p in queries[-1].recentProgress if p["numInputRows"]]
+    state = progress[-1]["stateOperators"][0]
+    assert state["numRowsUpdated"] == 1 and state["numRowsTotal"] >= 6
+    # several versions in one file: the last line counts, for the number and for the fact
+    (folder / "5.json").write_text(
+        "\n".join(
+            json.dumps({"response": {"results": [r]}})
+            for r in (
+                {"_id": "r7", "id_compra": "CP8", "status": "old"}, {"_id": "r7", "id_compra": "CP7", "status": "new"},
+                {"_id": "r9", "id_compra": "CP9", "complemento_de": "r7"}, {"_id": "r9", "id_compra": "CP9", "status": "x"},
+            )
+        )
+    )
+    got = run("c1")
+    assert [r for r in got if r[0] in (7, 8)] == [(7, None), (8, None)]
+    batch = records.purchases_source(landing.read_pages(spark, str(folder)))
+    assert values(batch, "id_compra", "complemento_de")[:6] == full
+    assert run("c3") == got
+
+
 def test_streaming_transfers(spark, tmp_path, values, table):
     folder = tmp_path / "pages"
     spark.sql(
