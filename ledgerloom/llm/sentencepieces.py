@@ -37,8 +37,9 @@ UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Texts encoded in one call, texts whose words are counted together, threads of a call.
 BATCH, TOGETHER, THREADS = 256, 4096, 2
-#: Words of a generation that a worker remembers (two of them, some 290 MB in all), words of a call.
-WORDS, CALL = 700_000, 8192
+#: Words of a generation that a worker remembers (two of them, some 170 MB in all), words of a call and of
+#: a text made of words.
+WORDS, CALL, GROUP = 400_000, 8192, 64
 
 
 def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -256,6 +257,8 @@ class _Checker:
             and self.model.escape
             and not own
         )
+        #: whether a piece begins with the mark
+        self.marked = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces])
         self.words = Remembered(self._judge, WORDS)
 
     def _normalised(self, texts: list[str]) -> tuple[list[str], list[str]]:
@@ -266,9 +269,40 @@ class _Checker:
         return self.library.normalize(texts), [self.tokenizer.normalizer.normalize_str(t) for t in texts]
 
     def _judge(self, words: list[str]) -> list[bytes]:
-        """Per word its flags in a byte, then its ids; words are normalised, with the marks before them."""
-        parts = (words[at : at + CALL] for at in range(0, len(words), CALL))
-        return [judged for part in parts for judged in self._judge_part(part)]
+        """Per word its flags in a byte, then its ids; words are normalised, with the marks before them.
+
+        Words with one mark go through both libraries as texts of GROUP words.  Where forms, ids and texts
+        are the same throughout, so are those of each word, and its ids begin at its mark; the words of
+        other groups are looked at one by one, as are words with more marks.
+        """
+        out: list[bytes | None] = [None] * len(words)
+        simple = [i for i, w in enumerate(words) if len(w) > 1 and w[0] == MARK and MARK not in w[1:]]
+        for at in range(0, len(simple), CALL):
+            part = simple[at : at + CALL]
+            groups = [part[a : a + GROUP] for a in range(0, len(part), GROUP)]
+            texts = [" ".join([words[i][1:] for i in g]) for g in groups]
+            one, other = self._normalised(texts)
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            back = self.tokenizer.decode_batch(coded, skip_special_tokens=False)
+            known = self.library.encode(texts)
+            for g, t, a, b, ids, text, theirs, their_text in zip(
+                groups, texts, one, other, coded, back, known, self.library.decode(known), strict=True
+            ):
+                if not (a == b == MARK + t.replace(" ", MARK) and ids == theirs and text == their_text == t):
+                    continue
+                found = np.asarray(ids, "<u4")
+                cuts = (np.flatnonzero(self.marked[found]) * 4).tolist()
+                if len(cuts) != len(g):
+                    continue
+                data = found.tobytes()
+                for i, x, y in zip(g, cuts, [*cuts[1:], len(data)], strict=True):
+                    out[i] = _FLAGS[_AGREE | _TRIP] + data[x:y]
+        left = [i for i, o in enumerate(out) if o is None]
+        for at in range(0, len(left), CALL):
+            part = left[at : at + CALL]
+            for i, judged in zip(part, self._judge_part([words[i] for i in part]), strict=True):
+                out[i] = judged
+        return out
 
     def _judge_part(self, words: list[str]) -> list[bytes]:
         raw = [w[1:].replace(MARK, " ") for w in words]

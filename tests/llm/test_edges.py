@@ -399,7 +399,9 @@ def test_parity_by_words_equals_parity_of_whole_texts(monkeypatch):
         })(),
     )
     checker.words = common.Remembered(checker._judge)
+    # one after the other, as words that are made one text share its fate and are then looked at alone
     assert [f[2] for f in checker.check(["a bc", "a b", "bc"])] == [False, True, False]
+    assert [f[2] for f in checker.check(["a x", "bc"])] == [True, False]
 
 
 def test_unigram_models_are_rebuilt():
