@@ -28,9 +28,9 @@ from ledgerloom.session import materialise
 CAPACITY = 2048
 #: Documents packed together in one task.
 GROUP_ROWS = 16384
-#: Words of a generation that a Python worker remembers with their ids (two of them, some 170 MB in all),
+#: Words of a generation that a Python worker remembers with their ids (two of them, some 120 MB in all),
 #: characters of a word up to which it is remembered, words encoded in one string.
-GENERATION, LONG_WORD, TOGETHER = 400_000, 64, 128
+GENERATION, LONG_WORD, TOGETHER = 300_000, 64, 128
 MAX_ROUNDS = 4
 
 #: Stands for the ids of a word that has none by itself; ids take four bytes each.
@@ -143,7 +143,9 @@ class _WordCoder:
         starts, sizes = np.cumsum(sizes // 4) - sizes // 4, sizes // 4
         word = counted.indices.to_numpy()
         ends = np.concatenate([[0], np.cumsum(sizes[word])])
-        places = np.arange(ends[-1]) + np.repeat(starts[word] - ends[:-1], sizes[word])
+        # the ids of one lot of texts number below 2^31
+        places = np.repeat((starts[word] - ends[:-1]).astype(np.int32), sizes[word])
+        places += np.arange(len(places), dtype=np.int32)
         data = ids[places].tobytes()
         of_text = bounds - np.arange(len(bounds))  # heads are not counted
         at = (ends[of_text] * 4).tolist()
@@ -178,8 +180,8 @@ def tokenise(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread per task
         for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
+            for at in range(0, batch.num_rows, 2560):
+                part = batch.slice(at, 2560)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = [x + end for x in encode_texts(texts, path)]
                 lengths = pa.array([len(x) // 4 for x in ids], pa.int64())
