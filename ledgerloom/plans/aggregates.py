@@ -60,9 +60,9 @@ def buckets_of_partials(
     )
 
 
-def plan_buckets(fact_ventas: DataFrame, catalogue: DataFrame, **rules) -> DataFrame:
-    """Sales per name bucket and day."""
-    return buckets_of_partials(sales_partials(fact_ventas), catalogue, **rules)
+def plan_buckets(fact_ventas: DataFrame, catalogue: DataFrame, *rules, **named) -> DataFrame:
+    """Sales per name bucket and day; patterns and the other bucket as in `buckets_of_partials`."""
+    return buckets_of_partials(sales_partials(fact_ventas), catalogue, *rules, **named)
 
 
 def plan_bucket_daily(fact_ventas: DataFrame, catalogue: DataFrame, agg_planes: DataFrame, **rules) -> DataFrame:
