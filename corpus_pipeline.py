@@ -47,7 +47,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     doc_id each counts for itself.
     """
     ship_package(spark)
-    row = F.xxhash64(*docs.columns)
+    # columns of `docs`, not names: these may stand in `keepers` too
+    row = F.xxhash64(*[docs[c] for c in docs.columns])
     found = simhash.near_duplicates(docs, key=row)
     counted = found.groupBy("component", "doc_id", "row_key").agg(F.count(F.lit(1)).alias("copies"))
     # a grouped minimum: one row per group and map task, also for a group of a third of all rows

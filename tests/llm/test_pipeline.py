@@ -82,3 +82,14 @@ def test_one_row_of_each_group_stays(spark, docs):
     assert kept((3, a), (3, a), (3, a), (9, b)) == [(3, a), (9, b)]
     assert kept((4, None), (7, ""), (8, " ")) == [(4, None)]
     assert kept() == []
+
+
+def test_columns_named_like_those_of_the_keepers(spark, docs):
+    a, b = "some words that stand here again and again", "other words of another text that is not near"
+    stage = dict(corpus_pipeline.STAGES)["SimHash near-dedup"]
+    names = ["keeper", "keeper_row", "copies", "component", "row_key", "first"]
+    rows = [(3, a), (1, a), (1, a), (7, b), (None, b)]
+    frame = docs(rows, extra=False).select("doc_id", "text", *[F.lit(5).alias(n) for n in names])
+    after = stage(spark, frame, "")
+    assert after.columns == frame.columns
+    assert sorted(map(tuple, after.collect())) == [(1, a, *[5] * 6), (7, b, *[5] * 6)]
