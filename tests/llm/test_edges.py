@@ -24,6 +24,7 @@ from ledgerloom.llm import (
     toxicity,
     vectors,
 )
+from ledgerloom.llm.queries import QUERIES
 
 BPE, PIECES = path("byte_bpe_50k.json"), path("piece_bpe_32k.model")
 
@@ -214,6 +215,27 @@ def test_string_rows(docs, monkeypatch, hot):
     assert suffixes.dedup_strings(docs([]), 400).count() == 0
 
 
+def test_passages_go_from_400_bytes_on(docs, table, spark):
+    """Passages of over 50 words are repeated or not by their bytes; other texts stay whole."""
+    passage = " ".join("abcdefg"[: 1 + n % 7] for n in range(100)).encode()[:400].decode()
+    assert len(passage.encode()) == 400 and len(passage.split()) > 50
+    short = passage[:399].upper()
+    rows = [
+        (1, words(21, 60) + "<" + passage + ">"),
+        (2, "[" + passage + "]" + words(22, 60)),
+        (3, words(23, 60) + "<" + short + ">"),
+        (4, "[" + short + "]" + words(24, 60)),
+        (5, words(25, 400)),
+    ]
+    folder = table(documents=docs(rows, extra=False))
+    got = QUERIES["op8_suffix_array_dedup"](spark, folder)
+    assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in got.collect()} == {
+        1: (400, 1), 2: (400, 1), 3: (0, 0), 4: (0, 0), 5: (0, 0)
+    }
+    assert sorted(map(tuple, got.collect()), key=str) == plain.dedup_strings(rows, 400)
+
+
 def test_long_prefixes_of_random_texts():
     rng = random.Random(5)
     for _ in range(30):
